@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # The names of U+00A0 .. U+00FF in code point order, as the HTML standard lists them.
 LATIN1_NAMES = (
     "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr "
@@ -50,8 +52,10 @@ def unescape(c: Column) -> Column:
             .otherwise(F.coalesce(F.try_element_at(_names(), t), t))
         )
 
-    decoded = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0)), token), "")
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
+    def decoded(text: Column) -> Column:
+        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), token), "")
+
+    return let(c, lambda text: F.when(F.contains(text, F.lit("&")), decoded(text)).otherwise(text))
 
 
 def escape(c: Column) -> Column:

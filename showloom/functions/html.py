@@ -19,7 +19,7 @@ from .entities import unescape
 from .text import let, strip
 
 _TAG = r"</?[A-Za-z!?][^>]*>"
-_FAST_DEPTH = 3
+_FAST_DEPTH = 6
 
 
 @dataclass(frozen=True)
@@ -115,9 +115,14 @@ def _cut(rest: Column, sel: Selector) -> Column:
 
 def first(html: Column, sel: Selector) -> Column:
     """First element in document order, null if there is none."""
-    rest = F.regexp_extract(html, f"(?s){sel.open()}.*", 0)
-    found = let(rest, lambda r: F.when(r != "", _cut(r, sel)))
-    return F.when(F.contains(html, F.lit(sel.marker)), found) if sel.marker else found
+
+    def found(h: Column) -> Column:
+        rest = F.regexp_extract(h, f"(?s){sel.open()}.*", 0)
+        return let(rest, lambda r: F.when(r != "", _cut(r, sel)))
+
+    if sel.marker is None:
+        return found(html)
+    return let(html, lambda h: F.when(F.contains(h, F.lit(sel.marker)), found(h)))
 
 
 def first_tag(html: Column, sel: Selector) -> Column:
@@ -151,7 +156,9 @@ def each_match(html: Column, sel: Selector, body, inner: str = "") -> Column:
 
     def one(pieces: Column) -> Column:
         def at(piece: Column, i: Column) -> Column:
-            return F.when(piece.rlike(rf"(?s)\A{head}"), F.struct(body(Match(piece, pieces, i)).alias("v")))
+            # every piece but the first begins with a match
+            starts = (i > 0) | piece.rlike(rf"(?s)\A{head}")
+            return F.when(starts, F.struct(body(Match(piece, pieces, i)).alias("v")))
 
         return F.transform(F.filter(F.transform(pieces, at), lambda s: s.isNotNull()), lambda s: s["v"])
 
@@ -160,7 +167,7 @@ def each_match(html: Column, sel: Selector, body, inner: str = "") -> Column:
 
 def every(html: Column, sel: Selector, body=lambda e: e) -> Column:
     """All matching elements in document order, nested ones included, through ``body``."""
-    return each_match(html, sel, lambda m: body(element(m, sel)))
+    return each_match(html, sel, lambda m: let(element(m, sel), body))
 
 
 def element(m: Match, sel: Selector) -> Column:
@@ -205,10 +212,10 @@ def previous_sibling(m: Match, tag: str) -> Column:
 
 
 def attribute(fragment: Column, name: str) -> Column:
-    """Attribute of the start tag the fragment begins with; null if absent or empty."""
-    quoted = F.regexp_extract(fragment, rf"(?is)\A<[^>]*?\s{name}\s*=\s*([\"'])(.*?)\1", 2)
-    bare = F.regexp_extract(fragment, rf"(?is)\A<[^>]*?\s{name}\s*=\s*([^\s\"'>]+)", 1)
-    return unescape(F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(bare, F.lit(""))))
+    """Attribute of the start tag the fragment begins with, null if absent."""
+    raw = F.regexp_extract(fragment, rf"(?is)\A<[^>]*?\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    inside = lambda v: F.when(v.rlike("^[\"']"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+    return unescape(let(raw, lambda v: F.when(v != "", inside(v))))
 
 
 def first_attribute(html: Column, sel: Selector, name: str) -> Column:
@@ -224,8 +231,7 @@ def link_structs(html: Column, name: str, url: str, sel: Selector = css("a"), at
     """``array<struct<name, url>>``: text of each match and an attribute of its first link."""
 
     def link(e: Column) -> Column:
-        target = attribute(first_tag(e, css("a")), attr)
-        return F.struct(stripped_text(e).alias(name), target.alias(url))
+        return F.struct(stripped_text(e).alias(name), first_attribute(e, css("a"), attr).alias(url))
 
     return every(html, sel, link)
 

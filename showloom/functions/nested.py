@@ -65,21 +65,27 @@ def literal_list(c: Column) -> Column:
 # --- credits ------------------------------------------------------------------------------
 
 
-def credit_buckets(credits: Column) -> dict[str, Column]:
-    """Names by the role words in their label: music, lyrics, book, and others for none of them.
+def credit_buckets(credits: Column) -> Column:
+    """Names by the role words in their label: struct of music, lyrics, book, and others.
 
-    A label with several role words counts for each. A null among the names makes all four null.
+    A label with several role words counts for each, one without any for the others. A null
+    among the names, or no credits at all, makes all four null.
     """
-    poisoned = F.exists(F.flatten(F.map_values(credits)), lambda name: name.isNull())
-    usable = F.when(credits.isNotNull() & ~F.coalesce(poisoned, F.lit(True)), credits)
 
-    def names(test) -> Column:
-        kept = F.map_filter(usable, lambda label, _: test(F.lower(label)))
-        return empty_to_null(F.flatten(F.map_values(kept)))
+    def usable(m: Column) -> Column:
+        poisoned = F.exists(F.flatten(F.map_values(m)), lambda name: name.isNull())
+        return F.when(~F.coalesce(poisoned, F.lit(True)), m)
 
-    buckets = {role: names(lambda label, role=role: F.contains(label, F.lit(role))) for role in CREDIT_ROLES}
-    buckets["others"] = names(lambda label: ~label.rlike("|".join(CREDIT_ROLES)))
-    return buckets
+    def buckets(m: Column) -> Column:
+        def names(test) -> Column:
+            kept = F.map_filter(m, lambda label, _: test(F.lower(label)))
+            return empty_to_null(F.flatten(F.map_values(kept)))
+
+        of = {role: names(lambda label, role=role: F.contains(label, F.lit(role))) for role in CREDIT_ROLES}
+        of["others"] = names(lambda label: ~label.rlike("|".join(CREDIT_ROLES)))
+        return F.struct(*[c.alias(n) for n, c in of.items()])
+
+    return let(let(credits, usable), buckets)
 
 
 def bracketed(names: Column) -> Column:
@@ -127,7 +133,7 @@ def nth_or_default(array: Column, index: int, default: str) -> Column:
 
 def first_two(array: Column) -> Column:
     """The first two elements, or nothing when there are fewer."""
-    return F.when(F.size(array) >= 2, F.slice(array, 1, 2))
+    return let(array, lambda a: F.when(F.size(a) >= 2, F.slice(a, 1, 2)))
 
 
 # --- grouping inside a row ----------------------------------------------------------------

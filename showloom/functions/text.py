@@ -59,9 +59,13 @@ def fee_amount(c: Column) -> Column:
 
 def drop_first(c: Column, word: str) -> Column:
     """Remove the first occurrence of ``word`` only."""
-    at = F.instr(c, word)
-    cut = F.concat(F.substr(c, F.lit(1), at - 1), F.substr(c, at + len(word)))
-    return F.when(at > 0, cut).otherwise(c)
+
+    def cut(text: Column) -> Column:
+        at = F.instr(text, word)
+        rest = F.concat(F.substr(text, F.lit(1), at - 1), F.substr(text, at + len(word)))
+        return F.when(at > 0, rest).otherwise(text)
+
+    return let(c, cut)
 
 
 def drop_line_breaks(c: Column) -> Column:
@@ -86,11 +90,11 @@ def requirement_text(c: Column) -> Column:
 
 def missing_to_null(c: Column) -> Column:
     """The text forms of "missing" (empty and ``"None"``) become null."""
-    return F.when(~c.isin("", "None"), c)
+    return let(c, lambda text: F.when(~text.isin("", "None"), text))
 
 
 def empty_to_null(array: Column) -> Column:
-    return F.when(F.size(array) > 0, array)
+    return let(array, lambda a: F.when(F.size(a) > 0, a))
 
 
 def complete(rows: Column, test) -> Column:
@@ -109,7 +113,7 @@ def has_text(c: Column) -> Column:
 
 def keep_if_digit(c: Column) -> Column:
     """The text itself when it holds a digit, else ``""``."""
-    return F.when(c.rlike(r"(?U)\d"), c).otherwise("")
+    return let(c, lambda text: F.when(text.rlike(r"(?U)\d"), text).otherwise(""))
 
 
 def date_range(start: Column, end: Column) -> Column:

@@ -29,16 +29,17 @@ def clean_catalog(raw: DataFrame) -> DataFrame:
 
     staged = raw.withColumns({"__characters": characters, "__billing": billing})
     credits = N.credit_buckets(F.col("__billing"))
+    staged = staged.withColumn("__credits", credits)
     counts = N.gender_counts(F.col("__characters.Gender"))
     derived = {
         **cast_size(F.col("cast_size")),
-        "music_by": credits["music"],
-        "lyrics_by": credits["lyrics"],
-        "book_by": credits["book"],
-        "other_authors": credits["others"],
+        "music_by": F.col("__credits.music"),
+        "lyrics_by": F.col("__credits.lyrics"),
+        "book_by": F.col("__credits.book"),
+        "other_authors": F.col("__credits.others"),
         **{f"{kind}_character_count": c for kind, c in counts.items()},
     }
-    return staged.withColumns(derived).drop("__characters", "__billing")
+    return staged.withColumns(derived).drop("__characters", "__billing", "__credits")
 
 
 def _is_text(df: DataFrame, name: str) -> bool:

@@ -35,9 +35,12 @@ def casting_info(html: Column) -> Column:
 
 def license_link(html: Column) -> Column:
     """The second licence link."""
-    box = H.first(html, css("div", exact="pull-right extra-links"))
-    links = H.every(box, css("a", exact="btn btn-success btn-lg"), lambda e: H.attribute(e, "href"))
-    return F.when(H.node_text(box) != "", N.nth_or_default(links, 1, "None"))
+
+    def second(box: Column) -> Column:
+        links = H.every(box, css("a", exact="btn btn-success btn-lg"), lambda e: H.attribute(e, "href"))
+        return F.when(H.node_text(box) != "", N.nth_or_default(links, 1, "None"))
+
+    return T.let(H.first(html, css("div", exact="pull-right extra-links")), second)
 
 
 def paragraphs(html: Column, ident: str) -> Column:
@@ -68,7 +71,7 @@ def related_links(html: Column) -> Column:
 def community(html: Column) -> Column:
     box = H.first(H.first(html, css("div", ident="show-community")), css("div", exact="resource clearfix"))
     lines = F.array_join(H.every(box, css("p"), H.node_text), "\n")
-    return F.when(box.isNotNull(), N.sections(lines, COMMUNITY_HEADERS))
+    return T.let(lines, lambda text: F.when(text.isNotNull(), N.sections(text, COMMUNITY_HEADERS)))
 
 
 def productions(html: Column) -> Column:
@@ -110,14 +113,12 @@ def upcoming_url(show_url: Column) -> Column:
 def records(shows: DataFrame, pages: DataFrame, upcoming_pages: DataFrame | None = None) -> DataFrame:
     """Raw catalogue B for ``shows(url, filter)``: the row of a url listed twice comes twice."""
     html = F.col("html")
-    show_pages = captures.prepared(pages)
-    upcoming = captures.prepared(pages if upcoming_pages is None else upcoming_pages)
+    upcoming = (pages if upcoming_pages is None else upcoming_pages).filter(html.contains("upcoming"))
     fields = [c.alias(n) for n, c in show_fields(html).items()]
 
-    show_side = captures.latest(show_pages.select("page_id", F.col("url").alias("show_url"), *fields), "show_url")
+    show_side = captures.latest(captures.prepared(pages).select("page_id", F.col("url").alias("show_url"), *fields), "show_url")
     upcoming_side = captures.latest(
-        upcoming.filter(F.contains(html, F.lit("upcoming")))
-        .select("page_id", F.col("url").alias("upcoming_url"), T.empty_to_null(productions(html)).alias("upcoming_productions")),
+        captures.prepared(upcoming).select("page_id", F.col("url").alias("upcoming_url"), T.empty_to_null(productions(html)).alias("upcoming_productions")),
         "upcoming_url",
     )
     listed = shows.select(F.col("url").alias("show_url"), F.col("filter").alias("show_type"))

@@ -22,12 +22,31 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def spread(self, name: str) -> DataFrame:
+        """The table for work that is heavy on the processor (see ``spread_scan``)."""
+        return spread_scan(getattr(self, name))
+
+    def stream_path(self, name: str) -> str:
+        """For file streams, whose path must be a folder or a pattern."""
+        return f"{self.path(name)}*"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
 
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt out to all of them.
+
+    Reading fields out of markup takes far longer than moving it, so idle cores cost more than
+    the exchange. A large table has more splits than cores and is left alone. Only for plain
+    scans: counting the partitions of anything else could run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header and quoted fields that may hold line breaks and doubled quotes."""
     return spark.read.schema(schema).options(**_CSV).csv(path)
