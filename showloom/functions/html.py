@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .entities import unescape
-from .text import let, strip
+from .text import let, none_if_empty, strip
 
 _TAG = r"</?[A-Za-z!?][^>]*>"
 _FAST_DEPTH = 6
@@ -127,7 +127,7 @@ def first(html: Column, sel: Selector) -> Column:
 
 def first_tag(html: Column, sel: Selector) -> Column:
     """Only the start tag of the first match; enough for attributes and void elements."""
-    return F.nullif(F.regexp_extract(html, sel.open(), 0), F.lit(""))
+    return none_if_empty(F.regexp_extract(html, sel.open(), 0))
 
 
 @dataclass(frozen=True)
@@ -200,15 +200,15 @@ def first_and_sibling(fragment: Column, tag: str) -> Column:
     )
     ahead = rf"(?s)\A(?:[^<]++|<(?!(?i:{tag})[\s/>]))*+"
     pair = rf"{ahead}(?=({start}))<(?<t>\w+)[^>]*+>{_content()}</(?i:\k<t>)\b[^>]*+>{skip}({start})"
-    found = [F.nullif(F.regexp_extract(fragment, pair, i), F.lit("")) for i in (1, 4)]
-    return F.when(found[1].isNotNull(), F.array(*found))
+    found = F.array(*[F.regexp_extract(fragment, pair, i) for i in (1, 4)])
+    return let(found, lambda tags: F.when(F.get(tags, F.lit(1)) != "", tags))
 
 
 def previous_sibling(m: Match, tag: str) -> Column:
     """The last element of that name to end in front of the match, null if there is none."""
     sel = css(tag)
     trail = rf"</(?i:{tag})\b[^>]*+>(?:[^<]++|<(?!/?(?i:{tag})\b))*+\z"
-    return F.nullif(F.regexp_extract(m.before(), rf"(?s)({sel.open()}{_content()}){trail}", 1), F.lit(""))
+    return none_if_empty(F.regexp_extract(m.before(), rf"(?s)({sel.open()}{_content()}){trail}", 1))
 
 
 def attribute(fragment: Column, name: str) -> Column:

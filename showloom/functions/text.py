@@ -20,6 +20,10 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def none_if_empty(c: Column) -> Column:
+    return let(c, lambda text: F.when(text != "", text))
+
+
 def strip(c: Column) -> Column:
     """Both ends, with Python's idea of white space (Spark's ``trim`` takes spaces only)."""
     return F.btrim(c, F.lit(PYTHON_SPACE))
@@ -27,7 +31,7 @@ def strip(c: Column) -> Column:
 
 def paren_text(c: Column) -> Column:
     """Text inside the first parentheses, null when there are none."""
-    return F.nullif(F.regexp_extract(c, r"\((.*?)\)", 1), F.lit(""))
+    return none_if_empty(F.regexp_extract(c, r"\((.*?)\)", 1))
 
 
 def first_word(c: Column) -> Column:

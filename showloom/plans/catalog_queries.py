@@ -125,8 +125,8 @@ _GROUPED = """list_filter({g}, lambda e, i: NOT list_contains(list_transform({g}
 
 @query(R.LINES_SQL + f"""
     , g AS (
-        SELECT *, list_transform(lines, lambda l: {{'k': split_part(l, ' ', 1), 'v': replace(l, ' ', ',')}}) AS ga,
-               list_transform(lines, lambda l: {{'k': 'Role ' || (length(l) % 5), 'v': replace(l, ' ', ',')}}) AS gb,
+        SELECT *, list_transform(lines, lambda l: {{'k': split_part(l, ' ', 1), 'v': replace(l, ', ', ',')}}) AS ga,
+               list_transform(lines, lambda l: {{'k': 'Role ' || (length(l) % 5), 'v': replace(l, ', ', ',')}}) AS gb,
                list_transform(lines, lambda l: string_split(l, ', ')) AS rows
         FROM d
     ),

@@ -120,8 +120,7 @@ def json_array_parse(t: Tables) -> DataFrame:
 def json_array_explode(t: Tables) -> DataFrame:
     """Listing payloads back to one row per product."""
     totals = site_c.listing_totals(t.spread("documents").select(R.listing_payload().alias("payload")))
-    parsed = totals.select("total", "n_pages", F.from_json("payload", S.LISTING_PAYLOAD).alias("l"))
-    rows = parsed.select("total", "n_pages", F.inline("l.Products"))
+    rows = totals.select("total", "n_pages", F.inline(F.from_json("payload", S.LISTING_PAYLOAD)["Products"]))
     return rows.select(F.col("Id").alias("sid"), F.col("Name").alias("show_title"), "total", "n_pages")
 
 

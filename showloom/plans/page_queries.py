@@ -237,7 +237,7 @@ def shown_map(name: str) -> Column:
 
 
 _GROUPS_SQL = R.LINES_SQL + """
-    , groups AS (SELECT doc_id, list_transform(lines, lambda l: {'k': %s, 'v': replace(l, ' ', ',')}) AS g FROM d),
+    , groups AS (SELECT doc_id, list_transform(lines, lambda l: {'k': %s, 'v': replace(l, ', ', ',')}) AS g FROM d),
     last AS (SELECT doc_id, list_filter(g, lambda e, i: NOT list_contains(list_transform(g[i + 1:], lambda x: x.k), e.k)) AS g FROM groups)
     SELECT doc_id, CAST(len(g) AS BIGINT) AS n,
            array_to_string(list_transform(list_sort(g), lambda e: e.k || '=' || e.v), ';') AS %s

@@ -98,7 +98,7 @@ def listing_payload() -> Column:
         )
 
     products = F.transform(lines(), product)
-    return N.to_json(F.struct(F.size(products).cast("bigint").alias("ProductTotal"), products.alias("Products")))
+    return N.to_json(F.struct(F.size(lines()).cast("bigint").alias("ProductTotal"), products.alias("Products")))
 
 
 def detail_payload() -> Column:
@@ -172,7 +172,7 @@ def character_rows() -> Column:
 
 def award_groups() -> Column:
     def group(line: Column) -> Column:
-        items = _each(F.split(line, " ", -1), lambda w: _all("<li class='awards__item'> ", escape(w), " </li>"))
+        items = _each(F.split(line, ", ", -1), lambda w: _all("<li class='awards__item'> ", escape(w), " </li>"))
         return _div("show-awards__group", "<h4 class='awards_type_group'> ", escape(_word(line, 0)), "\n</h4><ul>", items, "</ul>")
 
     return _div("show_awards_container", _each(lines(), group))
@@ -181,7 +181,7 @@ def award_groups() -> Column:
 def credit_lists() -> Column:
     def credit(line: Column) -> Column:
         label = _all("Role ", (F.length(line) % 5).cast("string"))
-        names = _each(F.split(line, " ", -1), lambda w: _all("<li><a href='/n'>", escape(w), "</a></li>"))
+        names = _each(F.split(line, ", ", -1), lambda w: _all("<li><a href='/n'>", escape(w), "</a></li>"))
         return _all(_div("field field-attribution-label", label, " "), "<p>by</p>", _div("item-list", "<ul>", names, "</ul>"))
 
     return _each(lines(), credit)
