@@ -113,12 +113,13 @@ def upcoming_url(show_url: Column) -> Column:
 def records(shows: DataFrame, pages: DataFrame, upcoming_pages: DataFrame | None = None) -> DataFrame:
     """Raw catalogue B for ``shows(url, filter)``: the row of a url listed twice comes twice."""
     html = F.col("html")
-    upcoming = (pages if upcoming_pages is None else upcoming_pages).filter(html.contains("upcoming"))
+    if upcoming_pages is None:
+        upcoming_pages = pages.filter(html.contains("upcoming"))
     fields = [c.alias(n) for n, c in show_fields(html).items()]
 
     show_side = captures.latest(captures.prepared(pages).select("page_id", F.col("url").alias("show_url"), *fields), "show_url")
     upcoming_side = captures.latest(
-        captures.prepared(upcoming).select("page_id", F.col("url").alias("upcoming_url"), T.empty_to_null(productions(html)).alias("upcoming_productions")),
+        captures.prepared(upcoming_pages).select("page_id", F.col("url").alias("upcoming_url"), T.empty_to_null(productions(html)).alias("upcoming_productions")),
         "upcoming_url",
     )
     listed = shows.select(F.col("url").alias("show_url"), F.col("filter").alias("show_type"))
