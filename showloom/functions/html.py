@@ -24,12 +24,16 @@ _FAST_DEPTH = 6
 
 @dataclass(frozen=True)
 class Selector:
-    """``cls`` matches one class token, ``exact`` the whole class attribute, ``ident`` the id."""
+    """``cls`` matches one class token, ``exact`` the whole class attribute, ``ident`` the id.
+
+    ``has`` names an attribute that must be there, whatever its value.
+    """
 
     tag: str | None = None
     cls: str | None = None
     exact: str | None = None
     ident: str | None = None
+    has: str | None = None
 
     @property
     def marker(self) -> str | None:
@@ -46,11 +50,13 @@ class Selector:
             tests += _attribute_test("class", rf"\Q{self.exact}\E")
         if self.ident:
             tests += _attribute_test("id", rf"\Q{self.ident}\E")
+        if self.has:
+            tests += rf"(?=[^>]*\s(?i:{self.has})\s*=)"
         return rf"<(?<t>{name})(?=[\s/>]){tests}[^>]*+>"
 
 
-def css(tag=None, cls=None, exact=None, ident=None) -> Selector:
-    return Selector(tag, cls, exact, ident)
+def css(tag=None, cls=None, exact=None, ident=None, has=None) -> Selector:
+    return Selector(tag, cls, exact, ident, has)
 
 
 def _attribute_test(name: str, value: str) -> str:

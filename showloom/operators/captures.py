@@ -33,10 +33,8 @@ def listing_a(pages: DataFrame) -> DataFrame:
 
 
 def _item_links(box: Column) -> Column:
-    return H.every(box, H.css(cls="alphabetical-item"), lambda e: H.first_attribute(e, _linked, "href"))
-
-
-_linked = H.css("a")
+    linked = H.css("a", has="href")
+    return H.every(box, H.css(cls="alphabetical-item"), lambda e: H.first_attribute(e, linked, "href"))
 
 
 def listing_b(pages: DataFrame, category: Column) -> DataFrame:

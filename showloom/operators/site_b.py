@@ -10,6 +10,7 @@ from ..functions import nested as N
 from ..functions import text as T
 from ..functions.html import css
 from . import captures
+from .joins import look_up
 
 # Section words of the community text.
 COMMUNITY_HEADERS = {"sets": "Sets", "costumes": "Costumes", "props": "Props"}
@@ -123,5 +124,5 @@ def records(shows: DataFrame, pages: DataFrame, upcoming_pages: DataFrame | None
         "upcoming_url",
     )
     listed = shows.select(F.col("url").alias("show_url"), F.col("filter").alias("show_type"))
-    found = listed.join(show_side, "show_url", "inner").withColumn("upcoming_url", upcoming_url(F.col("show_url")))
-    return found.join(upcoming_side, "upcoming_url", "left").select(*COLUMNS)
+    found = look_up(listed, show_side, "show_url", "inner").withColumn("upcoming_url", upcoming_url(F.col("show_url")))
+    return look_up(found, upcoming_side, "upcoming_url", "left").select(*COLUMNS)

@@ -9,12 +9,13 @@ from ..functions import html as H
 from ..functions import nested as N
 from ..functions import text as T
 from ..functions.html import css
-from ..operators import site_a, site_b, site_c
+from ..operators import captures, site_a, site_b, site_c
 from ..operators.clean import clean_catalog as clean
 from ..sources import tables as tables_io
 from ..sources.tables import Tables
 from ..streaming.ingest import Ingest
 from . import rendered as R
+from .collect import Store, collect_c
 from .page_queries import _decoded, _shown_characters, shown_map, shown_orchestration
 from .registry import query
 
@@ -297,6 +298,43 @@ def product_rows(t: Tables) -> DataFrame:
     )
 
 
+@query(R.LINES_SQL + """
+    SELECT unnest(list_transform(lines, lambda l, i: CASE WHEN length(l) % 2 > 0 THEN '/shows/' || doc_id || '/' || i END)) AS show_url
+    FROM d
+    UNION ALL SELECT '/last' FROM d
+""")
+def alphabetical_listing(t: Tables) -> DataFrame:
+    """Keys of catalogue A; items without a link are null keys."""
+    return captures.listing_a(_pages(t, _address("/all/"), R.listing_page_a()))
+
+
+@query(R.LINES_SQL + """
+    SELECT '/show/' || (length(l) % 5) || '/' AS url, lang AS filter
+    FROM (SELECT lang, unnest(lines) AS l FROM d) WHERE length(l) % 3 > 0
+""")
+def category_listing(t: Tables) -> DataFrame:
+    """Keys of catalogue B under the category in the address of the listing; repeated ones stay."""
+    address = F.concat(F.lit("https://b.example.com/show-type/"), F.col("lang"), F.lit("/?lang=en"))
+    return captures.listing_b(_pages(t, address, R.listing_page_b()), captures.category_of(F.col("url")))
+
+
+@query(R.LINES_SQL + ", " + _DETAILS_SQL + """
+    SELECT show_id AS sid, show_id, text AS show_title, lang AS show_type, duration, apply_for_license
+    FROM details JOIN documents ON doc_id = show_id
+""")
+def collected_products(t: Tables) -> DataFrame:
+    """Catalogue C collected twice, first one language only, then all: every product is stored once."""
+    store = Store(t.spark, tables_io.work_folder(t.spark, "collect"))
+    documents = t.spread("documents")
+    detail = documents.select(R.detail_payload().alias("payload"))
+    listings = (documents.filter(F.col("lang") == "en"), documents)
+    for run_id, listed in enumerate(listings, start=1):
+        collect_c(store, listed.select(R.product_payload().alias("payload")), detail, run_id)
+    return t.spark.read.parquet(store.rows).select(
+        "sid", "show_id", "show_title", "show_type", "duration", "apply_for_license"
+    )
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
     """What the ingest keeps of a page."""
     html = F.col("html")

@@ -73,9 +73,17 @@ def images() -> Column:
 
 def listing_payload() -> Column:
     """A page of a JSON listing: every line a product."""
+    return _listing(lines(), lambda i: F.col("doc_id") * 1000000 + i + 1)
 
+
+def product_payload() -> Column:
+    """A page of a JSON listing with the whole text as its one product."""
+    return _listing(F.array("text"), lambda i: F.col("doc_id") + i)
+
+
+def _listing(items: Column, number_of) -> Column:
     def product(line: Column, i: Column) -> Column:
-        number = (F.col("doc_id") * 1000000 + i + 1).cast("bigint")
+        number = number_of(i).cast("bigint")
         kind = F.when(F.length(line) % 3 == 0, F.col("lang")).otherwise(F.concat_ws(", ", "lang", "source", F.lit("more")))
         return F.struct(
             number.alias("Id"),
@@ -97,8 +105,8 @@ def listing_payload() -> Column:
             F.concat(F.lit("<p>"), escape(line), F.lit("</p>")).alias("ShortDescription"),
         )
 
-    products = F.transform(lines(), product)
-    return N.to_json(F.struct(F.size(lines()).cast("bigint").alias("ProductTotal"), products.alias("Products")))
+    products = F.transform(items, product)
+    return N.to_json(F.struct(F.size(items).cast("bigint").alias("ProductTotal"), products.alias("Products")))
 
 
 def detail_payload() -> Column:
@@ -207,6 +215,31 @@ def materials_page() -> Column:
     )
 
 
+def listing_page_a() -> Column:
+    """An item per line, in boxes; an item whose line is even in length has no link."""
+
+    def item(line: Column, i: Column) -> Column:
+        link = _all('<a name="x">-</a><a class="l" href="/shows/', _id(), "/", (i + 1).cast("string"), '">', escape(line), "</a>")
+        return _div("item alphabetical-item", F.when(F.length(line) % 2 > 0, link).otherwise(escape(line)))
+
+    return _all(
+        '<html><body><div class="alphabetical-container"><div class="alphabetical-item"><a href="/no">no</a></div></div>',
+        '<div class="region region-content">', _div("alphabetical-container", _each(lines(), item)),
+        _div("alphabetical-container", _div("alphabetical-item", "<a href='/last'>z</a>")), "</div></body></html>",
+    )
+
+
+def listing_page_b() -> Column:
+    """A box per line; a box without a title is no show."""
+
+    def box(line: Column, i: Column) -> Column:
+        title = F.when(F.length(line) % 3 > 0, _div("list-title", "<h3>", escape(line), "</h3>")).otherwise("")
+        link = _all("<a href='/show/", (F.length(line) % 5).cast("string"), "/'>x</a>")
+        return _all('<div class="col-md-4 col-sm-6 col-xs-12 views-col"><div>', link, "</div>", title, "</div>")
+
+    return _all("<html><body><div class='views-col'>", _each(lines(), box), "</div></body></html>")
+
+
 def show_page_a() -> Column:
     def song(line: Column, i: Column) -> Column:
         source = _all('<audio controls><source type="audio/mpeg" src="/a/', _id(), "/", i.cast("string"), '.mp3?x=1&amp;y"></audio>')

@@ -9,9 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
-
-
 class Tables:
     """Parquet tables of one folder as attributes: ``Tables(spark, folder).pages``."""
 
@@ -47,9 +44,13 @@ def spread_scan(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header and quoted fields that may hold line breaks and doubled quotes."""
-    return spark.read.schema(schema).options(**_CSV).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """CSV with a header and quoted fields that may hold line breaks and doubled quotes.
+
+    A file with line breaks inside fields is read by one task; key snapshots have none, and
+    ``multi_line=False`` lets large ones be split.
+    """
+    return spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

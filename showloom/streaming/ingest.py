@@ -18,6 +18,9 @@ from ..sources import schemas as S
 from ..sources import tables
 
 
+_BATCH_BYTES = 1 << 40
+
+
 @dataclass(frozen=True)
 class Ingest:
     """``extract`` maps pages to ``(page_id, <key>, fields...)``, row by row."""
@@ -43,10 +46,12 @@ class Ingest:
         once.write.mode("overwrite").parquet(f"{self.rows}/stream={stream}/batch={batch_id}")
 
     def run(self, source: str, stream: str, files_per_batch: int | None = None) -> None:
-        """Take in what has arrived since the last run of this stream, then stop."""
-        reader = self.spark.readStream.schema(S.PAGES)
-        if files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        """Take in what has arrived since the last run of this stream, then stop.
+
+        A backlog is cut into batches by size, or by number of files if that is given.
+        """
+        limit = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", _BATCH_BYTES)
+        reader = self.spark.readStream.schema(S.PAGES).option(*limit)
         query = (
             reader.parquet(source)
             .writeStream.foreachBatch(lambda pages, batch_id: self.store_batch(pages, stream, batch_id))
