@@ -34,7 +34,7 @@ OTHER_NAMES = {
 _TOKEN = r"([^&]++|&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);|&)"
 
 
-_TABLE = {name: chr(0xA0 + i) for i, name in enumerate(LATIN1_NAMES)} | OTHER_NAMES
+_TABLE = OTHER_NAMES | {name: chr(0xA0 + i) for i, name in enumerate(LATIN1_NAMES)}
 
 
 def _names() -> Column:

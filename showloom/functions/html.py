@@ -20,6 +20,7 @@ from .text import let, none_if_empty, strip
 
 _TAG = r"</?[A-Za-z!?][^>]*>"
 _FAST_DEPTH = 6
+_NEAR = 2000  # an element is first looked for in this many characters, then in all
 
 
 @dataclass(frozen=True)
@@ -119,21 +120,44 @@ def _cut(rest: Column, sel: Selector) -> Column:
     return let(_closed(rest, sel), lambda e: F.when(e != "", e).otherwise(_counted(rest)))
 
 
+def _from(html: Column, sel: Selector) -> Column:
+    """The markup from the start tag of the first match on, ``""`` if there is none."""
+    scanned = lambda h: F.regexp_extract(h, f"(?s){sel.open()}.*", 0)
+    if sel.marker is None:
+        return scanned(html)
+
+    # the marker stands in the first match or in front of it, so look at the tag around it first
+    def around(h: Column) -> Column:
+        return let(F.substring_index(h, sel.marker, 1), lambda ahead: tag_at(h, ahead))
+
+    def tag_at(h: Column, ahead: Column) -> Column:
+        start = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
+
+        def checked(behind: Column) -> Column:
+            tag = F.concat(start, F.substring_index(behind, ">", 1), F.lit(">"))
+            usual = F.contains(ahead, F.lit("<")) & tag.rlike(rf"\A{sel.open()}")
+            return F.when(usual, F.concat(start, behind)).otherwise(scanned(h))
+
+        return let(F.substr(h, F.length(ahead) + 1), checked)
+
+    return let(html, lambda h: F.when(F.contains(h, F.lit(sel.marker)), around(h)).otherwise(F.when(h.isNotNull(), "")))
+
+
 def first(html: Column, sel: Selector) -> Column:
     """First element in document order, null if there is none."""
 
-    def found(h: Column) -> Column:
-        rest = F.regexp_extract(h, f"(?s){sel.open()}.*", 0)
-        return let(rest, lambda r: F.when(r != "", _cut(r, sel)))
+    def near(rest: Column) -> Column:
+        e = _closed(F.substr(rest, F.lit(1), F.lit(_NEAR)), sel)
+        return let(e, lambda e: F.when(e != "", e).otherwise(_cut(rest, sel)))
 
-    if sel.marker is None:
-        return found(html)
-    return let(html, lambda h: F.when(F.contains(h, F.lit(sel.marker)), found(h)))
+    return let(_from(html, sel), lambda rest: F.when(rest != "", near(rest)))
 
 
 def first_tag(html: Column, sel: Selector) -> Column:
     """Only the start tag of the first match; enough for attributes and void elements."""
-    return none_if_empty(F.regexp_extract(html, sel.open(), 0))
+    if sel.marker is None:
+        return none_if_empty(F.regexp_extract(html, sel.open(), 0))
+    return none_if_empty(F.regexp_extract(_from(html, sel), rf"\A{sel.open()}", 0))
 
 
 @dataclass(frozen=True)
@@ -168,7 +192,11 @@ def each_match(html: Column, sel: Selector, body, inner: str = "") -> Column:
 
         return F.transform(F.filter(F.transform(pieces, at), lambda s: s.isNotNull()), lambda s: s["v"])
 
-    return let(F.split(html, f"(?s)(?={head})", -1), one)
+    pieces = lambda h: F.split(h, f"(?s)(?={head})", -1)
+    if sel.marker is None:
+        return let(pieces(html), one)
+    marked = lambda h: F.contains(h, F.lit(sel.marker))
+    return let(let(html, lambda h: F.when(marked(h), pieces(h)).when(h.isNotNull(), F.array(h))), one)
 
 
 def every(html: Column, sel: Selector, body=lambda e: e) -> Column:

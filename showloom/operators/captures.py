@@ -28,8 +28,7 @@ def listing_a(pages: DataFrame) -> DataFrame:
     """Alphabetical listing -> ``show_url``, one row per item; an item without link gives null."""
     region = H.first(F.col("html"), H.css(exact="region region-content"))
     boxes = H.every(region, H.css(cls="alphabetical-container"), _item_links)
-    links = prepared(pages).select(F.flatten(boxes).alias("links"))
-    return links.select(F.explode("links").alias("show_url"))
+    return prepared(pages).select(F.explode(F.flatten(boxes)).alias("show_url"))
 
 
 def _item_links(box: Column) -> Column:

@@ -84,7 +84,7 @@ def text_cleanup(t: Tables) -> DataFrame:
     """A heading in front, and NBSP runs for the commas."""
     text = F.col("text")
     wide = F.concat(F.lit("\n Requirements\n\n"), F.replace(text, F.lit(","), F.lit("\u00a0\u00a0")))
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id",
         T.requirement_text(wide).alias("requirements"),
         T.warning_text(F.concat(F.lit(" Video Warning\r\n"), text, F.lit("\n"))).alias("warning"),
