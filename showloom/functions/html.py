@@ -19,6 +19,7 @@ from .entities import unescape
 from .text import let, none_if_empty, strip
 
 _TAG = r"</?[A-Za-z!?][^>]*>"
+WRAPPED = r"(?:<\w[^>]*>)*"  # start tags between an element's own and its only text
 _FAST_DEPTH = 6
 _NEAR = 2000  # an element is first looked for in this many characters, then in all
 

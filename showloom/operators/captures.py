@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from .joins import distinct_keys, keep_rows
+
+_FEW = 100_000
 
 
 def prepared(pages: DataFrame) -> DataFrame:
@@ -24,6 +27,19 @@ def latest(records: DataFrame, key: str = "url", order: str = "page_id") -> Data
     return records.groupBy(key).agg(newest).select(key, "__r.*")
 
 
+def wanted(pages: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Pages that few keys ask for, picked before anything is read out of them.
+
+    The keys must be cheap to count, a stored table. Up to ``_FEW`` rows they are broadcast, and
+    no page is moved. Beyond that all pages stay: reading their fields and joining on those moves
+    far less than joining whole pages would, and that join drops what is not asked for.
+    """
+    if keys.count() > _FEW:
+        return pages
+    few = F.broadcast(distinct_keys(keys, on))
+    return keep_rows(pages, few, on, "left_semi")
+
+
 def listing_a(pages: DataFrame) -> DataFrame:
     """Alphabetical listing -> ``show_url``, one row per item; an item without link gives null."""
     region = H.first(F.col("html"), H.css(exact="region region-content"))

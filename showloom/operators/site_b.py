@@ -65,7 +65,7 @@ def related_links(html: Column) -> Column:
     def targets(m: H.Match) -> Column:
         return F.transform(H.first_and_sibling(m.tail(), "a"), lambda t: H.attribute(t, "href"))
 
-    pairs = H.each_match(H.first(html, _OVERVIEW), css("h3"), targets, inner="Related Shows</")
+    pairs = H.each_match(H.first(html, _OVERVIEW), css("h3"), targets, inner=H.WRAPPED + "Related Shows</")
     return F.get(pairs, F.lit(0))
 
 

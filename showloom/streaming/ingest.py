@@ -1,8 +1,9 @@
 """Incremental ingest of captured pages as a stream.
 
 The rows already stored are the known keys: their key column is all a batch reads of them, and
-there is no second table that could disagree with the first. Each micro-batch writes a folder
+there is no second table that could disagree with the first. Each micro-batch writes folders
 named by stream and batch, so a batch that is run again after a failure replaces its own rows.
+Which pages are new is settled on their keys alone; whole pages are never shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import captures, diff
+from ..operators.joins import distinct_keys, keep_rows
 from ..sources import schemas as S
 from ..sources import tables
 
@@ -41,9 +43,16 @@ class Ingest:
         return stored.filter((F.col("stream") != stream) | (F.col("batch") < batch_id)).select(self.key)
 
     def store_batch(self, pages: DataFrame, stream: str, batch_id: int) -> None:
-        fresh = diff.new_rows_of_small_batch(self.known(stream, batch_id), pages, self.key)
-        once = captures.latest(self.extract(fresh), self.key)
-        once.write.mode("overwrite").parquet(f"{self.rows}/stream={stream}/batch={batch_id}")
+        part = f"stream={stream}/batch={batch_id}"
+        newest = pages.groupBy(self.key).agg(F.max("page_id").alias("page_id"))
+        fresh = diff.new_rows_of_small_batch(self.known(stream, batch_id), newest, self.key)
+        fresh.write.mode("overwrite").parquet(f"{self.folder}/fresh/{part}")
+        fresh = self.spark.read.parquet(f"{self.folder}/fresh/{part}")
+
+        near = captures.wanted(pages, fresh, ["page_id", self.key])
+        once = captures.latest(self.extract(near), self.key)
+        stored = keep_rows(once, distinct_keys(fresh, [self.key]), [self.key], "left_semi")
+        stored.write.mode("overwrite").parquet(f"{self.rows}/{part}")
 
     def run(self, source: str, stream: str, files_per_batch: int | None = None) -> None:
         """Take in what has arrived since the last run of this stream, then stop.

@@ -90,6 +90,8 @@ def test_orchestration(value):
     assert value(site_a.orchestration, f"<h1>x</h1>{table}").asDict(True)["Orchestration"] == {}
     assert value(site_a.orchestration, f"<h1>x</h1>{table}<h3>STANDARD ORCHESTRATION</h3>") is None
     assert value(site_a.orchestration, f"{table}<h1>x</h1>") is None
+    wrapped = value(site_a.orchestration, f"<h1>x</h1>{table}<h3><b>STANDARD ORCHESTRATION</b></h3>{table}")
+    assert list(wrapped["Orchestration"]) == ["STANDARD ORCHESTRATION"]
 
 
 def test_available_resource_needs_all_parts(value):
@@ -129,7 +131,13 @@ def stored(store):
     return store.spark.read.parquet(store.rows)
 
 
-def test_collect_a(spark, tmp_path):
+@pytest.fixture(params=[100_000, 0], ids=["few", "many"])
+def both_ways(request, monkeypatch):
+    """Changes counted as few, and as many."""
+    monkeypatch.setattr(captures, "_FEW", request.param)
+
+
+def test_collect_a(spark, tmp_path, both_ways):
     store = Store(spark, str(tmp_path))
     captured = pages(spark, *[(f"u{n}", show(n)) for n in (1, 2, 3)], *[(f"{A}/print/{n}", printed(n)) for n in (1, 2, 3)])
     first = pages(spark, ("l", listing_a("u1", "u2", None)))
@@ -149,7 +157,7 @@ def listing_b(*urls):
     return "".join(box.format(u) for u in urls)
 
 
-def test_collect_b(spark, tmp_path):
+def test_collect_b(spark, tmp_path, both_ways):
     store = Store(spark, str(tmp_path))
     captured = pages(spark, *[(f"u{n}/", f"<h1 class='single-title custom-post-type-title'>{n}</h1>") for n in (1, 2, 3)])
     one = pages(spark, ("http://x/show-type/broadway/?l=en", listing_b("u1/", "u2/")), ("http://x/show-type/young-part/", listing_b("u2/")))

@@ -3,6 +3,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from showloom.functions import html as H
+from showloom.operators import captures
 from showloom.sources import schemas as S
 from showloom.streaming.ingest import Ingest
 
@@ -37,6 +38,19 @@ def test_overlapping_batches(spark, tmp_path):
     assert result(ingest) == got
 
 
+def test_many_new_pages_take_the_other_way(spark, tmp_path, monkeypatch):
+    made = [(i, f"u{i % 7}", f"<title>{i}</title>") for i in range(50)] + [(49, "u0", "<title>49</title>")]
+    pages = spark.createDataFrame(made, S.PAGES)
+    results = []
+    for few in (100_000, 0):
+        monkeypatch.setattr(captures, "_FEW", few)
+        ingest = Ingest(spark, str(tmp_path / str(few)), titles)
+        ingest.store_batch(pages.filter("page_id < 20 AND url < 'u4'"), "s", 0)
+        ingest.store_batch(pages, "s", 1)
+        results.append(result(ingest))
+    assert results[0] == results[1] and len(results[0]) == 7
+
+
 def test_a_batch_run_again_replaces_its_rows(spark, tmp_path):
     ingest = Ingest(spark, str(tmp_path), titles)
     batches = [
