@@ -3,7 +3,8 @@
 A selector is compiled to a Java regular expression. Elements are cut out with possessive
 quantifiers, which run in linear time and constant stack; markup nested deeper than the
 expression spells out, or left open, goes through a depth count over the tags instead, so
-there is no depth limit. An element left open reaches to the end of the enclosing fragment.
+there is no depth limit. An element left open reaches to the end of the enclosing fragment. A
+``<`` in an attribute value has to be written as an entity, a ``>`` need not.
 
 All functions expect ``markup(html)``: comments, scripts and styles already blanked.
 """
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 from .entities import unescape
 from .text import let, none_if_empty, strip
 
-_TAG = r"</?[A-Za-z!?][^>]*>"
+# the rest of a tag: quotes hide a ">" only where they enclose a value
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
+_TAG = rf"</?[A-Za-z!?]{_REST}>"
 WRAPPED = r"(?:<\w[^>]*>)*"  # start tags between an element's own and its only text
 _FAST_DEPTH = 6
 _NEAR = 2000  # an element is first looked for in this many characters, then in all
@@ -40,36 +43,41 @@ class Selector:
     @property
     def marker(self) -> str | None:
         """A literal every matching page contains; spares the regular expression on the others."""
-        return self.cls or self.exact or self.ident
+        return self.cls or self.ident or (max(self.exact.split(), key=len) if self.exact else None)
 
     def open(self) -> str:
         name = f"(?i:{self.tag})" if self.tag else r"\w+"
         tests = ""
         if self.cls:
-            token = rf"(?:[^\"'>]*\s)?\Q{self.cls}\E(?:\s[^\"'>]*)?"
-            tests += _attribute_test("class", token)
+            tests += _attribute_test("class", rf"(?:[^\"']*\s)?\Q{self.cls}\E(?:\s[^\"']*)?")
         if self.exact:
-            tests += _attribute_test("class", rf"\Q{self.exact}\E")
+            tests += _attribute_test("class", r"\s*" + r"\s+".join(rf"\Q{c}\E" for c in self.exact.split()) + r"\s*")
         if self.ident:
             tests += _attribute_test("id", rf"\Q{self.ident}\E")
         if self.has:
-            tests += rf"(?=[^>]*\s(?i:{self.has})\s*=)"
-        return rf"<(?<t>{name})(?=[\s/>]){tests}[^>]*+>"
+            tests += f"(?={_up_to(self.has)})"
+        return rf"<(?<t>{name})(?=[\s/>]){tests}{_REST}>"
 
 
 def css(tag=None, cls=None, exact=None, ident=None, has=None) -> Selector:
     return Selector(tag, cls, exact, ident, has)
 
 
+def _up_to(name: str) -> str:
+    """From inside a tag to behind the equals sign of an attribute."""
+    found = rf"(?i:{name})\s*="
+    return rf"""(?:[^>=\s]++|=\s*+(?:"[^"]*+"|'[^']*+')|=|\s(?!{found}))*+\s{found}"""
+
+
 def _attribute_test(name: str, value: str) -> str:
-    return rf"(?=[^>]*\s(?i:{name})\s*=\s*(?:\"{value}\"|'{value}'|{value}(?=[\s>])))"
+    return rf"""(?={_up_to(name)}\s*(?:"{value}"|'{value}'|(?![\"'])(?={value}[\s>])[^\s>]+))"""
 
 
 def _content(depth: int = _FAST_DEPTH) -> str:
     """Everything up to the matching end tag, with same-name elements nested ``depth`` levels."""
     piece = r"[^<]++|<(?!/?(?i:\k<t>)\b)"
     if depth:
-        piece += rf"|<(?i:\k<t>)\b[^>]*+>{_content(depth - 1)}</(?i:\k<t>)\b[^>]*+>"
+        piece += rf"|<(?i:\k<t>)\b{_REST}>{_content(depth - 1)}</(?i:\k<t>)\b[^>]*+>"
     return f"(?:{piece})*+"
 
 
@@ -135,7 +143,7 @@ def _from(html: Column, sel: Selector) -> Column:
         start = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
 
         def checked(behind: Column) -> Column:
-            tag = F.concat(start, F.substring_index(behind, ">", 1), F.lit(">"))
+            tag = F.concat(start, F.substr(behind, F.lit(1), F.lit(_NEAR)))
             usual = F.contains(ahead, F.lit("<")) & tag.rlike(rf"\A{sel.open()}")
             return F.when(usual, F.concat(start, behind)).otherwise(scanned(h))
 
@@ -214,7 +222,7 @@ def next_element(m: Match, sel: Selector) -> Column:
     """First ``sel`` behind the matched start tag, in its own piece or further on."""
 
     def behind(c: Column) -> Column:
-        return F.regexp_extract(c, r"(?s)\A<[^>]*>(.*)", 1)
+        return F.regexp_extract(c, rf"(?s)\A<{_REST}>(.*)", 1)
 
     near = F.regexp_extract(behind(m.piece), rf"(?s)({sel.open()}{_content()})</(?i:\k<t>)\b", 1)
     return let(near, lambda e: F.when(e != "", e).otherwise(first(behind(m.tail()), sel)))
@@ -227,14 +235,14 @@ VOID_TAGS = "area base br col embed hr img input link meta param source track wb
 def first_and_sibling(fragment: Column, tag: str) -> Column:
     """Start tags of the first such element and of its next sibling of that name, null without both."""
     voids = "|".join(VOID_TAGS)
-    start = rf"<(?i:{tag})(?=[\s/>])[^>]*+>"
+    start = rf"<(?i:{tag})(?=[\s/>]){_REST}>"
     other = _content().replace("<t>", "<s>")
     skip = (
-        rf"(?:[^<]++|<!--[^>]*>|<(?i:{voids})\b[^>]*+>"
-        rf"|<(?!(?i:{tag})[\s/>])(?<s>\w+)\b[^>]*+>{other}</(?i:\k<s>)\b[^>]*+>)*+"
+        rf"(?:[^<]++|<!--[^>]*>|<(?i:{voids})\b{_REST}>"
+        rf"|<(?!(?i:{tag})[\s/>])(?<s>\w+)\b{_REST}>{other}</(?i:\k<s>)\b[^>]*+>)*+"
     )
     ahead = rf"(?s)\A(?:[^<]++|<(?!(?i:{tag})[\s/>]))*+"
-    pair = rf"{ahead}(?=({start}))<(?<t>\w+)[^>]*+>{_content()}</(?i:\k<t>)\b[^>]*+>{skip}({start})"
+    pair = rf"{ahead}(?=({start}))<(?<t>\w+){_REST}>{_content()}</(?i:\k<t>)\b[^>]*+>{skip}({start})"
     found = F.array(*[F.regexp_extract(fragment, pair, i) for i in (1, 4)])
     return let(found, lambda tags: F.when(F.get(tags, F.lit(1)) != "", tags))
 
@@ -248,7 +256,7 @@ def previous_sibling(m: Match, tag: str) -> Column:
 
 def attribute(fragment: Column, name: str) -> Column:
     """Attribute of the start tag the fragment begins with, null if absent."""
-    raw = F.regexp_extract(fragment, rf"(?is)\A<[^>]*?\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    raw = F.regexp_extract(fragment, rf"""\A<{_up_to(name)}\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1)
     inside = lambda v: F.when(v.rlike("^[\"']"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
     return unescape(let(raw, lambda v: F.when(v != "", inside(v))))
 

@@ -8,6 +8,9 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
+
+from ..functions.nested import to_json
 
 class Tables:
     """Parquet tables of one folder as attributes: ``Tables(spark, folder).pages``."""
@@ -54,7 +57,10 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
+    """CSV with a header; nested columns as JSON text that keeps null fields."""
+    nested = [f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    flat = df.withColumns({n: to_json(F.col(f"`{n}`")) for n in nested}) if nested else df
+    flat.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:

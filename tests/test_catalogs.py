@@ -210,6 +210,8 @@ def test_collect_c(spark, tmp_path):
     assert not collect_c(store, one, details, 2)
     assert collect_c(store, payloads(spark, {"Products": [product(2), product(3), product(4)]}), details, 3)
     assert sorted(r.sid for r in stored(store).collect()) == [1, 2, 3]
+    profile = spark.read.parquet(store.profile).filter("run_id = 3").first()
+    assert (profile.sid, profile.genre, profile.short_description) == (2, 2, 2)
 
 
 def test_clean_job(spark, tmp_path):

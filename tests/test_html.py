@@ -87,7 +87,7 @@ def matches(node, sel):
     return (
         (sel.tag is None or node.tag == sel.tag)
         and (sel.cls is None or sel.cls in cls.split())
-        and (sel.exact is None or sel.exact == cls)
+        and (sel.exact is None or sel.exact == " ".join(cls.split()))
         and (sel.ident is None or sel.ident == node.attrs.get("id"))
     )
 
@@ -106,7 +106,9 @@ def random_html(rng, depth=0):
             pieces.append(rng.choice(["<br>", "<img src='/i.png' class=x>", "<!-- <div class='x'>no</div> -->", "<script>var a='<div class=\"x\">'</script>"]))
         else:
             tag = rng.choice(["div", "div", "div", "span", "p", "DIV"])
-            attrs = rng.choice(["", ' class="x"', " class='a x b'", ' class="xy"', ' id="k"', " class=x", ' data-class="x"', ' class="a x"\n id="k"'])
+            attrs = rng.choice(["", ' class="x"', " class='a x b'", ' class="xy"', ' id="k"', " class=x", ' data-class="x"', ' class="a x"\n id="k"',
+                ' title="a>b" class="x"', " title=it's class='x'", ' CLASS="x" title=\'div class="x">\'', ' class="a  x "', " class = 'x'",
+                ' class="a > x"', ' data-x="1=2" class="xx x"', " id='x' title"])
             pieces.append(f"<{tag}{attrs}>{random_html(rng, depth + 1)}</{tag.lower()}>")
     return "".join(pieces)
 

@@ -1,4 +1,6 @@
+import ast
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +114,31 @@ def test_positions(value):
     assert [value(N.first_two, x, "array<string>") for x in (["a"], ["a", "b", "c"], [], None)] == [None, ["a", "b"], None, None]
 
 
+def test_properties_of_buckets_and_counts(spark):
+    rng = random.Random(5)
+    labels = ["Music", "lyrics by", "Book", "Music and BOOK", "Director", "Lyrics/Book/Music", "bookmark", ""]
+    genders = ["Male", "female", "FEMALE", "x", "", None]
+    made = []
+    for i in range(300):
+        credits = {k: [f"{k}{j}" for j in range(rng.randint(0, 3))] for k in rng.sample(labels, rng.randint(0, 5))}
+        made.append((i, repr(credits), json.dumps([{"Gender": rng.choice(genders)} for _ in range(rng.randint(0, 6))])))
+    frame = spark.createDataFrame(made, "i int, c string, g string")
+    parsed = F.from_json("g", S.CHARACTERS)["Gender"]
+    rows = frame.select(
+        "c", "g", N.credit_buckets(N.literal_map(F.col("c"))).alias("b"),
+        *[c.alias(n) for n, c in N.gender_counts(parsed).items()],
+    ).collect()
+    for row in rows:
+        credits = ast.literal_eval(row.c)
+        for role in N.CREDIT_ROLES:
+            expected = [n for k, names in credits.items() if role in k.lower() for n in names]
+            assert (row.b[role] or []) == expected
+        assert (row.b.others or []) == [n for k, v in credits.items() if not any(r in k.lower() for r in N.CREDIT_ROLES) for n in v]
+        given = [x["Gender"] for x in json.loads(row.g) if x["Gender"] is not None]
+        assert row.male + row.female + row.other == len(given)
+        assert row.female == sum(x.lower() == "female" for x in given)
+
+
 def test_clean_catalog_takes_text_and_nested(spark):
     names = [c if c != "billing" else "Billing" for c in COLUMNS]  # names match whatever their case
     row = {c: None for c in names} | {

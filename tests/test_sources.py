@@ -13,6 +13,13 @@ def test_csv_round_trip(spark, tmp_path):
     }
 
 
+def test_nested_columns_go_to_csv_as_json(spark, tmp_path):
+    one = spark.createDataFrame([(1, ["a"], {"k": ["b", None]}, (None, 2))], "i int, a array<string>, m map<string,array<string>>, s struct<x:int,y:int>")
+    tables.write_csv(one, str(tmp_path / "t"))
+    back = tables.read_csv(spark, str(tmp_path / "t"), "i int, a string, m string, s string").first()
+    assert tuple(back) == (1, '["a"]', '{"k":["b",null]}', '{"x":null,"y":2}')
+
+
 def test_snapshot_csv(spark, tmp_path):
     (tmp_path / "keys.csv").write_text("url,filter\nhttps://x/a/,broadway\nhttps://x/b/,young-part\n")
     got = tables.read_csv(spark, str(tmp_path / "keys.csv"), S.SNAPSHOT_B, multi_line=False)
