@@ -140,16 +140,25 @@ def first_two(array: Column) -> Column:
 
 
 def last_wins_map(entries: Column) -> Column:
-    """``array<struct<key, value>>`` -> map; a repeated key keeps its last value."""
+    """``array<struct<key, value>>`` -> map.
 
-    def still_current(all_entries: Column):
-        def test(e: Column, i: Column) -> Column:
-            later = F.slice(all_entries, i + 2, F.size(all_entries))
-            return ~F.exists(later, lambda x: x["key"] == e["key"])
+    A repeated key keeps its last value at its first place. Equal keys are brought together by
+    sorting, so that many labels cost little more than few.
+    """
+
+    def by_key(e: Column, i: Column) -> Column:
+        return F.struct(e["key"].alias("key"), i.alias("place"), e["value"].alias("value"))
 
-        return test
+    def merged(es: Column) -> Column:
+        firsts = F.filter(es, lambda e, i: (i == 0) | (F.get(es, i - 1)["key"] != e["key"]))
+        lasts = F.filter(es, lambda e, i: (i == F.size(es) - 1) | (F.get(es, i + 1)["key"] != e["key"]))
+        pairs = F.zip_with(
+            firsts, lasts, lambda f, l: F.struct(f["place"].alias("place"), l["key"].alias("key"), l["value"].alias("value"))
+        )
+        in_order = F.transform(F.array_sort(pairs), lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value")))
+        return F.map_from_entries(in_order)
 
-    return let(entries, lambda es: F.map_from_entries(F.filter(es, still_current(es))))
+    return let(F.array_sort(F.transform(entries, by_key)), merged)
 
 
 # --- sections -----------------------------------------------------------------------------

@@ -75,8 +75,17 @@ def test_json_keeps_nulls(value):
 
 
 def test_last_wins(value):
-    entries = [("a", ["1"]), ("b", ["2"]), ("a", ["3"])]
-    assert value(N.last_wins_map, entries, "array<struct<key:string,value:array<string>>>") == {"a": ["3"], "b": ["2"]}
+    type_ = "array<struct<key:string,value:array<string>>>"
+    rng = random.Random(1)
+    for n in (0, 1, 3, 40):
+        entries = [(rng.choice("dcab"), [str(i)]) for i in range(n)]
+        expected = {}
+        for k, v in entries:
+            expected[k] = v
+        got = value(lambda c: F.map_entries(N.last_wins_map(c)), entries, type_)
+        assert [tuple(e) for e in got] == list(expected.items())
+    assert value(N.last_wins_map, None, type_) is None
+    assert value(N.last_wins_map, [("b", None), ("a", ["x", None])], type_) == {"b": None, "a": ["x", None]}
 
 
 def python_sections(text):
