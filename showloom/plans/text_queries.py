@@ -10,6 +10,7 @@ from ..functions import nested as N
 from ..functions import text as T
 from ..operators import diff
 from ..operators.clean import cast_size
+from ..operators.site_c import detail_url
 from ..sources import schemas as S
 from ..sources.tables import Tables
 from .registry import query
@@ -124,6 +125,7 @@ def digit_predicate(t: Tables) -> DataFrame:
 @query("""
     SELECT page_id, rtrim(url, '/') || '/upcoming/' AS upcoming_url,
            'https://www.concordtheatricals.com/p/' || page_id || '/page-' || page_id AS product_url,
+           'https://www.concordtheatricals.com/api/v1/products/' || page_id || '?' AS detail_url,
            'https://www.mtishows.com' || regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link
     FROM pages
 """)
@@ -134,6 +136,7 @@ def url_build(t: Tables) -> DataFrame:
         "page_id",
         T.join_url(F.col("url"), "/upcoming/").alias("upcoming_url"),
         T.join_url(S.PRODUCT_URL_C, "/", page, F.lit("/page-"), page).alias("product_url"),
+        detail_url(F.col("page_id")).alias("detail_url"),
         F.concat(F.lit(S.SITE_A), link).alias("first_link"),
     )
 

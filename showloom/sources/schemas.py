@@ -56,6 +56,7 @@ SITE_A = "https://www.mtishows.com"
 SITE_A_SHORT = "www.mtishows.com"
 LISTING_SIZE_C = 150
 PRODUCT_URL_C = "https://www.concordtheatricals.com/p/"
+DETAIL_URL_C = "https://www.concordtheatricals.com/api/v1/products/"
 LICENSE_URL_C = "https://license.concordtheatricals.com/performance-license/license?productId="
 
 # The categories catalogue B is listed by.
