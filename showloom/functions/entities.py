@@ -30,35 +30,52 @@ OTHER_NAMES = {
     "euro": "\u20ac", "trade": "\u2122", "larr": "\u2190", "rarr": "\u2192", "minus": "\u2212",
 }
 
-# Text runs, references and stray ampersands; together they cover the whole input.
-_TOKEN = r"([^&]++|&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*+);|&)"
+# What the references 128 to 159 stand for; five of them stand for nothing else.
+_C1 = [chr(i) for i in range(0x80, 0xA0)]
+_C1_MEANING = [bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)]
 
+# Text runs, references and stray ampersands; together they cover the whole input.
+_TOKEN = r"([^&]++|&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][-.A-Za-z0-9]*+)%s|&)"
 
 _TABLE = OTHER_NAMES | {name: chr(0xA0 + i) for i, name in enumerate(LATIN1_NAMES)}
 
 
 def _names() -> Column:
     """Reference -> character, a constant map; as one literal it is folded and quick to plan."""
-    return F.from_json(F.lit(json.dumps({f"&{n};": c for n, c in _TABLE.items()})), "map<string,string>")
+    return F.from_json(F.lit(json.dumps({f"&{n}": c for n, c in _TABLE.items()})), "map<string,string>")
+
 
+def _character(code: Column) -> Column:
+    """Code point as text; the replacement character where it is none."""
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(valid, F.translate(char, "".join(_C1), "".join(_C1_MEANING))).otherwise("\ufffd")
 
-def _code_point(hex_digits: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
 
+def unescape(c: Column, bare: bool = False) -> Column:
+    """Decode named and numeric references in one pass, so ``&amp;lt;`` gives ``&lt;``.
 
-def unescape(c: Column) -> Column:
-    """Decode named and numeric references in one pass, so ``&amp;lt;`` gives ``&lt;``."""
+    With ``bare``, as in text, a reference may do without its semicolon. Names that are not in
+    the tables above stay as they are.
+    """
+
+    def number(t: Column) -> Column:
+        # nothing beyond nine digits is a code point
+        digits = F.regexp_extract(t, "#[xX]?0*([0-9a-fA-F]{1,9});?$", 1)
+        value = F.when(t.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        return F.when(digits != "", value).cast("bigint")
 
     def token(t: Column) -> Column:
         return (
             F.when(~t.startswith("&"), t)
-            .when(t.rlike("^&#[xX]"), _code_point(F.regexp_extract(t, "([0-9a-fA-F]+);", 1)))
-            .when(t.startswith("&#"), _code_point(F.hex(F.regexp_extract(t, "([0-9]+)", 1).cast("bigint"))))
-            .otherwise(F.coalesce(F.try_element_at(_names(), t), t))
+            .when(t.startswith("&#"), let(number(t), _character))
+            .otherwise(F.coalesce(F.try_element_at(_names(), F.rtrim(t, F.lit(";"))), t))
         )
 
+    pattern = _TOKEN % (";?" if bare else ";")
+
     def decoded(text: Column) -> Column:
-        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), token), "")
+        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), token), "")
 
     return let(c, lambda text: F.when(F.contains(text, F.lit("&")), decoded(text)).otherwise(text))
 

@@ -92,7 +92,7 @@ def markup(html: Column) -> Column:
 
 def node_text(fragment: Column) -> Column:
     """All text nodes run together, entities decoded, nothing stripped."""
-    return unescape(F.regexp_replace(fragment, _TAG, ""))
+    return unescape(F.regexp_replace(fragment, _TAG, ""), bare=True)
 
 
 def stripped_text(fragment: Column) -> Column:
@@ -101,7 +101,7 @@ def stripped_text(fragment: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Text nodes stripped one by one and joined by a space; null gives ``""``."""
-    nodes = F.transform(F.split(markup(html), _TAG), lambda t: strip(unescape(t)))
+    nodes = F.transform(F.split(markup(html), _TAG), lambda t: strip(unescape(t, bare=True)))
     return F.coalesce(F.array_join(F.filter(nodes, lambda t: t != ""), " "), F.lit(""))
 
 

@@ -85,6 +85,16 @@ def test_entities(value, given, expected):
     assert value(unescape, given) == expected
 
 
+@pytest.mark.parametrize("given, expected", [
+    ("&#xD800;&#0;&#1114112;&#99999999999999;", "\ufffd" * 4), ("&#150;&#x80;&#x0000041;", "–€A"), ("&#129;", "\x81"),
+    ("&copy 2&copy;&lt;&#169 x&#xe9", "© 2©<© xé"), ("R&D &bogus &bogus; &lt.x &amp;copy", "R&D &bogus &bogus; &lt.x &copy"),
+])
+def test_bare_and_odd_references(value, given, expected):
+    assert value(lambda c: unescape(c, bare=True), given) == expected
+    if "copy" not in given:
+        assert value(unescape, given) == expected
+
+
 def test_escape_round_trip(value):
     text = "a < b & \"c\" > d &lt;"
     assert value(lambda c: unescape(escape(c)), text) == text
