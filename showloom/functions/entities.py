@@ -77,7 +77,7 @@ def unescape(c: Column, bare: bool = False) -> Column:
     def decoded(text: Column) -> Column:
         return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), token), "")
 
-    return let(c, lambda text: F.when(F.contains(text, F.lit("&")), decoded(text)).otherwise(text))
+    return let(c, lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))
 
 
 def escape(c: Column) -> Column:

@@ -143,20 +143,20 @@ def _from(html: Column, sel: Selector) -> Column:
         start = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
 
         def checked(behind: Column) -> Column:
-            tag = F.concat(start, F.substr(behind, F.lit(1), F.lit(_NEAR)))
-            usual = F.contains(ahead, F.lit("<")) & tag.rlike(rf"\A{sel.open()}")
+            tag = F.concat(start, behind.substr(1, _NEAR))
+            usual = ahead.contains("<") & tag.rlike(rf"\A{sel.open()}")
             return F.when(usual, F.concat(start, behind)).otherwise(scanned(h))
 
         return let(F.substr(h, F.length(ahead) + 1), checked)
 
-    return let(html, lambda h: F.when(F.contains(h, F.lit(sel.marker)), around(h)).otherwise(F.when(h.isNotNull(), "")))
+    return let(html, lambda h: F.when(h.contains(sel.marker), around(h)).otherwise(F.when(h.isNotNull(), "")))
 
 
 def first(html: Column, sel: Selector) -> Column:
     """First element in document order, null if there is none."""
 
     def near(rest: Column) -> Column:
-        e = _closed(F.substr(rest, F.lit(1), F.lit(_NEAR)), sel)
+        e = _closed(rest.substr(1, _NEAR), sel)
         return let(e, lambda e: F.when(e != "", e).otherwise(_cut(rest, sel)))
 
     return let(_from(html, sel), lambda rest: F.when(rest != "", near(rest)))
@@ -204,7 +204,7 @@ def each_match(html: Column, sel: Selector, body, inner: str = "") -> Column:
     pieces = lambda h: F.split(h, f"(?s)(?={head})", -1)
     if sel.marker is None:
         return let(pieces(html), one)
-    marked = lambda h: F.contains(h, F.lit(sel.marker))
+    marked = lambda h: h.contains(sel.marker)
     return let(let(html, lambda h: F.when(marked(h), pieces(h)).when(h.isNotNull(), F.array(h))), one)
 
 

@@ -81,7 +81,7 @@ def credit_buckets(credits: Column) -> Column:
             kept = F.map_filter(m, lambda label, _: test(F.lower(label)))
             return empty_to_null(F.flatten(F.map_values(kept)))
 
-        of = {role: names(lambda label, role=role: F.contains(label, F.lit(role))) for role in CREDIT_ROLES}
+        of = {role: names(lambda label, role=role: label.contains(role)) for role in CREDIT_ROLES}
         of["others"] = names(lambda label: ~label.rlike("|".join(CREDIT_ROLES)))
         return F.struct(*[c.alias(n) for n, c in of.items()])
 
@@ -180,7 +180,7 @@ def sections(text: Column, headers: dict[str, str]) -> Column:
 
     def lines_under(word: str):
         def of(bs: Column) -> Column:
-            mine = F.filter(bs, lambda b: F.startswith(strip(b), F.lit(word)))
+            mine = F.filter(bs, lambda b: strip(b).startswith(word))
             return F.flatten(F.transform(mine, _lines_behind_first))
 
         return of

@@ -17,7 +17,7 @@ PYTHON_SPACE = (
 
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` as a lambda variable."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.transform(F.array_repeat(value, 1), body).getItem(0)
 
 
 def none_if_empty(c: Column) -> Column:
