@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions import nested as N
 from ..functions import text as T
 from ..functions.html import css
 from ..operators import captures, site_a, site_b, site_c

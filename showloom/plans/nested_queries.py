@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nested as N
-from ..functions import text as T
 from ..operators import site_c
 from ..sources import schemas as S
 from ..sources.tables import Tables
