@@ -55,8 +55,8 @@ def _character(code: Column) -> Column:
 def unescape(c: Column, bare: bool = False) -> Column:
     """Decode named and numeric references in one pass, so ``&amp;lt;`` gives ``&lt;``.
 
-    With ``bare``, as in text, a reference may do without its semicolon. Names that are not in
-    the tables above stay as they are.
+    With ``bare`` a reference may do without its semicolon. Names that are not in the tables
+    above stay as they are.
     """
 
     def number(t: Column) -> Column:
