@@ -15,7 +15,7 @@ from .words import grams, hashed_words
 
 #: Labelled rows that are fitted on at most, and the parts they are learnt in side by side.
 MAX_TRAIN_ROWS = 16_000
-SHARDS = 8
+SHARDS = 1
 
 BITS = 18
 SLICE_BYTES = 2_000_000
@@ -25,23 +25,24 @@ SLICE_BYTES = 2_000_000
 class Settings:
     """Step sizes and penalties of the updates, and passes over the sample."""
 
-    alpha: float = 0.5
+    alpha: float = 5.0
     beta: float = 1.0
     l1: float = 1e-4
     l2: float = 1e-4
-    passes: int = 4
+    passes: int = 6
 
 
 def features(text: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed words and word pairs of texts: slots, weights and where each text's begin.
 
-    A word is a run of letters and digits or a run of other signs. A text's weights are the
-    roots of its counts, scaled to length 1.
+    A word is a run of letters and digits or a run of other signs. All pairs of a word with
+    itself are one feature. A text's weights are the roots of its counts, scaled to length 1.
     """
     raw, at = utf8(text)
     words = hashed_words(raw, at, lower=False, split="both")
     owner = words.owner()
     pairs = grams(words.hashes, 2)
+    pairs[words.hashes[1:] == words.hashes[:-1]] = 0
     inside = owner[:-1] == owner[1:] if len(owner) > 1 else np.zeros(0, bool)
     hashes = np.concatenate([words.hashes, pairs[inside]])
     whose = np.concatenate([owner, owner[:-1][inside]]).astype(np.uint64)
