@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, urls
+from . import leaks, packing, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,41 @@ def training_fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
 
 
+@query("""
+WITH words AS (
+  SELECT n, doc_id, list_filter(string_split_regex(w, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws
+  FROM (SELECT row_number() OVER () AS n, doc_id,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+),
+windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS size, list_slice(ws, p + 1, p + least(len(ws), 10)) AS win
+  FROM (SELECT *, unnest(range(0, greatest(len(ws) - 9, 1))) AS p FROM items WHERE len(ws) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT n, size, p, list_slice(ws, p + 1, p + size) AS win
+  FROM (SELECT n, ws, size, unnest(range(0, len(ws) - size + 1)) AS p FROM words, sizes WHERE len(ws) >= size)
+),
+hits AS (SELECT n, p, size, item_id FROM places JOIN windows USING (size, win)),
+covered AS (SELECT n, count(DISTINCT p + i) AS n_hit FROM (SELECT n, p, unnest(range(0, size)) AS i FROM hits) GROUP BY n),
+named AS (SELECT n, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT n, item_id FROM hits) GROUP BY n)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (n) LEFT JOIN named USING (n)
+""")
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 @query()
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
