@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leaks, packing, quality, urls
+from . import leaks, neighbours, packing, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    index = neighbours.ListIndex(vectors)
+    return index.search(index.rows.filter(F.col("vec_id") % 100 == 0), 10)
+
+
 def training_fold(doc_id):
     """Rows whose labels may be learnt from."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
