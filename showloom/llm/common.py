@@ -84,7 +84,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays of one length as byte planes, which the compression of a shuffle shrinks well."""
-    return b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() for a in arrays)
+    return b"".join(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
 
 
 def unpacked(data: bytes, *types) -> list[np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leaks, neighbours, packing, quality, urls
+from . import leaks, neighbours, packing, quality, recompression, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,11 @@ def training_fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("""
 WITH words AS (
   SELECT n, doc_id, list_filter(string_split_regex(w, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws
@@ -122,6 +127,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.remove_passages(table(spark, folder, "documents")).drop("kept")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 

@@ -1,0 +1,48 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import re
+
+BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def _gone(docs, size):
+    """docs: (id, tokens). For each, whether each token is covered by a window that starts in a smaller id."""
+    first = {}
+    for doc, tokens in docs:
+        if doc is not None:
+            for i in range(len(tokens) - size + 1):
+                w = tuple(tokens[i : i + size])
+                first[w] = min(first.get(w, doc), doc)
+    out = []
+    for doc, tokens in docs:
+        gone = [False] * len(tokens)
+        for i in range(len(tokens) - size + 1 if doc is not None else 0):
+            if first[tuple(tokens[i : i + size])] < doc:
+                gone[i : i + size] = [True] * size
+        out.append(gone)
+    return out
+
+
+def byte_repeats(docs, size=50):
+    rows = [(d, (t or "").encode()) for d, t in docs]
+    out = []
+    for (d, raw), gone in zip(rows, _gone(rows, size), strict=True):
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        out.append((d, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def word_repeats(docs, size=50):
+    rows = [(d, BLANKS.findall(t or "")) for d, t in docs]
+    out = []
+    for (d, words), gone in zip(rows, _gone(rows, size), strict=True):
+        kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+        out.append((d, len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
