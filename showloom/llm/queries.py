@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leaks, neighbours, packing, quality, recompression, suffixes, urls
+from . import jaccard, leaks, neighbours, packing, quality, recompression, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -127,6 +127,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op9_passage_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return recompression.remove_passages(table(spark, folder, "documents")).drop("kept")

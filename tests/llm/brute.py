@@ -46,3 +46,29 @@ def word_repeats(docs, size=50):
         kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
         out.append((d, len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def shingles(text, size=5):
+    words = BLANKS.findall(lowered(text))
+    if not words:
+        return set()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def components(docs):
+    """docs: (id, text). Rows (id, set size, smallest id reachable)."""
+    rows = [(d, shingles(t)) for d, t in docs]
+    parent = {d: d for d, _ in rows if d is not None}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    usable = [(d, s) for d, s in rows if d is not None and s]
+    for i, (d, s) in enumerate(usable):
+        for e, t in usable[:i]:
+            if 4 * len(s & t) >= 3 * len(s | t):
+                low, high = sorted((root(d), root(e)))
+                parent[high] = low
+    return [(d, len(s), None if d is None else root(d)) for d, s in rows]
