@@ -121,7 +121,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Da
     rows = keyed(docs)
     joined = rows.join(
         by_doc, rows.doc_id.eqNullSafe(by_doc.hit_id) & rows.text_key.eqNullSafe(by_doc.hit_key), "left"
-    ).select("doc_id", words(F.col("text")).alias("words"), "hits")
+    ).select("doc_id", rows.text_key, words(F.col("text")).alias("words"), "hits")
 
     def same(h, w):
         own = F.slice(F.col("words"), F.greatest(h.shift + w.start + 1, F.lit(1)), w.size)
@@ -141,16 +141,17 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Da
             x.start.alias("start"), x.size.alias("size"), F.transform(x.item_ids, lambda i: i.cast("string")).alias("item_ids")
         ),
     )
-    return joined.select("doc_id", "words", F.coalesce(ids, nothing).alias("found"))
+    return joined.select("doc_id", "text_key", "words", F.coalesce(ids, nothing).alias("found"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence), n_items, items (sorted ids) and contaminated."""
+    """Per row of ``docs``: doc_id, text_key (hash of the text), n_words, n_hit (words inside an occurrence), n_items, items (sorted ids) and contaminated."""
     found = occurrences(docs, benchmark, size)
     places = F.flatten(F.transform("found", lambda x: F.sequence(x.start, x.start + x.size - 1)))
     items = F.sort_array(F.array_distinct(F.flatten(F.transform("found", lambda x: x.item_ids))))
     return found.select(
         "doc_id",
+        "text_key",
         F.size("words").cast("long").alias("n_words"),
         F.size(F.array_distinct(places)).cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
@@ -159,6 +160,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """Rows of ``docs``, with all columns, in which no window of an item occurs."""
+    found = contamination(docs, benchmark, size).filter("contaminated").select(
+        F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")
+    )
+    same = docs.doc_id.cast("long").eqNullSafe(found.bad_id) & (F.xxhash64(docs.text) == found.bad_key)
+    return docs.join(found, same, "left_anti")
+
+
 def near_matches(index: PhraseIndex, within: int, terms: int = 3) -> DataFrame:
     """Documents in which the rarest terms of an item stand within ``within`` words of one another, in any order.
 

@@ -111,6 +111,13 @@ def train(
     return weights
 
 
+def scores_of(text: pa.Array, weights: np.ndarray, bits: int) -> np.ndarray:
+    slots, values, at = features(text, bits)
+    sums = np.append(0.0, np.cumsum(weights[slots] * values))
+    dots = sums[at[1:]] - sums[at[:-1]] + weights[-1]
+    return 1 / (1 + np.exp(-np.clip(dots, -30, 30)))
+
+
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1, higher: label 1 likelier) of every row; null and empty texts have the constant's.
 
@@ -122,12 +129,21 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS) -> DataFrame:
         w = sent.value
         for batch in batches:
             for part in pieces(batch, "text", SLICE_BYTES):
-                slots, values, at = features(part.column("text"), bits)
-                sums = np.append(0.0, np.cumsum(w[slots] * values))
-                dots = sums[at[1:]] - sums[at[:-1]] + w[-1]
-                scores = 1 / (1 + np.exp(-np.clip(dots, -30, 30)))
+                scores = scores_of(part.column("text"), w, bits)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array(scores)], ["doc_id", "score"]
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, weights: np.ndarray, bits: int = BITS, least: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, with all columns, whose ``text`` scores ``least`` or more; nothing is shuffled."""
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text", SLICE_BYTES):
+                yield part.filter(pa.array(scores_of(part.column("text"), sent.value, bits) >= least))
+
+    return docs.mapInArrow(run, docs.schema)

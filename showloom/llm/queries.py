@@ -41,7 +41,7 @@ def training_fold(doc_id):
 
 @query()
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept")
+    return suffixes.remove_repeats(table(spark, folder, "documents")).drop("kept", "text_sha256")
 
 
 @query("""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import mixed, runs, utf8
 from .repeats import Runs, covered, one_text, without_repeats
@@ -113,14 +115,14 @@ class SuffixScheme:
         return out
 
 
-SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, text_sha256 string"
 
 
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """Every row of ``docs`` without the bytes covered by a string of ``window`` bytes that also starts in a document of smaller id.
 
-    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept (the bytes that stay, maybe not
-    whole characters). A null text is empty; texts shorter than a window stay; matches are
+    doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept (the bytes that stay, maybe not
+    whole characters) and text_sha256 (of the whole text). A null text is empty; texts shorter than a window stay; matches are
     judged on the input and never cross documents. A null doc_id is smaller than none and
     larger than none: its row stays whole. Rows with the same doc_id do not take bytes from
     one another. Other columns play no part.
@@ -140,7 +142,32 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         return pa.table({
             "doc_id": documents.column("doc_id"), "n_bytes": np.diff(at), "n_removed": np.diff(removed),
             "n_spans": np.diff(spans), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
-            "kept": pa.array(kept, pa.binary()),
+            "kept": pa.array(kept, pa.binary()), "text_sha256": [
+                hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+            ],
         })
 
     return without_repeats(docs, SuffixScheme(window), result, SCHEMA)
+
+
+def without_copies(docs: DataFrame, window: int = 50) -> DataFrame:
+    """``docs`` with all columns, where ``text`` has lost the strings that ``remove_repeats`` removes; no row goes.
+
+    Bytes of a character that was cut at the edge of a removed string go with it. Rows without a removed byte
+    stay as they are; ``n_chars``, where there is one, follows the text.
+    """
+    cut = remove_repeats(docs, window).filter("n_removed > 0").dropDuplicates(["doc_id", "text_sha256"])
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.decode(errors="ignore") for x in batch.column("kept").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("cut_id"), batch.column("text_sha256"), pa.array(texts, pa.string())], ["cut_id", "text_sha256", "kept"])
+
+    cut = cut.select(F.col("doc_id").alias("cut_id"), "text_sha256", "kept").mapInArrow(decoded, "cut_id long, text_sha256 string, kept string")
+    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    rows = docs.alias("d").join(cut.alias("c"), (F.col("d.doc_id") == F.col("c.cut_id")) & (key == F.col("c.text_sha256")), "left")
+    whole = F.col("c.cut_id").isNull()
+    values = {"text": F.when(whole, F.col("d.text")).otherwise(F.col("c.kept"))}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(whole, F.col("d.n_chars")).otherwise(F.length("c.kept").cast("long"))
+    return rows.select(*[values.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
