@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, neighbours, packing, quality, recompression, suffixes, urls
+from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query()
 def op2_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
@@ -127,6 +132,12 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op7_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The table's messages, first written as mail that quotes what it answers."""
+    return quotes.conversations(quotes.quoting(table(spark, folder, "conversations")))
+
+
 @query()
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
