@@ -115,7 +115,8 @@ def records(shows: DataFrame, pages: DataFrame, upcoming_pages: DataFrame | None
     """Raw catalogue B for ``shows(url, filter)``: the row of a url listed twice comes twice."""
     html = F.col("html")
     if upcoming_pages is None:
-        upcoming_pages = pages.filter(html.contains("upcoming"))
+        # the newest capture counts also where it has no productions any more
+        upcoming_pages = pages.withColumn("html", F.when(html.contains("upcoming"), html).otherwise(F.lit("")))
     fields = [c.alias(n) for n, c in show_fields(html).items()]
 
     show_side = captures.latest(captures.prepared(pages).select("page_id", F.col("url").alias("show_url"), *fields), "show_url")

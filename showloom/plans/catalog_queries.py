@@ -290,7 +290,7 @@ def product_details(t: Tables) -> DataFrame:
 """)
 def product_rows(t: Tables) -> DataFrame:
     """Listing and details side by side, listed products counted under their document's id."""
-    listed = _products(t).withColumn("sid", F.floor(F.col("sid") / 1000000))
+    listed = _products(t).withColumn("sid", F.expr("sid div 1000000"))
     both = site_c.listing_with_details(listed, _details(t))
     return both.select(
         "sid", "show_id", "show_title", "show_type", "genre", "duration", "minimum_license_fee", "apply_for_license"

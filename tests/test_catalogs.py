@@ -230,3 +230,23 @@ def test_listings(spark):
     tagged = captures.tagged(spark.range(1), "t")
     assert tagged.first().filter == "t"
     assert captures.listing_b(pages(spark, ("x", listing_b("a", "a"))), F.lit("c")).count() == 2
+
+
+def test_the_newest_capture_counts_also_without_fields(spark):
+    shows = spark.createDataFrame([("u1",)], "show_url string")
+    captured = pages(spark, ("u1", show(1)), (A + "/print/1", printed("old")), (A + "/print/1", "<html></html>"))
+    every_kind = site_a.records(shows, captured, captured, captured).collect()
+    assert site_a.records(shows, captured).collect() == every_kind and every_kind[0].show_title is None
+
+    listed = spark.createDataFrame([("u/", "x")], "url string, filter string")
+    upcoming = "<div class='upcoming'><h5>L</h5><span class='date-display-start'>a</span><span class='date-display-end'>b</span></div>"
+    captured = pages(spark, ("u/", "<html></html>"), ("u/upcoming/", upcoming), ("u/upcoming/", "<html></html>"))
+    assert site_b.records(listed, captured).first().upcoming_productions is None
+
+
+def test_a_detail_captured_again_does_not_double_its_product(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    again = {**detail(1), "LicensingFeeDisplay": "<strong>Fee</strong>: $9"}
+    details = spark.createDataFrame([(2, json.dumps(again)), (1, json.dumps(detail(1))), (3, None), (4, "{}")], "n int, payload string")
+    assert collect_c(store, payloads(spark, {"Products": [product(1)]}), details, 1, order="n")
+    assert [r.minimum_license_fee for r in stored(store).collect()] == ["$9"]
