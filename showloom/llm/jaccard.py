@@ -201,21 +201,21 @@ def block_pairs(lists: DataFrame) -> DataFrame:
     """All pairs of members of one list that are in different components and whose sizes and positions allow a link.
 
     Lists are ordered by size and cut into blocks; pairs of blocks are skipped by their least and greatest sizes and
-    least positions, and where both lie in one component.
+    by the most shingles that any of their sets has left from its position on, and where both lie in one component.
     """
     place = F.row_number().over(Window.partitionBy("shingle").orderBy("size", "pos", "node")) - 1
     placed = lists.withColumn("block", F.floor(place / BLOCK).cast("int"))
     entry = F.struct("node", "size", "pos", "comp")
     blocks = placed.groupBy("shingle", "block").agg(
         F.collect_list(entry).alias("entries"), F.min("size").alias("low"), F.max("size").alias("high"),
-        F.min(F.col("pos") / F.col("size")).alias("first"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
+        F.max(F.col("size") - F.col("pos")).alias("room"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
     )
     x, y = blocks.alias("x"), blocks.alias("y")
-    least = NUMERATOR / DENOMINATOR
+    needed = (F.col("x.low") + F.col("y.low")) * NUMERATOR
     met = x.join(y, F.col("x.shingle") == F.col("y.shingle")).filter(
         (F.col("x.block") <= F.col("y.block"))
         & (F.col("x.high") * DENOMINATOR >= F.col("y.low") * NUMERATOR)
-        & (F.greatest("x.first", "y.first") <= 1 - least + 1e-9)
+        & (F.least("x.room", "y.room") * (NUMERATOR + DENOMINATOR) >= needed)
         & ~((F.col("x.c0") == F.col("x.c1")) & (F.col("y.c0") == F.col("y.c1")) & (F.col("x.c0") == F.col("y.c0")))
     ).select((F.col("x.block") == F.col("y.block")).alias("own"), F.col("x.entries").alias("e"), F.col("y.entries").alias("f"))
 
