@@ -3,9 +3,10 @@
 Equal sets are one class. An inverted index holds the prefix of each class's set, the rarest shingles
 first, with set size and position. Two relations save work. Between sets in a list: lists are
 cut into blocks by size, and blocks are skipped whose sizes and positions cannot reach the threshold.
-Between a set and a highly similar one: sets are compared with a pivot of their list first; sets
-that come to one component through it need no comparison with one another, and for
-the others the distances to a common pivot bound the distance between them.
+Between a set and a highly similar one: sets are compared with a pivot of their list first. Sets
+that come to one component through it are compared whole with one reference of the component only; what any
+two of them share follows from their differences to it. For the others the distances to a
+common pivot bound the distance between them. All links come out, also those within a component.
 """
 
 from __future__ import annotations
@@ -259,8 +260,8 @@ def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 
 def linked(compared: DataFrame) -> DataFrame:
-    """Pairs a, b that are similar enough."""
-    return compared.filter(F.col("common") * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("m")) * NUMERATOR).select("a", "b")
+    """Pairs that are similar enough."""
+    return compared.filter(F.col("common") * (NUMERATOR + DENOMINATOR) >= (F.col("n") + F.col("m")) * NUMERATOR)
 
 
 def told_apart(pairs: DataFrame, compared: DataFrame) -> DataFrame:
@@ -301,8 +302,138 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Named sets of all rows; classes of equal sets (node, k1, k2, doc_id: the smallest); components of linked classes."""
+def differences(components: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """comp, node, n, d and diff of all sets with a component: the d shingles in which it differs from the set ``comp`` is."""
+    one = texts.select("node", "text")
+    two = texts.select(F.col("node").alias("comp"), F.col("text").alias("other"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (y for b in batches for x in pieces(b, "text", SLICE_BYTES) for y in pieces(x, "other", SLICE_BYTES)):
+            x, at = shingle_sets(part.column("text"), size)
+            y, to = shingle_sets(part.column("other"), size)
+            diff = [np.setxor1d(x[at[i] : at[i + 1]], y[to[i] : to[i + 1]], assume_unique=True) for i in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("comp"), part.column("node"), pa.array(np.diff(at)), pa.array(np.array([len(x) for x in diff], np.int64)),
+                    pa.array([x.tobytes() for x in diff], pa.binary()),
+                ],
+                ["comp", "node", "n", "d", "diff"],
+            )
+
+    rows = components.join(one, "node").join(two, "comp").select("comp", "node", "text", "other")
+    return rows.mapInArrow(run, "comp long, node long, n long, d long, diff binary")
+
+
+def shared_counts(e: list[np.ndarray], f: list[np.ndarray]) -> np.ndarray:
+    """How many values each of the sets ``e`` has in common with each of the sets ``f``."""
+    out = np.zeros((len(e), len(f)), np.int64)
+    x, y = np.concatenate(e), np.concatenate(f)
+    both = np.intersect1d(x, y)
+    owner = [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (e, f)]
+    for i in range(0, len(both), CHUNK):
+        some = both[i : i + CHUNK]
+        met = []
+        for values, whose, n in ((x, owner[0], len(e)), (y, owner[1], len(f))):
+            at = np.searchsorted(some, values).clip(0, len(some) - 1)
+            there = some[at] == values
+            table = np.zeros((n, len(some)), np.float32)
+            table[whose[there], at[there]] = 1
+            met.append(table)
+        out += (met[0] @ met[1].T).astype(np.int64)
+    return out
+
+
+_LINKS = "a array<long>, b array<long>, n array<long>, m array<long>, common array<long>"
+
+
+def inner_links(components: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """All links between sets of one component, one row of arrays a, b, n, m and common for each pair of blocks.
+
+    Sets x and y differ in the shingles in which their differences to the reference do, so their texts are not read
+    again. Blocks hold sets at about the same distance from the reference; pairs of blocks are skipped whose
+    sizes or distances are too far apart.
+    """
+    rows = stored(differences(components, texts, size), "differences")
+    sizes = rows.groupBy("comp").agg(F.count(F.lit(1)).alias("of"))
+    level = F.when(F.col("of") > BLOCK, F.floor(4 * F.log2(F.col("d") + 1))).otherwise(0).cast("long")
+    leveled = rows.withColumn("key", F.struct("comp")).join(sizes.select(F.struct("comp").alias("to"), "of"), F.col("key") == F.col("to"))
+    leveled = leveled.select("comp", "node", "n", "d", "diff", level.alias("level"))
+    counts = leveled.groupBy("comp", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    counts = counts.select(F.struct("comp", "level").alias("to"), "blocks")
+    placed = leveled.withColumn("key", F.struct("comp", "level")).join(counts, F.col("key") == F.col("to"))
+    place = F.col("level") * F.lit(1 << 40) + F.pmod(F.xxhash64("node"), F.col("blocks"))
+    blocks = placed.withColumn("block", place).groupBy("comp", "block").agg(
+        F.collect_list(F.struct("node", "n", "d", "diff")).alias("entries"), F.min("n").alias("low"), F.max("n").alias("high"),
+        F.min("d").alias("near"), F.max("d").alias("far"),
+    )
+    blocks = stored(blocks, "blocks")
+    of = blocks.select("comp", "block", "low", "high", "near", "far")
+    x, y = of.alias("x"), of.alias("y")
+    gap = F.greatest(F.col("x.near") - F.col("y.far"), F.col("y.near") - F.col("x.far"))
+    met = x.join(y, F.col("x.comp") == F.col("y.comp")).filter(
+        (F.col("x.block") <= F.col("y.block"))
+        & (F.col("x.high") * DENOMINATOR >= F.col("y.low") * NUMERATOR)
+        & (F.col("y.high") * DENOMINATOR >= F.col("x.low") * NUMERATOR)
+        & (gap * (NUMERATOR + DENOMINATOR) <= (F.col("x.high") + F.col("y.high")) * (DENOMINATOR - NUMERATOR))
+    ).select(F.col("x.comp").alias("comp"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    met = met.join(blocks.select("comp", F.col("block").alias("i"), F.col("entries").alias("e")), ["comp", "i"])
+    met = met.join(blocks.select("comp", F.col("block").alias("j"), F.col("entries").alias("f")), ["comp", "j"])
+
+    def sets(entries: pa.ListScalar) -> tuple:
+        flat = entries.values
+        node, n, d = (np.asarray(flat.field(k)) for k in ("node", "n", "d"))
+        return node, n, d, [np.frombuffer(v, np.uint64) for v in flat.field("diff").to_pylist()]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own, e, f in zip(batch.column("own").to_pylist(), batch.column("e"), batch.column("f"), strict=True):
+                (a, n, c, p), (b, m, d, q) = sets(e), sets(f)
+                total = n[:, None] + m[None]
+                common = (total - (c[:, None] + d[None] - 2 * shared_counts(p, q))) // 2
+                fit = common * (NUMERATOR + DENOMINATOR) >= total * NUMERATOR
+                if own:
+                    fit &= a[:, None] < b[None]
+                i, j = np.nonzero(fit)
+                if len(i):
+                    turned = a[i] > b[j]
+                    out = (
+                        np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), np.where(turned, m[j], n[i]), np.where(turned, n[i], m[j]), common[i, j],
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.ListArray.from_arrays(pa.array([0, len(i)], pa.int32()), pa.array(v)) for v in out], ["a", "b", "n", "m", "common"]
+                    )
+
+    return met.select((F.col("i") == F.col("j")).alias("own"), "e", "f").mapInArrow(compare, _LINKS)
+
+
+def forests(blocks: DataFrame) -> DataFrame:
+    """a, b: each set of a row of links with the least one that it reaches by links of this row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
+                nodes, at = np.unique(np.concatenate([np.asarray(x.values), np.asarray(y.values)]), return_inverse=True)
+                near = np.zeros((len(nodes), len(nodes)), bool)
+                i, j = np.split(at, 2)
+                near[i, j] = near[j, i] = True
+                root = np.full(len(nodes), -1)
+                for k in range(len(nodes)):
+                    new = (np.arange(len(nodes)) == k) & (root < 0)
+                    while new.any():
+                        root[new] = k
+                        new = near[new].any(0) & (root < 0)
+                rest = root != np.arange(len(nodes))
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[root[rest]]), pa.array(nodes[rest])], ["a", "b"])
+
+    return blocks.select("a", "b").mapInArrow(run, "a long, b long")
+
+
+def similar_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
+    """Named sets of all rows; classes of equal sets (node, k1, k2, doc_id: the smallest); all links of classes.
+
+    Links come in two tables, both None if no two sets share a list: in rows of arrays those between sets that
+    pivots bring to one component (``inner_links``), and one by one the others (a, b, n, m, common).
+    """
     sets = stored(named_sets(docs, size), "sets")
     usable = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
@@ -310,7 +441,7 @@ def similar_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, Da
     texts = stored(class_texts(docs, classes, size), "texts")
     lists = stored(index_lists(texts, counters(texts, size), size), "lists")
     members = stored(texts.join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "members")
-    compared, components = None, None
+    compared = components = outer = None
     for round_ in range(PIVOT_ROUNDS + 1):
         current = labelled(lists, components)
         open_ = current.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("shingle")
@@ -324,19 +455,49 @@ def similar_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, Da
             pairs = told_apart(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), compared)
         new = stored(overlaps(pairs, members, size), "compared")
         compared = new if compared is None else compared.unionAll(new)
-        components = connected(linked(compared))
-    return sets, classes, components
+        if last:
+            outer = new
+        else:
+            components = connected(linked(compared).select("a", "b"))
+    if components is None:
+        return sets, classes, None, None if outer is None else linked(outer)
+    inner = stored(inner_links(components, members, size), "inner")
+    # without a last round no list has sets of two components, so there are no other links
+    return sets, classes, inner, None if outer is None else linked(outer)
+
+
+def links(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """The join: all pairs of classes of equal sets whose similarity is 3/4 or more, and the class of every row.
+
+    First a, b, n, m and common: the classes, the sizes of their sets and how many shingles both have, each pair
+    once with a < b. Then doc_id, n_shingles and node, the class (null for an empty set or a null doc_id); rows of one
+    class are linked too. Rows are linked if their classes are.
+    """
+    sets, classes, inner, outer = similar_classes(docs, size)
+    names = ["a", "b", "n", "m", "common"]
+    found = docs.sparkSession.createDataFrame([], "a long, b long, n long, m long, common long")
+    if inner is not None:
+        found = found.unionAll(inner.select(F.explode(F.arrays_zip(*names)).alias("x")).select("x.*").select(*names))
+    if outer is not None:
+        found = found.unionAll(outer.select(*names))
+    member = sets.join(classes.select("k1", "k2", "node"), ["k1", "k2"], "left")
+    return found, member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).alias("node"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their sets of word shingles is 3/4 or more; see
-    ``shingle_sets``. A document without words (null or blank text) has an empty set and no links:
+    ``shingle_sets``, and ``links`` for the links themselves, all of which are computed here too. A document without
+    words (null or blank text) has an empty set and no links:
     it is its own component. A row with a null doc_id has no links and a null component_id. Repeated rows are all
     returned; rows of one doc_id with different texts are compared like other documents. Other columns play no part.
     """
-    sets, classes, components = similar_classes(docs, size)
+    sets, classes, inner, outer = similar_classes(docs, size)
+    edges = None if inner is None else forests(inner)
+    if outer is not None:
+        edges = outer.select("a", "b") if edges is None else edges.unionAll(outer.select("a", "b"))
+    components = None if edges is None else connected(edges)
     known = labelled(classes, components)  # without components each class is its own
     least = known.groupBy("comp").agg(F.min("doc_id").alias("component"))
     known = known.join(least, "comp").select("k1", "k2", "component")

@@ -84,6 +84,30 @@ def test_jaccard_large_family(spark, monkeypatch):
     )
 
 
+@pytest.mark.parametrize("block, rounds", [(8, 0), (8, 1), (256, 3)])
+def test_jaccard_links_are_all_there(spark, monkeypatch, block, rounds):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    rng = random.Random(7)
+    docs = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(120)]
+        for i in range((40, 9, 2)[family]):
+            own = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3])):
+                own[rng.randrange(120)] = f"new{i}"
+            docs.append((len(docs), " ".join(own)))
+    pairs, members = jaccard.links(frame(spark, [*docs, (None, docs[0][1]), (500, None), (501, "alone here")]))
+    of = {r.doc_id: r.node for r in members.collect()}
+    assert len(of) == len(docs) + 3 and of[None] is None and of[500] is None and of[501] is not None
+    sets = {of[d]: brute.shingles(t) for d, t in docs}
+    assert all((of[d] == of[e]) == (brute.shingles(t) == brute.shingles(u)) for d, t in docs for e, u in docs)
+    wanted = sorted(
+        (a, b, len(s), len(t), len(s & t)) for a, s in sets.items() for b, t in sets.items() if a < b and 4 * len(s & t) >= 3 * len(s | t)
+    )
+    assert found(pairs, "a", "b", "n", "m", "common") == sorted(wanted, key=repr) and len(wanted) > 100
+
+
 def test_jaccard_null_ids_and_repeated_rows(spark):
     text = "one two three four five six seven eight"
     rows = [(None, text), (3, text), (3, text), (2, text), (2, "other words only here in this text"), (None, None), (9, None)]
