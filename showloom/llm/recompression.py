@@ -24,6 +24,8 @@ from .words import _BASE, hashed_words, powers
 ROUNDS = (("runs", 1), ("pairs", 1), ("pairs", 1), ("pairs", 2), ("pairs", 2), ("pairs", 3), ("pairs", 4))
 #: Words of the longest run that is named; a longer one keeps its symbols.
 LONGEST_RUN = 3
+#: Base of the second hash of a run or window.
+_OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def longest_symbol(rounds=ROUNDS) -> int:
@@ -98,7 +100,7 @@ class PassageScheme:
         n, size = len(tokens), self.window
         if n < size:
             none = np.zeros(0, np.int64)
-            return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
+            return Runs(none, none, none, *[none.view(np.uint64)] * 3)
         names, first, _ = symbols(tokens, at)
         low = np.uint64((1 << 24) - 1)
         keys = np.full(n, ~np.uint64(0))
@@ -119,17 +121,19 @@ class PassageScheme:
         start = np.flatnonzero(new & inside)
         edges = np.append(np.flatnonzero(new | ~inside), windows)
         count = edges[np.searchsorted(edges, start, "right")] - start
-        prefix, back = _sums(tokens, _BASE)
         end = start + count - 1 + size
-        content = mixed((prefix[end] - prefix[start]) * back[start])
-        content = mixed(content ^ ((anchor[start] - start).astype(np.uint64) << np.uint64(32)) ^ count.astype(np.uint64))
-        return Runs(owner[start], start, count, mixed(name_at[anchor[start]]), content)
+        shape = ((anchor[start] - start).astype(np.uint64) << np.uint64(32)) ^ count.astype(np.uint64)
+        contents = []
+        for base in (_BASE, _OTHER_BASE):
+            prefix, back = _sums(tokens, base)
+            contents.append(mixed(mixed((prefix[end] - prefix[start]) * back[start]) ^ shape))
+        return Runs(owner[start], start, count, mixed(name_at[anchor[start]]), *contents)
 
     def contexts(self, tokens: np.ndarray, start: np.ndarray, count: np.ndarray) -> list[bytes]:
         """The names of the windows: two hashes of 64 bits each."""
         place = runs(start.astype(np.int64), count.astype(np.int64))
         both = []
-        for base in (_BASE, 0xC2B2AE3D27D4EB4F):
+        for base in (_BASE, _OTHER_BASE):
             prefix, back = _sums(tokens, base)
             both.append(mixed((prefix[place + self.window] - prefix[place]) * back[place]))
         raw = np.stack(both, 1).tobytes()

@@ -27,19 +27,18 @@ PIECE = 1 << 20
 BATCH_BYTES = 12_000_000
 #: Groups that tasks work on one after the other, for each shuffle partition.
 GROUPS = 8
-#: Bits of names and of runs' contents that are compared in round one, 80 together.
-_NAME_BITS = 40
 
 
 @dataclass
 class Runs:
-    """Runs of windows: text, first window, number of windows, name of the anchor, name of the whole run."""
+    """Runs of windows: text, first window, number of windows, name of the anchor, 128 bits of hash of the whole run."""
 
     owner: np.ndarray
     first: np.ndarray
     count: np.ndarray
     name: np.ndarray
     content: np.ndarray
+    second: np.ndarray
 
     def __len__(self) -> int:
         return len(self.owner)
@@ -90,15 +89,15 @@ def all_runs(scheme: Scheme, tokens: np.ndarray, at: np.ndarray) -> Runs:
         found.append(part)
     if not found:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
-    return Runs(*(np.concatenate([getattr(x, f) for x in found]) for f in ("owner", "first", "count", "name", "content")))
+        return Runs(none, none, none, *[none.view(np.uint64)] * 3)
+    return Runs(*(np.concatenate([getattr(x, f) for x in found]) for f in ("owner", "first", "count", "name", "content", "second")))
 
 
-_TYPES = (np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32)  # name, content, doc, part, first, count
+_TYPES = (np.uint64, np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32)  # name, content, second, doc, part, first, count
 
 
-def _order(name, content, doc, part, first):
-    return np.lexsort((first, part, doc, content, name))
+def _order(name, content, second, doc, part, first):
+    return np.lexsort((first, part, doc, second, content, name))
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -110,14 +109,14 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def _settled(name, content, doc) -> np.ndarray:
-    """Of ordered runs: those equal to a run of a smaller document."""
-    new = _changes(name, content)
+def _settled(name, content, second, doc) -> np.ndarray:
+    """Of ordered runs: those equal to a run of a smaller document, by all bits of the anchor's name and of the content."""
+    new = _changes(name, content, second)
     least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
     return doc > least
 
 
-def _asked(name, content, doc) -> np.ndarray:
+def _asked(name, doc) -> np.ndarray:
     """Of ordered, unsettled runs: those of an anchor's name that has different runs in different documents."""
     if not len(name):
         return np.zeros(0, bool)
@@ -150,15 +149,14 @@ def round_one(docs: DataFrame, scheme: Scheme) -> DataFrame:
             keep = np.asarray(ids.is_valid())[found.owner]
             doc = long_values(ids)[found.owner]
             part = np.asarray(batch.column("part"))[found.owner].astype(np.int32)
-            shift = np.uint64(64 - _NAME_BITS)
-            columns = (found.name >> shift, found.content >> shift, doc, part, found.first.astype(np.int32), found.count.astype(np.int32))
+            columns = (found.name, found.content, found.second, doc, part, found.first.astype(np.int32), found.count.astype(np.int32))
             columns = [c[keep] for c in columns]
             del found
-            order = _order(*columns[:5])
+            order = _order(*columns[:6])
             columns = [c[order] for c in columns]
-            known = _settled(*columns[:3])  # within this batch: only the first document of equal runs is sent on
+            known = _settled(*columns[:4])  # within this batch: only the first document of equal runs is sent on
             to = (columns[0] % np.uint64(groups)).astype(np.int32)
-            to[known] = columns[2][known] % groups
+            to[known] = columns[3][known] % groups
             where = np.argsort(to, kind="stable")
             columns, to, known = [c[where] for c in columns], to[where], known[where]
             edges = np.searchsorted(to, np.arange(groups + 1))
@@ -169,7 +167,7 @@ def round_one(docs: DataFrame, scheme: Scheme) -> DataFrame:
                     k = known[s]
                     rows[0].append(g)
                     rows[1].append(packed(*(c[s][~k] for c in columns)))
-                    rows[2].append(packed(*(c[s][k] for c in columns[2:])))
+                    rows[2].append(packed(*(c[s][k] for c in columns[3:])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())],
                 ["target", "open", "known"],
@@ -178,15 +176,15 @@ def round_one(docs: DataFrame, scheme: Scheme) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
         open_ = [unpacked(x, *_TYPES) for x in table.column("open").to_pylist()]
         columns = [np.concatenate(c) for c in zip(*open_, strict=True)]
-        order = _order(*columns[:5])
+        order = _order(*columns[:6])
         columns = [c[order] for c in columns]
-        done = _settled(*columns[:3])
+        done = _settled(*columns[:4])
         left = [c[~done] for c in columns]
-        asked = _asked(*left[:3])
-        known = [np.concatenate(c) for c in zip(*(unpacked(x, *_TYPES[2:]) for x in table.column("known").to_pylist()), strict=True)]
+        asked = _asked(left[0], left[3])
+        known = [np.concatenate(c) for c in zip(*(unpacked(x, *_TYPES[3:]) for x in table.column("known").to_pylist()), strict=True)]
         n_asked, n_done = int(asked.sum()), int(done.sum()) + len(known[0])
-        rest = [np.concatenate([a[asked], b[done], c]) for a, b, c in zip(left[2:], columns[2:], known, strict=True)]
-        name = np.concatenate([left[0][asked], np.zeros(n_done, np.uint64)]).astype(np.int64)
+        rest = [np.concatenate([a[asked], b[done], c]) for a, b, c in zip(left[3:], columns[3:], known, strict=True)]
+        name = np.concatenate([left[0][asked], np.zeros(n_done, np.uint64)]).view(np.int64)
         return pa.table({
             "asked": np.arange(n_asked + n_done) < n_asked, "name": name,
             "doc_id": rest[0], "part": rest[1], "first": rest[2], "count": rest[3],

@@ -16,6 +16,8 @@ from .words import _BASE, byte_values, powers
 
 #: Bytes whose hashes choose a window's anchor: the least among all such strings of the window.
 GRAM = 20
+#: Base of the second hash of a run.
+_OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def longest_previous(lcp: list[int], docs: list[int]) -> list[int]:
@@ -75,7 +77,7 @@ class SuffixScheme:
         n, k, size = len(tokens), self.gram, self.window
         if n < size:
             none = np.zeros(0, np.int64)
-            return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
+            return Runs(none, none, none, *[none.view(np.uint64)] * 3)
         back = powers(n + 1, pow(_BASE, -1, 2**64))
         prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(byte_values(3)[tokens] * powers(n), out=prefix[1:])
@@ -95,9 +97,12 @@ class SuffixScheme:
         edges = np.append(np.flatnonzero(new | ~inside), len(anchor))
         count = edges[np.searchsorted(edges, start, "right")] - start
         end = start + count - 1 + size
-        content = mixed((prefix[end] - prefix[start]) * back[start])
-        content = mixed(content ^ ((anchor[start] - start).astype(np.uint64) << np.uint64(32)) ^ count.astype(np.uint64))
-        return Runs(owner[start], start, count, names[anchor[start]], content)
+        shape = ((anchor[start] - start).astype(np.uint64) << np.uint64(32)) ^ count.astype(np.uint64)
+        content = mixed(mixed((prefix[end] - prefix[start]) * back[start]) ^ shape)
+        np.cumsum(byte_values(4)[tokens] * powers(n, _OTHER_BASE), out=prefix[1:])
+        back = powers(n + 1, pow(_OTHER_BASE, -1, 2**64))
+        second = mixed(mixed((prefix[end] - prefix[start]) * back[start]) ^ shape)
+        return Runs(owner[start], start, count, names[anchor[start]], content, second)
 
     def contexts(self, tokens: np.ndarray, start: np.ndarray, count: np.ndarray) -> list[bytes]:
         raw = tokens.tobytes()

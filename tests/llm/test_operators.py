@@ -136,6 +136,26 @@ def test_passages(docs, rows):
     assert got == sorted(brute.word_repeats(sorted(rows)), key=repr)
 
 
+@pytest.mark.parametrize("field", ["content", "second"])
+def test_runs_that_share_bits_of_their_hash_are_told_apart(docs, rows, monkeypatch, field):
+    def weak(base):
+        class Weak(base):
+            def runs(self, tokens, at):
+                out = base.runs(self, tokens, at)
+                if hasattr(out, field):
+                    setattr(out, field, getattr(out, field) & np.uint64(0xFFFFFF))
+                return out
+
+        return Weak
+
+    monkeypatch.setattr(suffixes, "SuffixScheme", weak(suffixes.SuffixScheme))
+    monkeypatch.setattr(recompression, "PassageScheme", weak(recompression.PassageScheme))
+    got = found(suffixes.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(brute.byte_repeats(sorted(rows)), key=repr)
+    got = found(recompression.remove_passages(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == sorted(brute.word_repeats(sorted(rows)), key=repr)
+
+
 def plain_leaks(rows, items, size=10):
     out = []
     for d, t in rows:
