@@ -28,12 +28,13 @@ SCHEMA = (
 )
 
 
-def chunks(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def chunks(raw: np.ndarray, at: np.ndarray, literals: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Where texts can be cut without changing their byte-level BPE ids: starts of chunks, and of each text's chunks.
 
     A single space between two other signs belongs to what follows it, a single line break
     between two others is a token of its own, and a letter never shares a token with a
-    punctuation mark behind it. All other signs stay with their neighbours.
+    punctuation mark behind it. All other signs stay with their neighbours. ``literals`` are the tokenizer's
+    added tokens, which it finds in a text before all else: none is cut, nor parted from the sign before and the two behind it.
     """
     n = len(raw)
     # white space beyond ASCII starts with C2, E1, E2 or E3: no cut beside such characters
@@ -51,6 +52,12 @@ def chunks(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cut[1 : n - 1] |= line
         cut[2:n] |= line
         cut[1:n] |= letter[:-1] & mark[1:]
+    data = raw.tobytes() if literals else b""
+    for literal in literals:
+        i = data.find(literal)
+        while i >= 0:
+            cut[i : i + len(literal) + 2] = False
+            i = data.find(literal, i + 1)
     cut[at] = True
     starts = np.flatnonzero(cut[:n])
     return starts, np.searchsorted(starts, at)
@@ -64,14 +71,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.literals = tuple(t.content.encode() for t in added if t.content)
         lasting = sys.modules.setdefault("_showloom_packing", types.ModuleType("_showloom_packing")).__dict__
         self.recent, self.older = lasting.setdefault(tokenizer_path, ({}, {}))
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids start."""
         raw, at = utf8(text)
-        starts, where = chunks(raw, at)
+        starts, where = chunks(raw, at, self.literals)
         offsets = np.append(starts, len(raw)).astype(np.int64)
         data = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())]
@@ -152,7 +160,8 @@ def pack(
 ) -> DataFrame:
     """Pieces of all documents (``doc_id``, ``text``) in sequences of at most ``size`` tokens.
 
-    A document's tokens are the ids of its whole text with ``end_id`` behind them; a null or
+    A document's tokens are the ids that the tokenizer as it is in its file gives its whole text (without special
+    tokens added to it; the literal of one that a text holds is that token), with ``end_id`` behind them; a null or
     empty text has that one. Each id lies in one piece. Documents are packed where they are
     read, in blocks of about ``BLOCK_TOKENS`` tokens, so nothing is shuffled; at most one
     sequence of a block is not full. Sequence ids are the partition's number and a count.

@@ -298,6 +298,27 @@ def test_packing_round_trip(spark, docs, rows):
         assert at <= 2048
 
 
+def test_packing_keeps_literals_of_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    from showloom.llm.queries import END_ID, tokenizer_path
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    literals = [t.content for t in plain.get_added_tokens_decoder().values()]
+    rng = random.Random(4)
+    signs = ["ab", "é", " ", "  ", "\n", "\n\n", "|", "<", "<|", "|>", "7", ".", "\u00a0", *literals * 4, literals[0][:-1], literals[0][2:]]
+    given = ["ab <|endoftext|> cd", *literals, *("".join(rng.choice(signs) for _ in range(rng.randrange(1, 14))) for _ in range(300))]
+    rows = list(enumerate(given))
+    ids = {d: [*plain.encode(t, add_special_tokens=False).ids, END_ID] for d, t in rows}
+    assert len(ids[0]) == 5
+    seen = {d: 0 for d in ids}
+    for r in sorted(packing.pack(frame(spark, rows), tokenizer_path(), END_ID).collect(), key=lambda r: (r.doc_id, r.start)):
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(part.tobytes()), given[r.doc_id]
+        seen[r.doc_id] += r.length
+    assert seen == {d: len(x) for d, x in ids.items()}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 16))
