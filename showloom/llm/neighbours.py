@@ -22,8 +22,8 @@ class Settings:
     ``part_rows``: rows of a list that are scanned together.
     ``copies``, ``boundary``: a vector goes to its nearest list and to others, ``copies`` in all,
     whose centroid is at most ``boundary`` times as far.
-    ``probes``, ``ratio``: a query reads the nearest lists whose centroid is at most ``ratio`` times as far
-    as the nearest, ``least`` at least and ``probes`` at most.
+    ``probes``, ``ratio``: a query reads all lists whose centroid is at most ``ratio`` times as far as the nearest,
+    ``least`` at least. The graph gives the nearest ``probes``; a query that needs more is compared with all centroids.
     ``degree``, ``beam``: neighbours of a centroid in the graph, and how many centroids a search keeps open.
     """
 
@@ -214,14 +214,26 @@ class ListIndex:
             for batch in batches:
                 if graph is None or not batch.num_rows:
                     continue
-                lists, d = graph.search(matrix(batch.column("embedding")), s.probes, s.beam)
+                x = matrix(batch.column("embedding"))
+                lists, d = graph.search(x, s.probes, s.beam)
                 near = (d <= d[:, :1] * s.ratio**2) | (np.arange(d.shape[1]) < s.least)
-                row, which = np.nonzero(near & np.isfinite(d))
-                taken = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[row, which], pa.int32()), taken.column("vec_id"), taken.column("embedding")],
-                    ["list", "query_id", "query"],
-                )
+                more = (d[:, -1] <= d[:, 0] * s.ratio**2) & (d.shape[1] < len(graph.centroids))
+                near &= np.isfinite(d)
+                row, which = np.nonzero(near & ~more[:, None])
+                chosen = [(row, lists[row, which])]
+                wide = np.flatnonzero(more)
+                for part in (wide[i : i + 256] for i in range(0, len(wide), 256)):
+                    within = squares(x[part], graph.centroids) <= d[part, :1] * s.ratio**2
+                    row, which = np.nonzero(near[part])
+                    within[row, lists[part][row, which]] = True  # the graph's distances are the more exact ones
+                    row, which = np.nonzero(within)
+                    chosen.append((part[row], which))
+                for row, which in chosen:
+                    taken = batch.take(pa.array(row, pa.int64()))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(which, pa.int32()), taken.column("vec_id"), taken.column("embedding")],
+                        ["list", "query_id", "query"],
+                    )
 
         def scan(lists: pa.Table, asked: pa.Table) -> pa.Table:
             ids, x = np.asarray(lists.column("vec_id")), matrix(lists.column("embedding").combine_chunks()) if lists.num_rows else None

@@ -340,6 +340,23 @@ def test_neighbours(spark):
     assert hits >= 54
 
 
+def test_neighbours_among_many_lists(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(12_000, 48))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    index = neighbours.ListIndex(df, neighbours.Settings(probes=8, least=1))  # many more lists lie within the ratio
+    assert len(index.sent.value[0]) > 100
+    got = {}
+    for r in index.search(index.rows.filter(F.col("vec_id") % 300 == 0), 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 12_000, 300):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(set(np.argsort(d, kind="stable")[:10].tolist()) & got[q])
+    assert hits >= 0.9 * 400
+
+
 @pytest.mark.parametrize("name", ["one", "two", "three", "four", "five", "six", "seven", "eight"])
 def test_empty_tables(spark, name):
     docs = spark.createDataFrame([], SCHEMA)
