@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, suffixes, urls
+from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, spelling, suffixes, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -161,3 +161,57 @@ END_ID = 1
 @query()
 def op10_cost_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path(), END_ID).drop("cost")
+
+
+#: Checksum of a text in DuckDB, which has no function for it: a table made from the polynomial, then one step for each byte.
+_CRC32 = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)),
+           lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) AS t
+)"""
+
+
+def _crc32_of(text: str) -> str:
+    codes = f"list_transform(range(octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1])), 4294967295)"
+
+
+@query(f"""
+WITH RECURSIVE {_CRC32},
+runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents)
+  GROUP BY ALL
+),
+summed AS (SELECT run, n, {_crc32_of("id || ':' || run")} AS h FROM runs, crc_table),
+words AS (
+  SELECT word, sum(n) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM summed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+shorter AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+longer AS (SELECT DISTINCT s.word, w.word AS other FROM shorter s JOIN words w ON s.rest = w.word),
+pairs AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT word, other FROM longer UNION ALL SELECT other, word FROM longer
+),
+ranked AS (
+  SELECT p.word, w.word AS other, w.n, row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, w.word) AS place,
+         count(*) OVER (PARTITION BY p.word) AS n_near
+  FROM pairs p JOIN words w ON p.other = w.word
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN r.other END AS form,
+         CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1
+),
+ends AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL SELECT f.word, e.root FROM forms f JOIN ends e ON f.form = e.word
+)
+SELECT word, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, form, CAST(form_n AS BIGINT) AS form_n, root FROM forms JOIN ends USING (word)
+""")
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"))
