@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, spelling, suffixes, urls
+from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, spelling, suffixes, tries, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -215,3 +215,62 @@ SELECT word, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, form, CAS
 """)
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variant_groups(table(spark, folder, "documents"))
+
+
+@query(f"""
+WITH {_CRC32},
+marked AS (
+  SELECT conv_id, turn, octet_length(encode(coalesce(text, ''))) AS size,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+turns AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark) AS pos FROM marked),
+convs AS (
+  SELECT c, {_crc32_of("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM marked), crc_table
+),
+parts AS (
+  SELECT c, 0 AS part, pos, mark, size FROM convs JOIN turns ON conv_id = c - c % 5 AND pos <= h
+  UNION ALL SELECT c, 1, pos, mark, size FROM convs JOIN turns ON conv_id = c AND pos > h
+),
+steps AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, mark, size FROM parts),
+places AS (
+  SELECT c, d, size, sha256(string_agg(mark, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS node FROM steps
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+linked AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS above, max(d) OVER (PARTITION BY c) AS ends FROM places),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, min(above) AS above, count(*) AS n_convs, (count(*) - 1) * min(size) AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = ends), '')) AS ends_sha256
+  FROM linked GROUP BY node, d
+),
+children AS (SELECT above AS node, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT p.node, p.d, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum(n.saved) AS saved
+  FROM nodes n JOIN linked p ON p.c = n.conv_id AND p.d <= n.d LEFT JOIN children k ON k.node = n.node AND k.d = n.d
+  GROUP BY p.node, p.d
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.node = n.node AND s.d = n.d
+LEFT JOIN nodes a ON a.node = n.above AND a.d = n.d - 1
+LEFT JOIN children k ON k.node = n.node AND k.d = n.d
+""")
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query("""
+WITH payloads AS (
+  SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size FROM pages
+),
+ranked AS (
+  SELECT *, row_number() OVER w AS place, first_value(page_id) OVER w AS kept
+  FROM payloads WINDOW w AS (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN size >= 1000 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND place > 1 THEN kept END AS refers_to
+FROM ranked
+""")
+def op13_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages"))
