@@ -3,46 +3,29 @@
 from __future__ import annotations
 
 import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import let
 
-# The names of U+00A0 .. U+00FF in code point order, as the HTML standard lists them.
-LATIN1_NAMES = (
-    "nbsp iexcl cent pound curren yen brvbar sect uml copy ordf laquo not shy reg macr "
-    "deg plusmn sup2 sup3 acute micro para middot cedil sup1 ordm raquo frac14 frac12 frac34 iquest "
-    "Agrave Aacute Acirc Atilde Auml Aring AElig Ccedil Egrave Eacute Ecirc Euml Igrave Iacute Icirc Iuml "
-    "ETH Ntilde Ograve Oacute Ocirc Otilde Ouml times Oslash Ugrave Uacute Ucirc Uuml Yacute THORN szlig "
-    "agrave aacute acirc atilde auml aring aelig ccedil egrave eacute ecirc euml igrave iacute icirc iuml "
-    "eth ntilde ograve oacute ocirc otilde ouml divide oslash ugrave uacute ucirc uuml yacute thorn yuml"
-).split()
-
-# Markup characters and common typographic names.
-OTHER_NAMES = {
-    "quot": '"', "amp": "&", "apos": "'", "lt": "<", "gt": ">",
-    "OElig": "\u0152", "oelig": "\u0153", "Scaron": "\u0160", "scaron": "\u0161", "Yuml": "\u0178",
-    "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009", "ndash": "\u2013", "mdash": "\u2014",
-    "lsquo": "\u2018", "rsquo": "\u2019", "sbquo": "\u201a", "ldquo": "\u201c", "rdquo": "\u201d",
-    "bdquo": "\u201e", "dagger": "\u2020", "Dagger": "\u2021", "bull": "\u2022", "hellip": "\u2026",
-    "permil": "\u2030", "prime": "\u2032", "Prime": "\u2033", "lsaquo": "\u2039", "rsaquo": "\u203a",
-    "euro": "\u20ac", "trade": "\u2122", "larr": "\u2190", "rarr": "\u2192", "minus": "\u2212",
-}
+# The standard's name table as the standard library has it: names with their semicolon, and the old ones that may do without.
+_USUAL = ["amp;", "nbsp;", "quot;", "lt;", "gt;", "apos;"]  # looked at first
+_TABLE = {f"&{n}": html5[n] for n in [*_USUAL, *sorted(n for n in html5 if n.endswith(";") and n not in _USUAL)]}
+_BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 
 # What the references 128 to 159 stand for; five of them stand for nothing else.
 _C1 = [chr(i) for i in range(0x80, 0xA0)]
 _C1_MEANING = [bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)]
 
 # Text runs, references and stray ampersands; together they cover the whole input.
-_TOKEN = r"([^&]++|&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][-.A-Za-z0-9]*+)%s|&)"
+_TOKEN = r"([^&]++|&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);?|&)"
 
-_TABLE = OTHER_NAMES | {name: chr(0xA0 + i) for i, name in enumerate(LATIN1_NAMES)}
 
-
-def _names() -> Column:
-    """Reference -> character, a constant map; as one literal it is folded and quick to plan."""
-    return F.from_json(F.lit(json.dumps({f"&{n}": c for n, c in _TABLE.items()})), "map<string,string>")
+def _map(table: dict[str, str]) -> Column:
+    """A constant map; as one literal it is folded and quick to plan."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def _character(code: Column) -> Column:
@@ -52,11 +35,11 @@ def _character(code: Column) -> Column:
     return F.when(valid, F.translate(char, "".join(_C1), "".join(_C1_MEANING))).otherwise("\ufffd")
 
 
-def unescape(c: Column, bare: bool = False) -> Column:
+def unescape(c: Column) -> Column:
     """Decode named and numeric references in one pass, so ``&amp;lt;`` gives ``&lt;``.
 
-    With ``bare`` a reference may do without its semicolon. Names that are not in the tables
-    above stay as they are.
+    A reference may do without its semicolon if its name is one of the old ones; then the longest
+    name that the text begins with counts, as in ``&notit;``, which is ``\u00acit;``. Other names stay as they are.
     """
 
     def number(t: Column) -> Column:
@@ -65,17 +48,19 @@ def unescape(c: Column, bare: bool = False) -> Column:
         value = F.when(t.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
         return F.when(digits != "", value).cast("bigint")
 
-    def token(t: Column) -> Column:
-        return (
-            F.when(~t.startswith("&"), t)
-            .when(t.startswith("&#"), let(number(t), _character))
-            .otherwise(F.coalesce(F.try_element_at(_names(), F.rtrim(t, F.lit(";"))), t))
-        )
+    def named(t: Column) -> Column:
+        whole = F.when(t.endswith(";"), F.try_element_at(_map(_TABLE), t))
+        return F.coalesce(whole, let(F.regexp_extract(t, f"^&({'|'.join(_BARE)})", 1), lambda old: bare(t, old)))
 
-    pattern = _TOKEN % (";?" if bare else ";")
+    def bare(t: Column, old: Column) -> Column:
+        char = F.try_element_at(_map({n: html5[n] for n in _BARE}), old)
+        return F.when(old == "", t).otherwise(F.concat(char, F.substr(t, F.length(old) + 2)))
+
+    def token(t: Column) -> Column:
+        return F.when(~t.startswith("&"), t).when(t.startswith("&#"), let(number(t), _character)).otherwise(named(t))
 
     def decoded(text: Column) -> Column:
-        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), token), "")
+        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), token), "")
 
     return let(c, lambda text: F.when(text.contains("&"), decoded(text)).otherwise(text))
 

@@ -1,30 +1,28 @@
 """Element, attribute and text extraction from HTML held in a column.
 
-A selector is compiled to a Java regular expression. Elements are cut out with possessive
-quantifiers, which run in linear time and constant stack; markup nested deeper than the
-expression spells out, or left open, goes through a depth count over the tags instead, so
-there is no depth limit. An element left open reaches to the end of the enclosing fragment. A
-``<`` in an attribute value has to be written as an entity, a ``>`` need not.
+``page`` pairs the tags once, in one pass. What it gives is a fragment (``elements.PAGE``): the elements in order of their
+start tags, with interval numbers, the text nodes in order, and which element it is. Everything else is native expressions
+over these arrays: an element inside another has a number inside its interval, a sibling the same
+element around it, the next one a greater number. So there is no limit of depth, and markup may be left open
+or closed by an element around it.
 
-All functions expect ``markup(html)``: comments, scripts and styles already blanked.
+All functions below ``page`` expect such a fragment and, where they give an element, return one.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import elements
+from .elements import REST
 from .entities import unescape
-from .text import let, none_if_empty, strip
+from .text import let, strip
 
-# the rest of a tag: quotes hide a ">" only where they enclose a value
-_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
-_TAG = rf"</?[A-Za-z!?]{_REST}>"
-WRAPPED = r"(?:<\w[^>]*>)*"  # start tags between an element's own and its only text
-_FAST_DEPTH = 6
-_NEAR = 2000  # an element is first looked for in this many characters, then in all
+_TAG = rf"</?[A-Za-z!?]{REST}>"
 
 
 @dataclass(frozen=True)
@@ -40,47 +38,25 @@ class Selector:
     ident: str | None = None
     has: str | None = None
 
-    @property
-    def marker(self) -> str | None:
-        """A literal every matching page contains; spares the regular expression on the others."""
-        return self.cls or self.ident or (max(self.exact.split(), key=len) if self.exact else None)
-
-    def open(self) -> str:
-        name = f"(?i:{self.tag})" if self.tag else r"\w+"
-        tests = ""
+    def matches(self, e: Column) -> Column:
+        tests = []
+        if self.tag:
+            tests.append(e["tag"] == self.tag.lower())
         if self.cls:
-            tests += _attribute_test("class", rf"(?:[^\"']*\s)?\Q{self.cls}\E(?:\s[^\"']*)?")
+            tests.append(e["cls"].contains(f" {self.cls} "))
         if self.exact:
-            tests += _attribute_test("class", r"\s*" + r"\s+".join(rf"\Q{c}\E" for c in self.exact.split()) + r"\s*")
+            tests.append(e["cls"] == f" {' '.join(self.exact.split())} ")
         if self.ident:
-            tests += _attribute_test("id", rf"\Q{self.ident}\E")
+            tests.append(e["attributes"]["id"] == self.ident)
         if self.has:
-            tests += f"(?={_up_to(self.has)})"
-        return rf"<(?<t>{name})(?=[\s/>]){tests}{_REST}>"
+            tests.append(F.map_contains_key(e["attributes"], self.has))
+        return reduce(lambda a, b: a & b, tests)
 
 
 def css(tag=None, cls=None, exact=None, ident=None, has=None) -> Selector:
     return Selector(tag, cls, exact, ident, has)
 
 
-def _up_to(name: str) -> str:
-    """From inside a tag to behind the equals sign of an attribute."""
-    found = rf"(?i:{name})\s*="
-    return rf"""(?:[^>=\s]++|=\s*+(?:"[^"]*+"|'[^']*+')|=|\s(?!{found}))*+\s{found}"""
-
-
-def _attribute_test(name: str, value: str) -> str:
-    return rf"""(?={_up_to(name)}\s*(?:"{value}"|'{value}'|(?![\"'])(?={value}[\s>])[^\s>]+))"""
-
-
-def _content(depth: int = _FAST_DEPTH) -> str:
-    """Everything up to the matching end tag, with same-name elements nested ``depth`` levels."""
-    piece = r"[^<]++|<(?!/?(?i:\k<t>)\b)"
-    if depth:
-        piece += rf"|<(?i:\k<t>)\b{_REST}>{_content(depth - 1)}</(?i:\k<t>)\b[^>]*+>"
-    return f"(?:{piece})*+"
-
-
 def markup(html: Column) -> Column:
     """Blank comments, declarations and the content of script, style and template."""
     hidden = (
@@ -90,193 +66,160 @@ def markup(html: Column) -> Column:
     return F.regexp_replace(html, hidden, "<!---->")
 
 
-def node_text(fragment: Column) -> Column:
-    """All text nodes run together, entities decoded, nothing stripped."""
-    return unescape(F.regexp_replace(fragment, _TAG, ""))
-
-
-def stripped_text(fragment: Column) -> Column:
-    return strip(node_text(fragment))
-
-
 def visible_text(html: Column) -> Column:
-    """Text nodes stripped one by one and joined by a space; null gives ``""``."""
+    """Text nodes of a markup text stripped one by one and joined by a space; null gives ``""``."""
     nodes = F.transform(F.split(markup(html), _TAG), lambda t: strip(unescape(t)))
     return F.coalesce(F.array_join(F.filter(nodes, lambda t: t != ""), " "), F.lit(""))
 
 
-def _closed(rest: Column, sel: Selector) -> Column:
-    """The element at the start of ``rest`` without its end tag; ``""`` if not closed in reach."""
-    return F.regexp_extract(rest, rf"(?s)\A({sel.open()}{_content()})</(?i:\k<t>)\b", 1)
-
+def page(html: Column) -> Column:
+    """The whole page as a fragment, null for null. Keep it as a column of its own: it is not native."""
+    return F.arrow_udf(elements.pages, elements.PAGE)(markup(html))
 
-def _counted(rest: Column) -> Column:
-    """The same for any nesting depth: count start and end tags until they balance."""
-    name = F.regexp_extract(rest, r"\A<(\w+)", 1)
-    pieces = F.split(rest, F.concat(F.lit(r"(?i)(?=</?"), name, F.lit(r"\b)")))
 
-    def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
-        done = acc["done"] | (depth == 0)
-        length = acc["length"] + F.when(done, 0).otherwise(F.length(piece))
-        return F.struct(depth.alias("depth"), length.alias("length"), done.alias("done"))
+# --- elements -----------------------------------------------------------------------------
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("length"), F.lit(False).alias("done"))
-    return F.aggregate(pieces, start, step, lambda acc: F.substr(rest, F.lit(1), acc["length"]))
 
+def _inside(f: Column) -> Column:
+    at = f["at"]
+    return F.slice(f["elements"], at["pre"] + 2, at["last"] - at["pre"])
 
-def _cut(rest: Column, sel: Selector) -> Column:
-    return let(_closed(rest, sel), lambda e: F.when(e != "", e).otherwise(_counted(rest)))
 
+def _texts(f: Column, e: Column) -> Column:
+    return F.slice(f["texts"], e["lo"] + 1, e["hi"] - e["lo"])
 
-def _from(html: Column, sel: Selector) -> Column:
-    """The markup from the start tag of the first match on, ``""`` if there is none."""
-    scanned = lambda h: F.regexp_extract(h, f"(?s){sel.open()}.*", 0)
-    if sel.marker is None:
-        return scanned(html)
 
-    # the marker stands in the first match or in front of it, so look at the tag around it first
-    def around(h: Column) -> Column:
-        return let(F.substring_index(h, sel.marker, 1), lambda ahead: tag_at(h, ahead))
+def _cut(f: Column, e: Column) -> Column:
+    """An element of the page as a fragment, null for null. Nothing is copied: fragments share the arrays of their page."""
+    return F.when(e.isNotNull(), F.struct(f["elements"], f["texts"], e.alias("at")))
 
-    def tag_at(h: Column, ahead: Column) -> Column:
-        start = F.concat(F.lit("<"), F.substring_index(ahead, "<", -1))
 
-        def checked(behind: Column) -> Column:
-            tag = F.concat(start, behind.substr(1, _NEAR))
-            usual = ahead.contains("<") & tag.rlike(rf"\A{sel.open()}")
-            return F.when(usual, F.concat(start, behind)).otherwise(scanned(h))
+def _found(f: Column, sel: Selector) -> Column:
+    return F.filter(_inside(f), sel.matches)
 
-        return let(F.substr(h, F.length(ahead) + 1), checked)
 
-    return let(html, lambda h: F.when(h.contains(sel.marker), around(h)).otherwise(F.when(h.isNotNull(), "")))
+def first(f: Column, sel: Selector) -> Column:
+    """First element in document order, null if there is none."""
+    return let(f, lambda f: let(F.get(_found(f, sel), F.lit(0)), lambda e: _cut(f, e)))
 
 
-def first(html: Column, sel: Selector) -> Column:
-    """First element in document order, null if there is none."""
+def has(f: Column, sel: Selector) -> Column:
+    return let(f, lambda f: F.exists(_inside(f), lambda e: F.coalesce(sel.matches(e), F.lit(False))))
 
-    def near(rest: Column) -> Column:
-        e = _closed(rest.substr(1, _NEAR), sel)
-        return let(e, lambda e: F.when(e != "", e).otherwise(_cut(rest, sel)))
 
-    return let(_from(html, sel), lambda rest: F.when(rest != "", near(rest)))
+@dataclass(frozen=True)
+class Match:
+    """One matched element and the fragment it was found in."""
 
+    fragment: Column
+    found: Column
 
-def first_tag(html: Column, sel: Selector) -> Column:
-    """Only the start tag of the first match; enough for attributes and void elements."""
-    if sel.marker is None:
-        return none_if_empty(F.regexp_extract(html, sel.open(), 0))
-    return none_if_empty(F.regexp_extract(_from(html, sel), rf"\A{sel.open()}", 0))
 
+def each_match(f: Column, sel: Selector, body, string: list[str] | None = None, within: Selector | None = None) -> Column:
+    """Array of ``body(match)`` in document order, nested matches included.
 
-@dataclass(frozen=True)
-class Match:
-    """One match: the markup from its start tag to the next match, and what lies around it."""
+    With ``string`` only elements that hold one of these texts and nothing else, directly or in an only child. With ``within``
+    only those in the first such element; ``body`` still sees the whole fragment.
+    """
 
-    piece: Column
-    pieces: Column
-    index: Column
+    def only(f: Column, e: Column) -> Column:
+        chain = F.slice(f["elements"], e["pre"] + 1, e["last"] - e["pre"] + 1)
+        alone = F.forall(chain, lambda x: (x["last"] == e["last"]) & (x["hi"] - x["lo"] == 1))
+        return alone & F.get(_texts(f, e), F.lit(0)).isin(*string)
 
-    def tail(self) -> Column:
-        """From the start tag to the end of the fragment."""
-        return F.array_join(F.slice(self.pieces, self.index + 1, F.size(self.pieces)), "")
+    def matched(f: Column, region: Column) -> Column:
+        inside = _inside(f)
+        if region is not None:
+            inside = F.slice(f["elements"], region["pre"] + 2, region["last"] - region["pre"])
+        found = F.filter(inside, sel.matches)
+        kept = F.filter(found, lambda e: only(f, e)) if string else found
+        return F.transform(kept, lambda e: body(Match(f, e)))
 
-    def before(self) -> Column:
-        """From the previous match, or the start of the fragment, up to the start tag."""
-        return F.when(self.index > 0, F.get(self.pieces, self.index - 1))
+    if within is None:
+        return let(f, lambda f: matched(f, None))
+    return let(f, lambda f: let(F.get(_found(f, within), F.lit(0)), lambda region: matched(f, region)))
 
 
-def each_match(html: Column, sel: Selector, body, inner: str = "") -> Column:
-    """Array of ``body(match)`` in document order.
+def every(f: Column, sel: Selector, body=lambda e: e) -> Column:
+    """All matching elements in document order, nested ones included, through ``body``."""
+    return each_match(f, sel, lambda m: let(element(m), body))
 
-    ``inner`` further restricts the match by a pattern right behind the start tag.
-    """
-    head = sel.open() + inner
 
-    def one(pieces: Column) -> Column:
-        def at(piece: Column, i: Column) -> Column:
-            # every piece but the first begins with a match
-            starts = (i > 0) | piece.rlike(rf"(?s)\A{head}")
-            return F.when(starts, F.struct(body(Match(piece, pieces, i)).alias("v")))
+def count(f: Column, sel: Selector) -> Column:
+    return let(f, lambda f: F.size(_found(f, sel)))
 
-        return F.transform(F.filter(F.transform(pieces, at), lambda s: s.isNotNull()), lambda s: s["v"])
 
-    pieces = lambda h: F.split(h, f"(?s)(?={head})", -1)
-    if sel.marker is None:
-        return let(pieces(html), one)
-    marked = lambda h: h.contains(sel.marker)
-    return let(let(html, lambda h: F.when(marked(h), pieces(h)).when(h.isNotNull(), F.array(h))), one)
+def element(m: Match) -> Column:
+    return _cut(m.fragment, m.found)
 
 
-def every(html: Column, sel: Selector, body=lambda e: e) -> Column:
-    """All matching elements in document order, nested ones included, through ``body``."""
-    return each_match(html, sel, lambda m: let(element(m, sel), body))
+def _next(m: Match, sel: Selector, sibling_of: Column | None = None) -> Column:
+    """The first such element of the page that starts behind the match (or behind a sibling of its own)."""
+    start = m.found if sibling_of is None else sibling_of
+    later = F.slice(m.fragment["elements"], start["pre"] + 2, F.size(m.fragment["elements"]))
 
+    def test(x: Column) -> Column:
+        return sel.matches(x) if sibling_of is None else sel.matches(x) & (x["up"] == sibling_of["up"])
 
-def element(m: Match, sel: Selector) -> Column:
-    """The matched element: from its own piece where it closes there, else from the whole tail."""
-    return let(_closed(m.piece, sel), lambda e: F.when(e != "", e).otherwise(_cut(m.tail(), sel)))
+    return F.get(F.filter(later, test), F.lit(0))
 
 
 def next_element(m: Match, sel: Selector) -> Column:
-    """First ``sel`` behind the matched start tag, in its own piece or further on."""
+    """First ``sel`` that starts behind the matched start tag, inside the match or further on."""
+    return let(_next(m, sel), lambda e: _cut(m.fragment, e))
 
-    def behind(c: Column) -> Column:
-        return F.regexp_extract(c, rf"(?s)\A<{_REST}>(.*)", 1)
 
-    near = F.regexp_extract(behind(m.piece), rf"(?s)({sel.open()}{_content()})</(?i:\k<t>)\b", 1)
-    return let(near, lambda e: F.when(e != "", e).otherwise(first(behind(m.tail()), sel)))
+def next_and_sibling(m: Match, tag: str) -> Column:
+    """Attributes of the next such element and of the sibling of that name behind it, null without both."""
 
+    def pair(e: Column) -> Column:
+        return let(_next(m, css(tag), e), lambda s: F.when(s.isNotNull(), F.array(e["attributes"], s["attributes"])))
 
-# Elements without content.
-VOID_TAGS = "area base br col embed hr img input link meta param source track wbr".split()
+    return let(_next(m, css(tag)), pair)
 
 
-def first_and_sibling(fragment: Column, tag: str) -> Column:
-    """Start tags of the first such element and of its next sibling of that name, null without both."""
-    voids = "|".join(VOID_TAGS)
-    start = rf"<(?i:{tag})(?=[\s/>]){_REST}>"
-    other = _content().replace("<t>", "<s>")
-    skip = (
-        rf"(?:[^<]++|<!--[^>]*>|<(?i:{voids})\b{_REST}>"
-        rf"|<(?!(?i:{tag})[\s/>])(?<s>\w+)\b{_REST}>{other}</(?i:\k<s>)\b[^>]*+>)*+"
-    )
-    ahead = rf"(?s)\A(?:[^<]++|<(?!(?i:{tag})[\s/>]))*+"
-    pair = rf"{ahead}(?=({start}))<(?<t>\w+){_REST}>{_content()}</(?i:\k<t>)\b[^>]*+>{skip}({start})"
-    found = F.array(*[F.regexp_extract(fragment, pair, i) for i in (1, 4)])
-    return let(found, lambda tags: F.when(F.get(tags, F.lit(1)) != "", tags))
+def previous_sibling(m: Match, tag: str) -> Column:
+    """The last element of that name in front of the match with the same element around it, null if there is none."""
+    up = m.found["up"]
+    region = F.slice(m.fragment["elements"], up + 2, m.found["pre"] - up - 1)
+    earlier = F.filter(region, lambda x: (x["up"] == up) & css(tag).matches(x))
+    return let(F.try_element_at(earlier, F.lit(-1)), lambda e: _cut(m.fragment, e))
 
 
-def previous_sibling(m: Match, tag: str) -> Column:
-    """The last element of that name to end in front of the match, null if there is none."""
-    sel = css(tag)
-    trail = rf"</(?i:{tag})\b[^>]*+>(?:[^<]++|<(?!/?(?i:{tag})\b))*+\z"
-    return none_if_empty(F.regexp_extract(m.before(), rf"(?s)({sel.open()}{_content()}){trail}", 1))
+# --- text and attributes ------------------------------------------------------------------
 
 
-def attribute(fragment: Column, name: str) -> Column:
-    """Attribute of the start tag the fragment begins with, null if absent."""
-    raw = F.regexp_extract(fragment, rf"""\A<{_up_to(name)}\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1)
-    inside = lambda v: F.when(v.rlike("^[\"']"), F.substr(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-    return unescape(let(raw, lambda v: F.when(v != "", inside(v))))
+def node_text(f: Column) -> Column:
+    """All text nodes run together, nothing stripped."""
+    return let(f, lambda f: F.array_join(_texts(f, f["at"]), ""))
 
 
-def first_attribute(html: Column, sel: Selector, name: str) -> Column:
-    return attribute(first_tag(html, sel), name)
+def stripped_text(f: Column) -> Column:
+    return strip(node_text(f))
 
 
-def texts(html: Column, sel: Selector) -> Column:
+def texts(f: Column, sel: Selector) -> Column:
     """Stripped text of every match."""
-    return every(html, sel, stripped_text)
+    return let(f, lambda f: F.transform(_found(f, sel), lambda e: strip(F.array_join(_texts(f, e), ""))))
+
+
+def attribute(f: Column, name: str) -> Column:
+    """Attribute of the element the fragment is, null if absent."""
+    return F.try_element_at(f["at"]["attributes"], F.lit(name))
+
+
+def first_attribute(f: Column, sel: Selector, name: str) -> Column:
+    """Attribute of the first match; null without a match or without the attribute."""
+    return let(f, lambda f: F.try_element_at(F.get(_found(f, sel), F.lit(0))["attributes"], F.lit(name)))
 
 
-def link_structs(html: Column, name: str, url: str, sel: Selector = css("a"), attr: str = "href") -> Column:
+def link_structs(f: Column, name: str, url: str, sel: Selector = css("a"), attr: str = "href") -> Column:
     """``array<struct<name, url>>``: text of each match and an attribute of its first link."""
 
     def link(e: Column) -> Column:
         return F.struct(stripped_text(e).alias(name), first_attribute(e, css("a"), attr).alias(url))
 
-    return every(html, sel, link)
+    return every(f, sel, link)
 
 
 def table_rows(table: Column, arity: int | None = None) -> Column:

@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from .joins import distinct_keys, keep_rows
-
-_FEW = 100_000
+from .keyfilter import key_filter, may_hold
 
 
 def prepared(pages: DataFrame) -> DataFrame:
-    """Blank hidden content once, so that every field read from the page shares the work."""
-    return pages.withColumn("html", H.markup(F.col("html")))
+    """Pair the tags of each page once; every field is read out of the result, which takes the place of ``html``."""
+    return pages.withColumn("html", H.page(F.col("html")))
 
 
 def latest(records: DataFrame, key: str = "url", order: str = "page_id") -> DataFrame:
@@ -28,16 +26,12 @@ def latest(records: DataFrame, key: str = "url", order: str = "page_id") -> Data
 
 
 def wanted(pages: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Pages that few keys ask for, picked before anything is read out of them.
+    """Pages that the keys may ask for, picked before anything is read out of them.
 
-    The keys must be cheap to count, a stored table. Up to ``_FEW`` rows they are broadcast, and
-    no page is moved. Beyond that all pages stay: reading their fields and joining on those moves
-    far less than joining whole pages would, and that join drops what is not asked for.
+    The same plan for any number of keys: they become a filter of fixed size that is broadcast, and no page is moved. Nearly
+    all other pages go; the join on the extracted fields drops what is left of them.
     """
-    if keys.count() > _FEW:
-        return pages
-    few = F.broadcast(distinct_keys(keys, on))
-    return keep_rows(pages, few, on, "left_semi")
+    return may_hold(pages, key_filter(keys, on), on)
 
 
 def listing_a(pages: DataFrame) -> DataFrame:
@@ -61,7 +55,7 @@ def listing_b(pages: DataFrame, category: Column) -> DataFrame:
     box = H.css("div", exact="col-md-4 col-sm-6 col-xs-12 views-col")
 
     def entry(e: Column) -> Column:
-        titled = H.first_tag(e, H.css("div", cls="list-title")).isNotNull()
+        titled = H.has(e, H.css("div", cls="list-title"))
         return F.struct(titled.alias("titled"), H.first_attribute(e, H.css("a"), "href").alias("url"))
 
     entries = H.every(F.col("html"), box, entry)

@@ -1,4 +1,7 @@
-"""Catalogue B: show page and page of upcoming productions -> one wide row per show."""
+"""Catalogue B: show page and page of upcoming productions -> one wide row per show.
+
+The functions over ``html`` expect a page whose tags are paired (``captures.prepared``).
+"""
 
 from __future__ import annotations
 
@@ -63,9 +66,9 @@ def related_links(html: Column) -> Column:
     """The first link behind the heading and the link next to it; nothing when one is missing."""
 
     def targets(m: H.Match) -> Column:
-        return F.transform(H.first_and_sibling(m.tail(), "a"), lambda t: H.attribute(t, "href"))
+        return F.transform(H.next_and_sibling(m, "a"), lambda a: F.try_element_at(a, F.lit("href")))
 
-    pairs = H.each_match(H.first(html, _OVERVIEW), css("h3"), targets, inner=H.WRAPPED + "Related Shows</")
+    pairs = H.each_match(html, css("h3"), targets, string=["Related Shows"], within=_OVERVIEW)
     return F.get(pairs, F.lit(0))
 
 

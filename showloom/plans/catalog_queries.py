@@ -6,17 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions import text as T
 from ..functions.html import css
 from ..operators import captures, site_a, site_b, site_c
 from ..operators.clean import clean_catalog as clean
+from ..sources import commits
+from ..sources import schemas as S
 from ..sources import tables as tables_io
 from ..sources.tables import Tables
 from ..streaming.ingest import Ingest
 from . import rendered as R
-from .collect import Store, collect_c
+from .collect import Store, clean_job, collect_a, collect_b, collect_c
 from .page_queries import _decoded, _shown_characters, shown_map, shown_orchestration
-from .registry import query
+from .registry import QUERIES, query
 
 _LABELS = ["Music by", "Book and Lyrics by", "Directed by"]
 
@@ -88,7 +89,10 @@ _PAIR = "lang || ', ' || source"
 """)
 def clean_catalog(t: Tables) -> DataFrame:
     """All raw columns and the nine derived ones; name lists joined for comparison."""
-    cleaned = clean(raw_catalog(t))
+    return _shown_clean(clean(raw_catalog(t)))
+
+
+def _shown_clean(cleaned: DataFrame) -> DataFrame:
     lists = ["music_by", "lyrics_by", "book_by", "other_authors"]
     return cleaned.withColumns({n: _joined(F.col(n)) for n in lists})
 
@@ -325,23 +329,138 @@ def collected_products(t: Tables) -> DataFrame:
     """Catalogue C collected twice, first one language only, then all: every product is stored once."""
     store = Store(t.spark, tables_io.work_folder(t.spark, "collect"))
     documents = t.spread("documents")
-    detail = documents.select(R.detail_payload().alias("payload"))
+    detail = documents.select(F.col("doc_id").alias("n"), R.detail_payload().alias("payload"))
     listings = (documents.filter(F.col("lang") == "en"), documents)
     for run_id, listed in enumerate(listings, start=1):
-        collect_c(store, listed.select(R.product_payload().alias("payload")), detail, run_id)
-    return t.spark.read.parquet(store.rows).select(
-        "sid", "show_id", "show_title", "show_type", "duration", "apply_for_license"
+        collect_c(store, listed.select(R.product_payload().alias("payload")), detail, run_id, "n")
+    columns = "sid bigint, show_id bigint, show_title string, show_type string, duration string, apply_for_license string"
+    return store.read("rows", columns).drop("run_id")
+
+
+_URL = "https://shows.example.com/"
+
+
+@query(f"""
+    WITH s AS (SELECT *, '{_URL}' || doc_id AS show_url, 'Show ' || doc_id AS show_title FROM documents)
+    SELECT show_url, 1 AS run_id, show_title, lang AS version, text AS full_synopsis, 'listed' AS status FROM s WHERE doc_id % 3 < 2
+    UNION ALL SELECT show_url, 2, show_title, lang, text, CASE doc_id % 3 WHEN 0 THEN 'gone' ELSE 'listed' END FROM s WHERE doc_id % 3 <> 1
+""")
+def collected_shows_a(t: Tables) -> DataFrame:
+    """Catalogue A collected three times. In the second run a third is gone and another third new; in the third nothing changed, also for the gone ones."""
+    store = Store(t.spark, tables_io.work_folder(t.spark, "shows-a"))
+    documents = t.spread("documents")
+    shows, prints = _pages(t, _address(_URL), R.short_show_page_a()), _pages(t, _address(f"{S.SITE_A}/print/"), R.short_print_page_a())
+    for run_id, listed in enumerate(("doc_id % 3 < 2", "doc_id % 3 > 0", "doc_id % 3 > 0"), start=1):
+        listing = R.pages_of(documents.filter(listed), _address("/all/"), R.entry_page_a(_address(_URL)))
+        wrote = collect_a(store, listing, shows, run_id, prints, prints)
+        if wrote != (run_id < 3):
+            raise ValueError(f"run {run_id} wrote {wrote}")
+    rows = store.read("rows", "show_url string, show_title string, version string, full_synopsis string")
+    return rows.join(store.read("log", S.LOG_A), ["show_url", "run_id"]).withColumn("run_id", F.col("run_id").cast("int"))
+
+
+@query(f"""
+    SELECT '{_URL}' || doc_id || '/' AS show_url, CASE doc_id % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS run_id,
+           'Show ' || doc_id AS show_title, lang AS show_type, text AS show_credits
+    FROM documents
+    UNION ALL SELECT '{_URL}' || doc_id || '/', 1, 'Show ' || doc_id, lang, text FROM documents WHERE doc_id % 3 = 0
+""")
+def collected_shows_b(t: Tables) -> DataFrame:
+    """Catalogue B collected over several runs, one of which fails behind its rows, and is then run twice.
+
+    What left the listing of the second run is new again in the third. The failed run has done nothing, the repeated one doubles nothing.
+    """
+    store = Store(t.spark, tables_io.work_folder(t.spark, "shows-b"))
+    documents, url = t.spread("documents"), F.concat(_address(_URL), F.lit("/"))
+    shows = _pages(t, url, R.short_show_page_b())
+
+    def listing(which: str) -> DataFrame:
+        address = F.concat(F.lit("https://b.example.com/show-type/"), F.col("lang"), F.lit("/"))
+        return R.pages_of(documents.filter(which), address, R.entry_page_b(url))
+
+    collect_b(store, listing("doc_id % 3 < 2"), shows, 1)
+    unfinished = store.start(2)
+    unfinished.write("rows", store.read("rows", "show_url string, show_title string, show_type string, show_credits string").drop("run_id"))
+    for run_id, which in ((2, "doc_id % 3 > 0"), (2, "doc_id % 3 > 0"), (3, "true")):
+        collect_b(store, listing(which), shows, run_id)
+    rows = store.read("rows", "show_url string, show_title string, show_type string, show_credits string")
+    return rows.withColumn("run_id", F.col("run_id").cast("int"))
+
+
+@query("""
+    SELECT CASE WHEN doc_id % 6 = 3 THEN NULL ELSE doc_id END AS doc_id,
+           CASE doc_id % 6 WHEN 1 THEN 'syntax' WHEN 2 THEN 'type' WHEN 3 THEN 'missing' ELSE 'type' END AS reason
+    FROM documents WHERE doc_id % 6 IN (1, 2, 3, 4)
+""")
+def payload_quarantine(t: Tables) -> DataFrame:
+    """Detail payloads some of which are cut off, missing, or hold a text or a list where a number or an object belongs."""
+    payload, number = R.detail_payload(), F.col("doc_id") % 6
+    broken = (
+        F.when(number == 1, F.regexp_replace(payload, ".$", ""))
+        .when(number == 2, F.regexp_replace(payload, '^\\{"Id":([0-9]+)', '{"Id":"no $1"'))
+        .when(number == 3, F.lit(None).cast("string"))
+        .when(number == 4, F.regexp_replace(payload, '"TitleAttributeDisplayModel":', '"TitleAttributeDisplayModel":[3],"Other":'))
+        .otherwise(payload)
+    )
+    bad = site_c.quarantined(t.spread("documents").select(broken.alias("payload")), S.DETAIL_PAYLOAD)
+    number = F.nullif(F.regexp_extract("payload", '^\\{"Id":"?(?:no )?([0-9]+)', 1), F.lit(""))
+    return bad.select(number.cast("bigint").alias("doc_id"), "reason")
+
+
+_CSV_COLUMNS = "doc_id bigint, text string, tags array<string>, sizes map<string,bigint>, made struct<by:string,of:bigint>"
+
+
+@query("""
+    SELECT doc_id, text, lang || '|' || source AS tags, n_chars AS size, CASE WHEN doc_id % 4 > 0 THEN source END AS made_by, false AS bad FROM documents
+    UNION ALL SELECT NULL, lang, NULL, NULL, NULL, true FROM documents WHERE doc_id % 10 = 7
+""")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """Nested rows with line breaks and quotes to CSV and back to their types, among rows that do not fit."""
+    folder = tables_io.work_folder(t.spark, "csv")
+    made = F.when(F.col("doc_id") % 4 > 0, F.struct(F.col("source").alias("by"), F.col("n_chars").alias("of")))
+    rows = t.spread("documents").select(
+        "doc_id", "text", F.array("lang", "source").alias("tags"), F.create_map(F.lit("n,"), "n_chars").alias("sizes"), made.alias("made")
+    )
+    tables_io.write_csv(rows, folder)
+    text = F.concat(F.lit("n"), F.col("doc_id").cast("string"))  # no number in the first field
+    odd = t.documents.filter("doc_id % 10 = 7").select(text.alias("doc_id"), F.col("lang").alias("text"), *[F.lit(None).cast("string").alias(n) for n in ("tags", "sizes", "made")])
+    tables_io.write_csv(odd, folder, "append")
+    back = tables_io.read_nested_csv(t.spark, folder, _CSV_COLUMNS)
+    return back.select(
+        "doc_id", "text", F.array_join("tags", "|").alias("tags"), F.col("sizes")["n,"].alias("size"), F.col("made.by").alias("made_by"),
+        F.col(tables_io.BAD).isNotNull().alias("bad"),
     )
 
 
+@query("SELECT count(doc_id) AS doc_id, count(text) AS text, count(lang) AS lang, count(source) AS source, count(n_chars) AS n_chars FROM documents")
+def column_counts(t: Tables) -> DataFrame:
+    """Non-null values per column, from the footers of the files."""
+    return tables_io.stored_counts(t.spark, t.path("documents"))
+
+
+@query(QUERIES["clean_catalog"].sql)
+def published_catalog(t: Tables) -> DataFrame:
+    """The clean catalogue published, published anew, and a third time with rows missing, which changes nothing."""
+    folder = tables_io.work_folder(t.spark, "published")
+    raw_catalog(t).write.parquet(f"{folder}/raw")
+    for _ in range(2):
+        clean_job(t.spark, f"{folder}/raw", f"{folder}/clean")
+    short = commits.read_published(t.spark, f"{folder}/clean").limit(1)
+    try:
+        commits.publish(short, f"{folder}/clean", expected=short.count() + 1)
+    except ValueError:
+        return _shown_clean(commits.read_published(t.spark, f"{folder}/clean"))
+    raise ValueError("a table with too few rows was published")
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
     """What the ingest keeps of a page."""
-    html = F.col("html")
-    return pages.select(
+    paired = pages.select("page_id", "url", "html", H.page(F.col("html")).alias("page"))
+    return paired.select(
         "page_id",
         "url",
-        T.let(H.markup(html), lambda h: H.stripped_text(H.first(h, css("title")))).alias("title"),
-        H.visible_text(html).alias("text"),
+        H.stripped_text(H.first(F.col("page"), css("title"))).alias("title"),
+        H.visible_text(F.col("html")).alias("text"),
     )
 
 
@@ -360,3 +479,37 @@ def incremental_ingest(t: Tables) -> DataFrame:
     for stream in ("first", "again"):
         ingest.run(t.stream_path("pages"), stream)
     return ingest.result().select("url", "title", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query(f"""
+    WITH captures AS (
+        SELECT page_id * 3 AS n, url, html FROM pages WHERE page_id % 4 > 0
+        UNION ALL SELECT page_id * 3 + 2, url, replace(html, '<title>', '<title>Later ') FROM pages WHERE page_id % 3 = 0
+        UNION ALL SELECT page_id * 3 + 1, url, replace(html, '<title>', '<title>Again ') FROM pages WHERE page_id % 2 = 0
+    )
+    SELECT url, n AS page_id, trim({_decoded("regexp_extract(html, '<title>(.*?)</title>', 1)")}) AS title
+    FROM captures QUALIFY row_number() OVER (PARTITION BY url ORDER BY n DESC) = 1
+""")
+def ingest_batches(t: Tables) -> DataFrame:
+    """Overlapping deliveries of pages, the newest not the last, taken in file by file and then all at once.
+
+    Both ways give the same rows, or the query fails.
+    """
+    folder = tables_io.work_folder(t.spark, "batches")
+    later = lambda word: F.replace(F.col("html"), F.lit("<title>"), F.lit(f"<title>{word} "))
+    number = F.col("page_id") * 3
+    deliveries = [
+        (number + 2, "page_id % 3 = 0", later("Later")), (number, "page_id % 4 > 0", F.col("html")), (number + 1, "page_id % 2 = 0", later("Again")),
+    ]
+    for n, which, html in deliveries:
+        t.pages.filter(which).select(n.alias("page_id"), "url", html.alias("html")).write.mode("append").parquet(f"{folder}/landing")
+    fields = lambda pages: captures.prepared(pages).select("page_id", "url", H.stripped_text(H.first(F.col("html"), css("title"))).alias("title"))
+    results = []
+    for name, files in (("one", 1), ("all", None)):
+        ingest = Ingest(t.spark, f"{folder}/{name}", fields)
+        for stream in ("first", "again"):
+            ingest.run(f"{folder}/landing", stream, files)
+        results.append(ingest.result().select("url", "page_id", "title"))
+    if not results[0].exceptAll(results[1]).isEmpty():
+        raise ValueError("the result depends on the batches")
+    return results[0]

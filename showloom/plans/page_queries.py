@@ -15,8 +15,9 @@ from .registry import query
 
 
 def _decoded(expr: str) -> str:
+    """The references the pages hold; each of these names may do without its semicolon."""
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        expr = f"replace({expr}, '&{name};', '{char}')"
+        expr = f"regexp_replace({expr}, '&{name};?', '{char}', 'g')"
     return expr
 
 
@@ -24,6 +25,10 @@ def _pages(t: Tables) -> DataFrame:
     return captures.prepared(t.spread("pages"))
 
 
+def _made(t: Tables, html: Column) -> DataFrame:
+    return captures.prepared(t.spread("documents").select("doc_id", html.alias("html")))
+
+
 def _html() -> Column:
     return F.col("html")
 
@@ -176,11 +181,57 @@ def page_record_extract(t: Tables) -> DataFrame:
         H.stripped_text(H.first(_html(), css("div", cls="ad"))).alias("ad"),
         H.stripped_text(H.first(_html(), css("footer"))).alias("footer"),
         F.array_join(H.texts(nav, css("a")), "|").alias("menu"),
-        F.size(H.every(article, css("p"))).cast("bigint").alias("n_paragraphs"),
+        H.count(article, css("p")).cast("bigint").alias("n_paragraphs"),
         H.stripped_text(article).alias("body"),
     )
 
 
+@query(R.LINES_SQL + """
+    SELECT doc_id, CAST(len(lines) AS BIGINT) AS n,
+           array_to_string(list_transform(lines, lambda l: trim(split_part(l, ' ', 1) || l) || '~' || trim(l)), '|') AS items,
+           array_to_string(list_transform(lines, lambda l: trim(l)), '|') AS boxes,
+           array_to_string(list_transform(lines, lambda l: '~' || trim(split_part(l, ' ', 1))), '|') AS cells
+    FROM d
+""")
+def html_odd_markup(t: Tables) -> DataFrame:
+    """Items left open, elements that close themselves, end tags that close nothing or too much."""
+    made = _made(t, R.odd_markup())
+
+    def shown(e: Column, sel: H.Selector) -> Column:
+        return F.array_join(H.texts(e, sel), "~")
+
+    lists = lambda sel, inner: F.array_join(H.every(_html(), sel, lambda e: shown(e, inner)), "|")
+    return made.select(
+        "doc_id",
+        H.count(_html(), css("ul")).cast("bigint").alias("n"),
+        lists(css("ul"), css("li")).alias("items"),
+        F.array_join(H.texts(_html(), css("div", cls="x")), "|").alias("boxes"),
+        lists(css("tr"), css("td")).alias("cells"),
+    )
+
+
+@query(R.LINES_SQL + """
+    SELECT doc_id,
+           array_to_string(list_transform(lines, lambda l: split_part(l, ' ', 1) || '~' || l), '|') AS behind,
+           array_to_string(list_transform(lines, lambda l: l || '~' || split_part(l, ' ', 1)), '|') AS in_front
+    FROM d
+""")
+def html_deep_neighbours(t: Tables) -> DataFrame:
+    """What stands behind a heading and in front of a row, up to twelve levels down and with deeper decoys."""
+
+    def behind(m: H.Match) -> Column:
+        return F.concat(H.node_text(H.element(m)), F.lit("~"), H.node_text(H.next_element(m, css("p", cls="t"))))
+
+    def in_front(m: H.Match) -> Column:
+        return F.concat(H.node_text(H.element(m)), F.lit("~"), H.node_text(H.previous_sibling(m, "div")))
+
+    return _made(t, R.deep_markup()).select(
+        "doc_id",
+        F.array_join(H.each_match(_html(), css("h3"), behind), "|").alias("behind"),
+        F.array_join(H.each_match(_html(), css("div", cls="row"), in_front), "|").alias("in_front"),
+    )
+
+
 @query(R.LINES_SQL + """
     , cells AS (SELECT doc_id, list_transform(lines, lambda l: string_split(l, ', ')) AS rows FROM d),
     kept AS (SELECT doc_id, list_filter(rows, lambda r: len(r) = 2) AS two, list_filter(rows, lambda r: len(r) = 3) AS three FROM cells)
@@ -192,7 +243,7 @@ def page_record_extract(t: Tables) -> DataFrame:
 def rows_by_arity(t: Tables) -> DataFrame:
     """A table with one row per line, a cell per comma; rows of two and of three cells are kept."""
     table = H.first(_html(), css("table", cls="table-styled"))
-    tables = t.spread("documents").select("doc_id", R.table(R.lines()).alias("html"))
+    tables = _made(t, R.table(R.lines()))
     kept = tables.select(
         "doc_id",
         H.named_rows(table, ["Resource", "Quantity"]).alias("two"),
@@ -218,7 +269,7 @@ def rows_by_arity(t: Tables) -> DataFrame:
 """)
 def collect_children(t: Tables) -> DataFrame:
     """Characters in page order; the name stands in front of its row."""
-    cast = t.spread("documents").select("doc_id", R.character_rows().alias("html"))
+    cast = _made(t, R.character_rows())
     found = cast.select("doc_id", site_a.characters(_html()).alias("c"))
     return found.select("doc_id", F.size("c").cast("bigint").alias("n"), _shown_characters("c").alias("characters"))
 
@@ -248,7 +299,7 @@ _GROUPS_SQL = R.LINES_SQL + """
 @query(_GROUPS_SQL % ("split_part(l, ' ', 1)", "awards"))
 def group_to_map(t: Tables) -> DataFrame:
     """Items under the label of their group."""
-    made = t.spread("documents").select("doc_id", R.award_groups().alias("html"))
+    made = _made(t, R.award_groups())
     found = made.select("doc_id", site_a.awards(_html()).alias("m"))
     return found.select("doc_id", F.size("m").cast("bigint").alias("n"), shown_map("m").alias("awards"))
 
@@ -256,7 +307,7 @@ def group_to_map(t: Tables) -> DataFrame:
 @query(_GROUPS_SQL % ("'Role ' || (length(l) % 5)", "billing"))
 def group_to_map_last_wins(t: Tables) -> DataFrame:
     """Names listed behind a label that comes again and again; its last list stays."""
-    made = t.spread("documents").select("doc_id", R.credit_lists().alias("html"))
+    made = _made(t, R.credit_lists())
     found = made.select("doc_id", site_a.billing(_html()).alias("m"))
     return found.select("doc_id", F.size("m").cast("bigint").alias("n"), shown_map("m").alias("billing"))
 
@@ -278,7 +329,7 @@ def group_to_map_last_wins(t: Tables) -> DataFrame:
 """)
 def section_fill(t: Tables) -> DataFrame:
     """Lines under the header line that came last; those in front of the first are dropped."""
-    made = t.spread("documents").select("doc_id", R.community().alias("html"))
+    made = _made(t, R.community())
     found = made.select("doc_id", site_b.community(_html()).alias("c"))
     return found.select("doc_id", *[F.array_join(f"c.{n}", "|").alias(n) for n in ("sets", "costumes", "props")])
 
@@ -296,8 +347,8 @@ def section_fill(t: Tables) -> DataFrame:
 """)
 def heading_tables(t: Tables) -> DataFrame:
     """The table behind the title and those behind the orchestration headings."""
-    made = t.spread("documents").select("doc_id", R.materials_page().alias("html"))
-    found = captures.prepared(made).select("doc_id", site_a.orchestration(_html()).alias("o"))
+    made = _made(t, R.materials_page())
+    found = made.select("doc_id", site_a.orchestration(_html()).alias("o"))
     return found.select("doc_id", *[c.alias(n) for n, c in shown_orchestration("o").items()])
 
 

@@ -215,6 +215,61 @@ def materials_page() -> Column:
     )
 
 
+def odd_markup() -> Column:
+    """For each line a list whose items stay open, a box with one that closes itself, and a row with an empty cell."""
+
+    def one(line: Column) -> Column:
+        return _all(
+            "<ul><li>", escape(_word(line, 0)), "<li>", escape(line), "</b></ul>tail",
+            '<div class="x"><div class="clear"/>', escape(line), "</i></div>B<p>C</p>", "<tr><td/><td>", escape(_word(line, 0)), "</tr></td>",
+        )
+
+    return _each(lines(), one)
+
+
+def deep_markup() -> Column:
+    """Headings and rows among elements that are nested as deep as the length of a line says."""
+
+    def one(line: Column) -> Column:
+        levels = F.length(line) % 13
+        nest, end = F.repeat(F.lit("<div>"), levels), F.repeat(F.lit("</div>"), levels)
+        first = escape(_word(line, 0))
+        return _all(
+            "<section><h3>", first, "</h3>", nest, "<p class='t'>", escape(line), "</p>", end, "<p class='t'>no</p>",
+            nest, "<div>", first, nest, end, "</div> <p>x</p><div class='row'>", escape(line), "</div><div>no</div>", end, "</section>",
+        )
+
+    return _each(lines(), one)
+
+
+def short_show_page_a() -> Column:
+    return _all('<html><a class="mti-print-button" href="/print/', _id(), '">p</a>', _div("field-name-field-show-version", F.col("lang")), "</html>")
+
+
+def short_print_page_a() -> Column:
+    return _all(
+        "<html>", _div("field-name-field-show-title-full", " Show ", _id(), "\n"),
+        _div("field-name-field-show-synopsis-long", escape(F.col("text"))), "</html>",
+    )
+
+
+def short_show_page_b() -> Column:
+    return _all(
+        '<h1 class="single-title custom-post-type-title">Show ', _id(), '</h1><div id="show-credits">', escape(F.col("text")), "</div>"
+    )
+
+
+def entry_page_a(url: Column) -> Column:
+    """An alphabetical listing of one show."""
+    item = _div("alphabetical-item", '<a href="', url, '">x</a>')
+    return _div("region region-content", _div("alphabetical-container", item))
+
+
+def entry_page_b(url: Column) -> Column:
+    """A category listing of one show."""
+    return _div("col-md-4 col-sm-6 col-xs-12 views-col", '<a href="', url, '">x</a>', _div("list-title", "<h3>t</h3>"))
+
+
 def listing_page_a() -> Column:
     """An item per line, in boxes; an item whose line is even in length has no link."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import nested as N
 from ..functions import text as T
-from ..operators import diff
+from ..operators import captures, diff
 from ..operators.clean import cast_size
 from ..operators.site_c import detail_url
 from ..sources import schemas as S
@@ -132,7 +132,7 @@ def digit_predicate(t: Tables) -> DataFrame:
 def url_build(t: Tables) -> DataFrame:
     page = F.col("page_id").cast("string")
     link = H.first_attribute(F.col("html"), H.css("a"), "href")
-    return t.pages.select(
+    return captures.prepared(t.pages).select(
         "page_id",
         T.join_url(F.col("url"), "/upcoming/").alias("upcoming_url"),
         T.join_url(S.PRODUCT_URL_C, "/", page, F.lit("/page-"), page).alias("product_url"),

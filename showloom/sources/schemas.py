@@ -6,9 +6,10 @@ listed by category) and C (JSON listing with JSON details).
 
 from __future__ import annotations
 
+# Fixed values from here on: column names and payload keys.
 PAGES = "page_id bigint, url string, html string"
 
-SNAPSHOT_A = "show_url string"
+LOG_A = "show_url string, status string"
 SNAPSHOT_B = "url string, filter string"
 SNAPSHOT_C = "sid bigint"
 
@@ -58,9 +59,3 @@ LISTING_SIZE_C = 150
 PRODUCT_URL_C = "https://www.concordtheatricals.com/p/"
 DETAIL_URL_C = "https://www.concordtheatricals.com/api/v1/products/"
 LICENSE_URL_C = "https://license.concordtheatricals.com/performance-license/license?productId="
-
-# The categories catalogue B is listed by.
-CATEGORIES_B = [
-    "broadway", "off-broadway", "school-edition", "young-audience", "young-part", "younger-part",
-    "symphonic-experience",
-]

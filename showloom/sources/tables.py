@@ -8,10 +8,18 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from ..functions.nested import to_json
 
+#: Stands for an empty text while a file is read, where an unquoted nothing is null.
+_EMPTY = "\x00"
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_READ = _CSV | {"emptyValue": _EMPTY}
+#: Text of a row that does not fit its schema.
+BAD = "_corrupt_record"
+
+
 class Tables:
     """Parquet tables of one folder as attributes: ``Tables(spark, folder).pages``."""
 
@@ -53,14 +61,45 @@ def read_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = Tru
     A file with line breaks inside fields is read by one task; key snapshots have none, and
     ``multi_line=False`` lets large ones be split.
     """
-    return spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
+    rows = spark.read.schema(schema).options(**_READ, multiLine=multi_line).csv(path)
+    return rows.select(*[_text(f) for f in rows.schema])
+
+
+def _text(f: StructField):
+    c = F.col(f"`{f.name}`")
+    return F.when(c == _EMPTY, "").otherwise(c).alias(f.name) if isinstance(f.dataType, StringType) else c
+
+
+def read_nested_csv(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
+    """What ``write_csv`` wrote, in its own types, and a column ``_corrupt_record``.
+
+    A row with a field too few or too many, or with a value that is not of its column's type, has its text there; what can be read of it stays.
+    """
+    given = spark.createDataFrame([], schema).schema
+    nested = {f.name: f.dataType for f in given if isinstance(f.dataType, _NESTED)}
+    flat = StructType([StructField(f.name, StringType() if f.name in nested else f.dataType) for f in given])
+    options = _READ | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD, "columnPruning": False, "multiLine": multi_line}
+    rows = spark.read.schema(flat.add(BAD, "string")).options(**options).csv(path)
+
+    def parsed(name: str):
+        wrapped = F.concat(F.lit('{"v":'), F.col(f"`{name}`"), F.lit("}"))
+        whole = StructType([StructField("v", nested[name]), StructField(BAD, StringType())])
+        return F.from_json(wrapped, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+
+    read = rows.withColumns({f"__{n}": parsed(n) for n in nested}) if nested else rows
+    broken = [F.col(f"`__{n}`.{BAD}") for n in nested]
+    columns = [F.col(f"`__{f.name}`.v").alias(f.name) if f.name in nested else _text(f) for f in given]
+    return read.select(*columns, F.coalesce(BAD, *broken).alias(BAD))
+
+
+_NESTED = (ArrayType, MapType, StructType)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; nested columns as JSON text that keeps null fields."""
-    nested = [f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType))]
+    nested = [f.name for f in df.schema if isinstance(f.dataType, _NESTED)]
     flat = df.withColumns({n: to_json(F.col(f"`{n}`")) for n in nested}) if nested else df
-    flat.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
+    flat.write.mode(mode).options(**_CSV | {"emptyValue": '""'}).csv(path)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -73,35 +112,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Replace a table. One file per partition: nothing is drawn into a single task."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_run(df: DataFrame, path: str, run_id: int) -> None:
-    """Append the rows of one run. Repeating the run replaces its rows instead of doubling them."""
-    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-
+def stored_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Non-null values per column of a Parquet table, one row, added up from the footers of its files: no column is read.
 
-def read_run(spark: SparkSession, path: str, run_id: int) -> DataFrame:
-    return spark.read.parquet(f"{path}/run_id={run_id}")
-
-
-def read_runs_before(spark: SparkSession, path: str, schema: str, run_id: int) -> DataFrame:
-    """Rows of all earlier runs; the run id is a folder name, so later runs are not read."""
-    table = read_or_empty(spark, path, f"{schema}, run_id bigint")
-    return table.filter(F.col("run_id") < run_id).drop("run_id")
-
-
-def read_last_run_before(spark: SparkSession, path: str, schema: str, run_id: int) -> DataFrame:
-    """Rows of the last run before this one (a snapshot that each run replaces)."""
-    table = read_or_empty(spark, path, f"{schema}, run_id bigint").filter(F.col("run_id") < run_id)
-    last = table.agg(F.max("run_id")).first()[0]
-    return table.filter(F.col("run_id") == F.lit(last).cast("bigint")).drop("run_id")
+    Spark answers counts from footers only in its second reader interface, which is chosen by session, so this
+    frame belongs to a session of its own over the same cluster.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.parquet(path)
+    return table.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in table.columns])
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

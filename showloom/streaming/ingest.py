@@ -1,9 +1,10 @@
 """Incremental ingest of captured pages as a stream.
 
-The rows already stored are the known keys: their key column is all a batch reads of them, and
-there is no second table that could disagree with the first. Each micro-batch writes folders
-named by stream and batch, so a batch that is run again after a failure replaces its own rows.
-Which pages are new is settled on their keys alone; whole pages are never shuffled.
+What is stored are versions: for each batch the newest page of each key in it, with its ``page_id``. The
+newest version of a key over all batches and streams is what counts, so the result does not depend on
+where the stream was cut into batches, nor on their order. Each micro-batch writes a folder named by
+stream and batch, so a batch that is run again after a failure replaces its own rows. Pages that
+are no newer than what is stored are left out by their keys alone; whole pages are never shuffled.
 """
 
 from __future__ import annotations
@@ -14,18 +15,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import captures, diff
-from ..operators.joins import distinct_keys, keep_rows
+from ..operators import captures
+from ..operators.joins import distinct_keys, keep_rows, key_of
+from ..sources import commits
 from ..sources import schemas as S
 from ..sources import tables
 
-
 _BATCH_BYTES = 1 << 40
 
 
 @dataclass(frozen=True)
 class Ingest:
-    """``extract`` maps pages to ``(page_id, <key>, fields...)``, row by row."""
+    """``extract`` maps pages to ``(page_id, <key>, fields...)``, row by row.
+
+    A later capture has the higher ``page_id``; captures of one key with the same id are taken to be the same.
+    """
 
     spark: SparkSession
     folder: str
@@ -37,21 +41,34 @@ class Ingest:
         return f"{self.folder}/rows"
 
     def known(self, stream: str, batch_id: int) -> DataFrame:
-        """Keys stored by other streams and by earlier batches of this one."""
-        schema = f"{self.key} string, stream string, batch bigint"
+        """Keys and ids stored by other streams and by earlier batches of this one."""
+        schema = f"page_id bigint, {self.key} string, stream string, batch bigint"
         stored = tables.read_or_empty(self.spark, self.rows, schema)
-        return stored.filter((F.col("stream") != stream) | (F.col("batch") < batch_id)).select(self.key)
+        return stored.filter((F.col("stream") != stream) | (F.col("batch") < batch_id)).select(self.key, "page_id")
+
+    def newer(self, pages: DataFrame, stream: str, batch_id: int) -> DataFrame:
+        """Keys of a batch with the id of their newest page, where nothing as new is stored.
+
+        Of what is stored only the keys of the batch are grouped; they are found by a semi join whose small side is the batch.
+        """
+        arrived = pages.groupBy(self.key).agg(F.max("page_id").alias("page_id"))
+        known = keep_rows(self.known(stream, batch_id), distinct_keys(arrived, [self.key]), [self.key], "left_semi")
+        last = known.groupBy(self.key).agg(F.max("page_id").alias("__last"))
+        keyed = last.select(key_of(last, [self.key]), "__last")
+        both = arrived.select("*", key_of(arrived, [self.key])).join(keyed, "__key", "left")
+        return both.filter(F.col("__last").isNull() | (F.col("page_id") > F.col("__last"))).select(self.key, "page_id")
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        return captures.latest(rows.withColumn("__order", F.col("page_id")), self.key, "__order")
 
     def store_batch(self, pages: DataFrame, stream: str, batch_id: int) -> None:
         part = f"stream={stream}/batch={batch_id}"
-        newest = pages.groupBy(self.key).agg(F.max("page_id").alias("page_id"))
-        fresh = diff.new_rows_of_small_batch(self.known(stream, batch_id), newest, self.key)
-        fresh.write.mode("overwrite").parquet(f"{self.folder}/fresh/{part}")
+        self.newer(pages, stream, batch_id).write.mode("overwrite").parquet(f"{self.folder}/fresh/{part}")
         fresh = self.spark.read.parquet(f"{self.folder}/fresh/{part}")
 
-        near = captures.wanted(pages, fresh, ["page_id", self.key])
-        once = captures.latest(self.extract(near), self.key)
-        stored = keep_rows(once, distinct_keys(fresh, [self.key]), [self.key], "left_semi")
+        near = captures.wanted(pages, fresh, [self.key, "page_id"])
+        once = self._newest(self.extract(near))
+        stored = keep_rows(once, distinct_keys(fresh, [self.key, "page_id"]), [self.key, "page_id"], "left_semi")
         stored.write.mode("overwrite").parquet(f"{self.rows}/{part}")
 
     def run(self, source: str, stream: str, files_per_batch: int | None = None) -> None:
@@ -71,4 +88,9 @@ class Ingest:
         query.awaitTermination()
 
     def result(self) -> DataFrame:
-        return self.spark.read.parquet(self.rows).drop("stream", "batch")
+        """The newest version of each key: only extracted fields are grouped, and combined before the shuffle."""
+        return self._newest(self.spark.read.parquet(self.rows).drop("stream", "batch"))
+
+    def publish(self, path: str) -> None:
+        """Merge the versions into a table of their own, which readers see as a whole (``commits.read_published``)."""
+        commits.publish(self.result(), path)

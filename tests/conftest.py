@@ -26,6 +26,20 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def paged(spark):
+    """``paged(column_function, html)``: the function applied to one page whose tags are paired."""
+    from pyspark.sql import functions as F
+
+    from showloom.functions import html as H
+
+    def of(fn, given):
+        one = spark.createDataFrame([(given,)], "c string").select(H.page(F.col("c")).alias("c"))
+        return one.select(fn(F.col("c")).alias("v")).first()["v"]
+
+    return of
+
+
 @pytest.fixture
 def value(spark):
     """``value(column_function, text)``: the function applied to one value."""

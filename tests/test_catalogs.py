@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from showloom.operators import captures, site_a, site_b, site_c
 from showloom.plans.collect import Store, clean_job, collect_a, collect_b, collect_c
 from showloom.sources import schemas as S
-from showloom.sources import tables
+from showloom.sources.commits import Commits, read_published
 
 A = "https://www.mtishows.com"
 
@@ -58,53 +58,53 @@ def test_record_a_takes_the_latest_capture(spark):
     ("<div class='character__row'><p class='character__description'>d</p></div>", None),
     ("", None),
 ])
-def test_characters(value, rows, expected):
-    got = value(site_a.characters, f"<div class='box'>{rows}</div>")
+def test_characters(paged, rows, expected):
+    got = paged(site_a.characters, f"<div class='box'>{rows}</div>")
     assert (got and [tuple(r) for r in got]) == expected
 
 
-def test_awards_and_billing(value):
+def test_awards_and_billing(paged):
     html = (
         "<div class='show_awards_container'><div class='show-awards__group'><h4 class='awards_type_group'> T </h4>"
         "<li class='awards__item'> a </li></div><div class='show-awards__group'><h4 class='awards_type_group'>T</h4></div></div>"
     )
-    assert value(site_a.awards, html) == {"T": []}
-    assert value(site_a.awards, "<div class='show_awards_container'></div>") is None
-    assert value(site_a.awards, "<div class='show_awards_container'><p class='show-awards__group'></p></div>") is None
+    assert paged(site_a.awards, html) == {"T": []}
+    assert paged(site_a.awards, "<div class='show_awards_container'></div>") is None
+    assert paged(site_a.awards, "<div class='show_awards_container'><p class='show-awards__group'></p></div>") is None
     html = (
         "<div class='field-attribution-label'>Music by</div><div class='item-list'><a>A</a><a> B </a></div>"
         "<div class='field-attribution-label'>Book by</div><div class='field-attribution-label'>Lyrics by</div>"
         "<div class='item-list x'><a>C</a></div>"
     )
-    assert value(site_a.billing, html) == {"Music by": ["A", "B"], "Book by": ["C"], "Lyrics by": ["C"]}
-    assert value(site_a.billing, "<div>none</div>") is None
+    assert paged(site_a.billing, html) == {"Music by": ["A", "B"], "Book by": ["C"], "Lyrics by": ["C"]}
+    assert paged(site_a.billing, "<div>none</div>") is None
 
 
-def test_orchestration(value):
+def test_orchestration(paged):
     table = "<table class='table-styled'><tr><td>a</td><td>1</td></tr><tr><td>a</td><td>b</td><td>c</td></tr></table>"
-    got = value(site_a.orchestration, f"<h1>x</h1>{table}<h3> STANDARD ORCHESTRATION</h3><h3>ALTERNATE ORCHESTRATION</h3>{table}")
+    got = paged(site_a.orchestration, f"<h1>x</h1>{table}<h3> STANDARD ORCHESTRATION</h3><h3>ALTERNATE ORCHESTRATION</h3>{table}")
     assert got.asDict(True) == {
         "Materials": [{"Resource": "a", "Quantity": "1"}],
         "Orchestration": {"ALTERNATE ORCHESTRATION": [{"Instrumentation": "a", "Doubling": "b", "Quantity": "c"}]},
     }
-    assert value(site_a.orchestration, f"<h1>x</h1>{table}").asDict(True)["Orchestration"] == {}
-    assert value(site_a.orchestration, f"<h1>x</h1>{table}<h3>STANDARD ORCHESTRATION</h3>") is None
-    assert value(site_a.orchestration, f"{table}<h1>x</h1>") is None
-    wrapped = value(site_a.orchestration, f"<h1>x</h1>{table}<h3><b>STANDARD ORCHESTRATION</b></h3>{table}")
+    assert paged(site_a.orchestration, f"<h1>x</h1>{table}").asDict(True)["Orchestration"] == {}
+    assert paged(site_a.orchestration, f"<h1>x</h1>{table}<h3>STANDARD ORCHESTRATION</h3>") is None
+    assert paged(site_a.orchestration, f"{table}<h1>x</h1>") is None
+    wrapped = paged(site_a.orchestration, f"<h1>x</h1>{table}<h3><b>STANDARD ORCHESTRATION</b></h3>{table}")
     assert list(wrapped["Orchestration"]) == ["STANDARD ORCHESTRATION"]
 
 
-def test_available_resource_needs_all_parts(value):
+def test_available_resource_needs_all_parts(paged):
     item = (
         "<div class='resource-results-view-content'><div class='resource-view-title'><a href='/r'> R </a></div>"
         "<div class='resource-view-description'>d</div><div class='resource-view-type-wrapper'>t</div>{}</div>"
     )
     image = "<div class='resource-view-image'><img src='/i'></div>"
     box = "<div class='resource-results-view'>{}</div>"
-    assert [tuple(r) for r in value(site_a.available_resource, box.format(item.format(image)))] == [("R", "/r", "d", "t", "/i")]
-    assert value(site_a.available_resource, box.format(item.format(image) + item.format(""))) is None
-    assert value(site_a.available_resource, box.format("")) == []
-    assert value(site_a.available_resource, "<div></div>") is None
+    assert [tuple(r) for r in paged(site_a.available_resource, box.format(item.format(image)))] == [("R", "/r", "d", "t", "/i")]
+    assert paged(site_a.available_resource, box.format(item.format(image) + item.format(""))) is None
+    assert paged(site_a.available_resource, box.format("")) == []
+    assert paged(site_a.available_resource, "<div></div>") is None
 
 
 def test_record_b_missing_values_are_null(spark):
@@ -127,17 +127,11 @@ def listing_a(*urls):
     return f"<div class='region region-content'><div class='alphabetical-container'>{items}</div></div>"
 
 
-def stored(store):
-    return store.spark.read.parquet(store.rows)
+def stored(store, schema="show_title string"):
+    return store.read("rows", schema)
 
 
-@pytest.fixture(params=[100_000, 0], ids=["few", "many"])
-def both_ways(request, monkeypatch):
-    """Changes counted as few, and as many."""
-    monkeypatch.setattr(captures, "_FEW", request.param)
-
-
-def test_collect_a(spark, tmp_path, both_ways):
+def test_collect_a(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     captured = pages(spark, *[(f"u{n}", show(n)) for n in (1, 2, 3)], *[(f"{A}/print/{n}", printed(n)) for n in (1, 2, 3)])
     first = pages(spark, ("l", listing_a("u1", "u2", None)))
@@ -148,8 +142,18 @@ def test_collect_a(spark, tmp_path, both_ways):
     # u3 is new; u1 is gone and read again
     third = stored(store).filter("run_id = 3")
     assert sorted(r.show_title for r in third.collect()) == ["Show 1", "Show 3"]
-    changes = {(r.show_url, r.status) for r in spark.read.parquet(store.changes).filter("run_id = 3").collect()}
+    changes = {(r.show_url, r.status) for r in store.read("changes", S.LOG_A).filter("run_id = 3").collect()}
     assert changes == {("u3", "added"), ("u1", "removed")}
+    # u1 stays gone, and nothing is written for it again
+    assert not collect_a(store, pages(spark, ("l", listing_a("u2", "u3", None))), captured, 4)
+    assert [r.run_id for r in store.commits.records()] == [1, 3]
+    # it is new when it is listed again, and a null key goes like any other
+    assert collect_a(store, pages(spark, ("l", listing_a("u1", "u2", "u3"))), captured, 5)
+    events = {(r.show_url, r.status) for r in store.read("log", S.LOG_A).filter("run_id = 5").collect()}
+    assert events == {("u1", "listed"), (None, "gone")}
+
+
+TITLES = "show_title string, show_type string"
 
 
 def listing_b(*urls):
@@ -157,12 +161,12 @@ def listing_b(*urls):
     return "".join(box.format(u) for u in urls)
 
 
-def test_collect_b(spark, tmp_path, both_ways):
+def test_collect_b(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     captured = pages(spark, *[(f"u{n}/", f"<h1 class='single-title custom-post-type-title'>{n}</h1>") for n in (1, 2, 3)])
     one = pages(spark, ("http://x/show-type/broadway/?l=en", listing_b("u1/", "u2/")), ("http://x/show-type/young-part/", listing_b("u2/")))
     assert collect_b(store, one, captured, 1)
-    got = sorted((r.show_title, r.show_type) for r in stored(store).collect())
+    got = sorted((r.show_title, r.show_type) for r in stored(store, TITLES).collect())
     assert got == [("1", "broadway"), ("2", "broadway"), ("2", "young-part")]
     assert not collect_b(store, one, captured, 2)
     two = pages(spark, ("http://x/show-type/broadway/", listing_b("u3/", "u1/")))
@@ -172,7 +176,7 @@ def test_collect_b(spark, tmp_path, both_ways):
     assert sorted(r.show_title for r in stored(store).collect()) == ["1", "2", "2", "3"]
     # u2 left the listing in run 3, so it is new when it comes back
     assert collect_b(store, one, captured, 4)
-    assert sorted((r.show_title, r.show_type) for r in stored(store).filter("run_id = 4").collect()) == [
+    assert sorted((r.show_title, r.show_type) for r in stored(store, TITLES).filter("run_id = 4").collect()) == [
         ("2", "broadway"), ("2", "young-part"),
     ]
 
@@ -201,25 +205,29 @@ def test_collect_c(spark, tmp_path):
     details = payloads(spark, *[detail(n) for n in (1, 2, 3)])
     one = payloads(spark, {"ProductTotal": 151, "Products": [product(1), product(2, "Musical")]})
     assert tuple(site_c.listing_totals(one).select("total", "n_pages").first()) == (151, 2)
-    assert collect_c(store, one, details, 1)
-    first = stored(store).orderBy("sid").first()
+    details = details.withColumn("n", F.lit(1))
+    assert collect_c(store, one, details, 1, "n")
+    first = spark.read.parquet(f"{tmp_path}/data/rows").orderBy("sid").first()
     assert (first.sid, first.show_id, first.show_type, first.genre, first.minimum_license_fee) == (1, 1, "Play", "Comedy", "$5")
     assert first.show_url == "https://www.concordtheatricals.com/p/1/p-1" and first.brief_synopsis == "a&b"
     assert first.summary == "" and first.awards == {"awards": ["A"]} and first.performance_groups == ["G"]
     assert first.authors[0].fullname == "A B" and first.image_urls[0].image_height == 3
-    assert not collect_c(store, one, details, 2)
-    assert collect_c(store, payloads(spark, {"Products": [product(2), product(3), product(4)]}), details, 3)
-    assert sorted(r.sid for r in stored(store).collect()) == [1, 2, 3]
-    profile = spark.read.parquet(store.profile).filter("run_id = 3").first()
+    assert not collect_c(store, one, details, 2, "n")
+    assert collect_c(store, payloads(spark, {"Products": [product(2), product(3), product(4)]}), details, 3, "n")
+    assert sorted(r.sid for r in stored(store, "sid bigint").collect()) == [1, 2, 3]
+    profile = store.read("profile", "sid bigint, genre bigint, short_description bigint").filter("run_id = 3").first()
     assert (profile.sid, profile.genre, profile.short_description) == (2, 2, 2)
 
 
 def test_clean_job(spark, tmp_path):
     shows = spark.createDataFrame([("u1",)], "show_url string")
     raw = site_a.records(shows, pages(spark, ("u1", show(1)), (A + "/print/1", printed(1, "<p class='cast-info__name-size'>Cast: Big (9)</p>"))))
-    tables.publish(raw, str(tmp_path / "raw"))
+    raw.write.parquet(str(tmp_path / "raw"))
+    clean_job(spark, str(tmp_path / "raw"), str(tmp_path / "clean"))
     clean_job(spark, str(tmp_path / "raw"), str(tmp_path / "clean"))
-    got = spark.read.parquet(str(tmp_path / "clean")).first()
+    got = read_published(spark, str(tmp_path / "clean")).collect()
+    assert len(got) == 1
+    got = got[0]
     assert (got.cast_size_category, got.cast_size_detail, got.male_character_count, got.music_by) == ("Big", "9", 0, None)
     with pytest.raises(Exception):
         clean_job(spark, str(tmp_path / "missing"), str(tmp_path / "clean"))
@@ -249,4 +257,49 @@ def test_a_detail_captured_again_does_not_double_its_product(spark, tmp_path):
     again = {**detail(1), "LicensingFeeDisplay": "<strong>Fee</strong>: $9"}
     details = spark.createDataFrame([(2, json.dumps(again)), (1, json.dumps(detail(1))), (3, None), (4, "{}")], "n int, payload string")
     assert collect_c(store, payloads(spark, {"Products": [product(1)]}), details, 1, order="n")
-    assert [r.minimum_license_fee for r in stored(store).collect()] == ["$9"]
+    assert [r.minimum_license_fee for r in stored(store, "minimum_license_fee string").collect()] == ["$9"]
+    bad = store.read("quarantine", "payload string, reason string").collect()
+    assert [(r.payload, r.reason) for r in bad] == [(None, "missing")]
+
+
+def test_a_run_that_fails_before_its_record_has_done_nothing(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    captured = pages(spark, *[(f"u{n}/", f"<h1 class='single-title custom-post-type-title'>{n}</h1>") for n in (1, 2, 3)])
+    listing = pages(spark, ("http://x/show-type/broadway/", listing_b("u1/", "u2/")))
+    stage = Commits.stage
+    for broken in ("keys", "changes", "rows"):
+        def failing(self, name, df, run_id, broken=broken):
+            place = stage(self, name, df, run_id)  # written, but the run ends here
+            if name == broken:
+                raise RuntimeError(name)
+            return place
+
+        monkeypatch.setattr(Commits, "stage", failing)
+        with pytest.raises(RuntimeError):
+            collect_b(store, listing, captured, 1)
+        assert store.commits.records() == [] and stored(store).count() == 0
+    monkeypatch.setattr(Commits, "stage", stage)
+    assert collect_b(store, listing, captured, 1)
+    assert sorted(r.show_title for r in stored(store).collect()) == ["1", "2"]
+
+
+def test_quarantine(spark):
+    good = json.dumps(detail(1))
+    rows = [good, good[:-1], "", None, '{"Id": "x"}', '{"Id": 1, "Other": []}', "[1]", "nothing", '{"TitleAttributeDisplayModel": 3}']
+    df = spark.createDataFrame([(p,) for p in rows], "payload string")
+    got = {r.payload: r.reason for r in site_c.quarantined(df, S.DETAIL_PAYLOAD).collect()}
+    assert got == {good[:-1]: "syntax", "": "empty", None: "missing", '{"Id": "x"}': "type", "[1]": got["[1]"], "nothing": "syntax",
+                   '{"TitleAttributeDisplayModel": 3}': "type"}
+
+
+@pytest.mark.parametrize("n", [0, 1, 3000])
+def test_key_filter_loses_nothing_and_keeps_little(spark, n):
+    pages = spark.range(20_000).select(F.col("id").cast("string").alias("url"), "id")
+    pages = pages.unionByName(spark.createDataFrame([(None, -1)], "url string, id bigint"))
+    keys = spark.range(n).select((F.col("id") * 5).cast("string").alias("url")).unionByName(spark.createDataFrame([(None,)], "url string"))
+    got = captures.wanted(pages, keys, ["url"])
+    assert got.columns == ["url", "id"]
+    ids = {r.id for r in got.collect()}
+    assert ids >= {-1, *range(0, 5 * n, 5)} and len(ids) < n + 60
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

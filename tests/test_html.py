@@ -1,12 +1,14 @@
 """Extraction against a small tree built with the standard library's tokenizer."""
 
 import random
+import time
 from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
 from showloom.functions import html as H
+from showloom.functions.elements import VOID_TAGS
 from showloom.functions.html import css
 
 
@@ -45,13 +47,14 @@ class Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         node = Node(tag, attrs, self.open)
         self.open.children.append(node)
-        if tag not in H.VOID_TAGS:
+        if tag not in VOID_TAGS:
             self.open = node
 
     def handle_startendtag(self, tag, attrs):
         self.open.children.append(Node(tag, attrs, self.open))
 
     def handle_endtag(self, tag):
+        self.open.children.append(None)  # parts texts also where it closes nothing
         node = self.open
         while node and node.tag != tag:
             node = node.parent
@@ -109,7 +112,8 @@ def random_html(rng, depth=0):
             attrs = rng.choice(["", ' class="x"', " class='a x b'", ' class="xy"', ' id="k"', " class=x", ' data-class="x"', ' class="a x"\n id="k"',
                 ' title="a>b" class="x"', " title=it's class='x'", ' CLASS="x" title=\'div class="x">\'', ' class="a  x "', " class = 'x'",
                 ' class="a > x"', ' data-x="1=2" class="xx x"', " id='x' title"])
-            pieces.append(f"<{tag}{attrs}>{random_html(rng, depth + 1)}</{tag.lower()}>")
+            end = rng.choice([f"</{tag.lower()}>"] * 8 + ["", "</div>", "</p>", "</b>"])
+            pieces.append(f"<{tag}{attrs}{'/' if rng.random() < 0.05 else ''}>{random_html(rng, depth + 1)}{end}")
     return "".join(pieces)
 
 
@@ -122,22 +126,40 @@ def samples(spark):
     texts = [random_html(rng) for _ in range(400)]
     deep = "<div class='x'>" * 40 + "deep" + "</div>" * 40 + "<div>tail</div>"
     wide = "<div class='x'><div>" + "<p>y</p>" * 3000 + "</div>end</div>"
-    return spark.createDataFrame(list(enumerate(texts + [deep, wide])), "i int, h string").cache()
+    made = spark.createDataFrame(list(enumerate(texts + [deep, wide])), "i int, h string")
+    return made.select("i", "h", H.page(F.col("h")).alias("p")).cache()
 
 
 @pytest.mark.parametrize("sel", SELECTORS, ids=str)
 def test_elements_match_the_tree(samples, sel):
-    html = H.markup(F.col("h"))
+    html = F.col("p")
     got = samples.select(
-        "h", H.every(html, sel, H.node_text).alias("all"), H.node_text(H.first(html, sel)).alias("first")
+        "h", H.every(html, sel, H.node_text).alias("all"), H.node_text(H.first(html, sel)).alias("first"),
+        H.count(html, sel).alias("n"), H.has(html, sel).alias("any"), H.texts(html, sel).alias("texts"),
     ).collect()
     for row in got:
-        found = find_all(row.h, sel)
-        if any(n.tag in H.VOID_TAGS for n in found):
-            continue  # elements without content are read with first_tag
-        expected = [n.text for n in found]
+        expected = [n.text for n in find_all(row.h, sel)]
         assert row["all"] == expected, row.h
         assert row["first"] == (expected[0] if expected else None), row.h
+        assert (row["n"], row["any"]) == (len(expected), bool(expected))
+        assert row["texts"] == [t.strip() for t in expected]
+
+
+def test_neighbours_match_the_tree(samples):
+    """Previous siblings and next elements of every match, at any depth."""
+
+    def around(m):
+        before, after = H.previous_sibling(m, "div"), H.next_element(m, css("p"))
+        return F.struct(H.node_text(before).alias("before"), H.node_text(after).alias("after"))
+
+    for row in samples.select("h", H.each_match(F.col("p"), css(cls="x"), around).alias("v")).collect():
+        nodes = list(Tree(row.h).root.walk())
+        for n, (before, after) in zip((n for n in nodes if matches(n, css(cls="x"))), row.v, strict=True):
+            siblings = [s for s in n.parent.children if isinstance(s, Node)]
+            earlier = [s for s in siblings[: siblings.index(n)] if s.tag == "div"]
+            later = [s for s in nodes[nodes.index(n) + 1 :] if s.tag == "p"]
+            assert before == (earlier[-1].text if earlier else None), row.h
+            assert after == (later[0].text if later else None), row.h
 
 
 def test_visible_text_matches_the_tree(samples):
@@ -150,50 +172,108 @@ def test_visible_text_of_null(value):
     assert value(H.visible_text, None) == ""
 
 
-def test_open_elements_reach_to_the_end_of_their_region(value):
-    html = "<article><p><b>one<br><p>two</p><p>three</p><p>four<p>five</p></article><p>out</p>"
-    got = value(lambda c: H.texts(H.first(c, css("article")), css("p")), html)
-    region = next(n for n in Tree(html).root.walk() if n.tag == "article")
-    assert got == [n.text for n in region.walk() if n.tag == "p"]
+@pytest.mark.parametrize("html, sel, expected", [
+    # an element left open ends with the one around it
+    ("<ul><li>a<li>b</ul>tail", css("li"), ["ab", "b"]),
+    ("<article><p><b>one<br><p>two</p><p>three</p><p>four<p>five</p></article><p>out</p>", css("p"),
+     ["onetwothreefourfive", "two", "three", "fourfive", "five", "out"]),
+    # one that closes itself has no content
+    ('<div class="x"><div class="clear"/>A</div>B<p>C</p>', css("div", cls="x"), ["A"]),
+    ("<tr><td/><td>b</td></tr>", css("td"), ["", "b"]),
+    ("<a href=/x/>link</a>", css("a"), ["link"]),
+    # an end tag that closes nothing is ignored, one that closes more closes all of it
+    ("<p>a</div>b</p>c", css("p"), ["ab"]),
+    ("<div><p>a<i>b</div>c", css("i"), ["b"]),
+    ("<DIV>a</Div><div >b</div\n>", css("div"), ["a", "b"]),
+    ("<div title='a>b' class=x>1</div><div class='>'>2", css("div"), ["1", "2"]),
+    ("a < b <3 <p>c", css("p"), ["c"]),
+    ("<p>a<p", css("p"), ["a<p"]),
+    ("", css("p"), []),
+    (None, css("p"), None),
+])
+def test_pairing(paged, html, sel, expected):
+    assert paged(lambda c: H.texts(c, sel), html) == expected
+
+
+def test_the_end_of_a_long_element_is_found_whatever_stands_at_any_place(paged):
+    text = "".join(rf"word{i} " for i in range(280))[:1976]
+    for n in range(1960, 1976):
+        got = paged(lambda c: H.node_text(H.first(c, css("article"))), f"<article>{text[:n]}</a> MORE</article>tail")
+        assert got == text[:n] + " MORE"
+
+
+def test_deep_neighbours(paged):
+    """Twelve levels down, as well as at the top."""
+    for depth in (0, 5, 6, 7, 12):
+        nest, end = "<div>" * depth, "</div>" * depth
+        html = f"<h3>x</h3>{nest}<p class='t'>A</p>{end}<p class='t'>B</p>"
+        got = paged(lambda c: H.each_match(c, css("h3"), lambda m: H.node_text(H.next_element(m, css(cls="t")))), html)
+        assert got == ["A"]
+        html = f"<section>{nest}<b>N{end}</b><div>near{nest}{end}</div> <p class='row'>r</p></section>"
+        got = paged(lambda c: H.each_match(c, css(cls="row"), lambda m: H.node_text(H.previous_sibling(m, "div"))), html)
+        assert got == ["near"]
+
+
+def test_time_grows_with_what_comes_out(spark, tmp_path):
+    pages = {
+        "open": "<ul>" + "<li>x" * 8000 + "</ul>", "closed": "<ul>" + "<li>x</li>" * 100_000 + "</ul>",
+        "ends": "<ul>" + "<li>x</b>" * 4000 + "</ul>", "cut": "<a " * 50_000, "quotes": "<a x='" * 20_000 + ">",
+    }
+    df = spark.createDataFrame(list(pages.items()), "name string, h string")
+    df.write.parquet(str(tmp_path / "p"))
+    read = spark.read.parquet(str(tmp_path / "p")).select("name", H.page(F.col("h")).alias("p"))
+    for name in pages:
+        start = time.perf_counter()
+        found = read.filter(F.col("name") == name).select(F.size(H.texts(F.col("p"), css("li"))).alias("n")).first().n
+        assert time.perf_counter() - start < 10, name
+        assert found == {"open": 8000, "closed": 100_000, "ends": 4000}.get(name, 0)
 
 
-def test_attributes(value):
+def test_attributes(paged):
     tags = {
         "<a href='/x?a=1&amp;b=2'>": "/x?a=1&b=2", '<a data-href="no" HREF = "/y z">': "/y z", "<a href=/z>": "/z",
-        "<a href=''>": "", "<a name='href'>": None, "<a>": None,
+        "<a href=''>": "", "<a name='href'>": None, "<a>": None, "<a href>": "", "<a href='1' href='2'>": "1",
+        "<a href='/?a=1&copy=2&copy;&copyx &copy &#65'>": "/?a=1&copy=2©&copyx © A", "<a title=it's href='x'>": "x",
     }
     for tag, expected in tags.items():
-        assert value(lambda c: H.attribute(c, "href"), tag) == expected, tag
+        assert paged(lambda c: H.first_attribute(c, css("a"), "href"), tag) == expected, tag
+        assert paged(lambda c: H.attribute(H.first(c, css("a")), "href"), tag) == expected, tag
 
 
-def test_links_and_tables(value):
+def test_links_and_tables(paged):
     html = "<ul><li> <b>A</b> &amp; b <a href='/1'>x</a></li><li>none</li></ul>"
-    got = value(lambda c: H.link_structs(c, "n", "u", css("li")), html)
+    got = paged(lambda c: H.link_structs(c, "n", "u", css("li")), html)
     assert [tuple(x) for x in got] == [("A & b x", "/1"), ("none", None)]
     table = "<table><tr><th>h</th></tr><tr><td> a</td><td><b>1</b></td></tr><tr><td>a</td><td>b</td><td>c</td></tr></table>"
-    assert value(H.table_rows, table) == [[], ["a", "1"], ["a", "b", "c"]]
-    assert [tuple(r) for r in value(lambda c: H.named_rows(c, ["A", "B"]), table)] == [("a", "1")]
+    assert paged(H.table_rows, table) == [[], ["a", "1"], ["a", "b", "c"]]
+    assert [tuple(r) for r in paged(lambda c: H.named_rows(c, ["A", "B"]), table)] == [("a", "1")]
 
 
 @pytest.mark.parametrize("html, expected", [
-    ("<h3>Related</h3><a href='1'>x</a><br> , <i>n<i>m</i></i><a href='2'>y</a><a href='3'>z</a>", ["<a href='1'>", "<a href='2'>"]),
-    ("<a href='1'>x</a>", None),
-    ("<p><a href='1'>x</a></p><a href='2'>y</a>", None),
-    ("none", None),
+    ("<h3>Related</h3><a href='1'>x</a><br> , <i>n<i>m</i></i><a href='2'>y</a><a href='3'>z</a>", ["1", "2"]),
+    ("<h3><b>Related</b></h3></div><p><a href='1'>x</a></p><p><a href='2'>y</a></p>", None),
+    ("<h3>Related</h3></div><p><a href='1'>x</a><a href='2'>y</a></p>", ["1", "2"]),  # behind the region
+    ("<h3>Related</h3><a href='1'>x</a>", None),
+    ("<h3> Related</h3><a href='1'>x</a><a href='2'>x</a>", "none"),
+    ("<h3><i></i>Related</h3><a href='1'>x</a><a href='2'>x</a>", "none"),
+    ("</div><h3>Related</h3><a href='1'>x</a><a href='2'>x</a>", "none"),
+    ("none", "none"),
 ])
-def test_first_and_sibling(value, html, expected):
-    assert value(lambda c: H.first_and_sibling(c, "a"), html) == expected
+def test_next_and_sibling(paged, html, expected):
+    links = lambda m: F.transform(H.next_and_sibling(m, "a"), lambda a: a["href"])
+    got = paged(lambda c: H.each_match(c, css("h3"), links, string=["Related"], within=css(ident="box")), f"<div id=box>{html}</div>")
+    assert got == ([] if expected == "none" else [expected])
 
 
-def test_previous_sibling(value):
+def test_previous_sibling(paged):
     html = "<div class=box><div>N<b>1</b></div> <p>x</p><div class='row'><div>i</div></div><div class='row'>2</div></div>"
-    got = value(lambda c: H.each_match(c, css(cls="row"), lambda m: H.node_text(H.previous_sibling(m, "div"))), html)
+    got = paged(lambda c: H.each_match(c, css(cls="row"), lambda m: H.node_text(H.previous_sibling(m, "div"))), html)
     assert got == ["N1", "i"]
     first = "<div class=box><div class='row'>2</div></div>"
-    assert value(lambda c: H.each_match(c, css(cls="row"), lambda m: H.node_text(H.previous_sibling(m, "div"))), first) == [None]
+    assert paged(lambda c: H.each_match(c, css(cls="row"), lambda m: H.node_text(H.previous_sibling(m, "div"))), first) == [None]
 
 
-def test_next_element(value):
+def test_next_element(paged):
     html = "<h3>A</h3><p>x</p><h3>B</h3><div class='t'>1<div>2</div></div><h3>C</h3>"
-    got = value(lambda c: H.each_match(c, css("h3"), lambda m: H.node_text(H.next_element(m, css(cls="t")))), html)
+    got = paged(lambda c: H.each_match(c, css("h3"), lambda m: H.node_text(H.next_element(m, css(cls="t")))), html)
     assert got == ["12", "12", None]
