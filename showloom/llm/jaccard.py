@@ -12,13 +12,15 @@ common pivot bound the distance between them. All links come out, also those wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import long_values, mixed, packed, partitions, pieces, runs, stored, unpacked, utf8
+from .common import drop, long_values, mixed, packed, partitions, pieces, runs, stored, unpacked, utf8
 from .words import grams, hashed_words
 
 #: Words of a shingle; similarity from which two sets are linked, as a fraction.
@@ -288,8 +290,9 @@ def told_apart(pairs: DataFrame, compared: DataFrame) -> DataFrame:
 def connected(links: DataFrame) -> DataFrame:
     """node and comp (the least node it reaches) of all nodes with a link: least labels of neighbours, then labels of labels."""
     both = stored(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"), "labels")
+    table = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"), "labels")
     while True:
+        labels = table.select("node", "comp")
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("least"))
         next_ = labels.join(near, labels.node == near.a).select("node", "comp", F.least("comp", "least").alias("least"))
         of = labels.select(F.col("node").alias("label"), F.col("comp").alias("jump"))
@@ -297,9 +300,13 @@ def connected(links: DataFrame) -> DataFrame:
             "node", F.least("least", F.coalesce("jump", "least")).alias("comp"), (F.least("least", F.coalesce("jump", "least")) != F.col("comp")).alias("moved")
         )
         next_ = stored(next_, "labels")
-        labels = next_.select("node", "comp")
+        drop(table)
+        table = next_
         if next_.filter("moved").isEmpty():
-            return labels
+            drop(both)
+            out = next_.select("node", "comp")
+            out.stored_at = next_.stored_at
+            return out
 
 
 def differences(components: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -344,11 +351,15 @@ def shared_counts(e: list[np.ndarray], f: list[np.ndarray]) -> np.ndarray:
 
 
 _LINKS = "a array<long>, b array<long>, n array<long>, m array<long>, common array<long>"
+_SUMMARY = "a array<long>, b array<long>, node array<long>, links array<long>"
 
 
-def inner_links(components: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def inner_links(components: DataFrame, texts: DataFrame, size: int, summary: bool) -> DataFrame:
     """All links between sets of one component, one row of arrays a, b, n, m and common for each pair of blocks.
 
+    With ``summary`` the links are found, but not written one by one: a row has the sets of its two blocks, how many links each
+    has (node, links), and a forest (a, b) that connects those that links connect.
+
     Sets x and y differ in the shingles in which their differences to the reference do, so their texts are not read
     again. Blocks hold sets at about the same distance from the reference; pairs of blocks are skipped whose
     sizes or distances are too far apart.
@@ -367,6 +378,7 @@ def inner_links(components: DataFrame, texts: DataFrame, size: int) -> DataFrame
         F.min("d").alias("near"), F.max("d").alias("far"),
     )
     blocks = stored(blocks, "blocks")
+    drop(rows)
     of = blocks.select("comp", "block", "low", "high", "near", "far")
     x, y = of.alias("x"), of.alias("y")
     gap = F.greatest(F.col("x.near") - F.col("y.far"), F.col("y.near") - F.col("x.far"))
@@ -394,76 +406,88 @@ def inner_links(components: DataFrame, texts: DataFrame, size: int) -> DataFrame
                 if own:
                     fit &= a[:, None] < b[None]
                 i, j = np.nonzero(fit)
-                if len(i):
+                if len(i) and summary:
+                    yield _row(*forest(a[i], b[j]), np.append(a, b), np.append(fit.sum(1), fit.sum(0)))
+                elif len(i):
                     turned = a[i] > b[j]
                     out = (
                         np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), np.where(turned, m[j], n[i]), np.where(turned, n[i], m[j]), common[i, j],
                     )
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.ListArray.from_arrays(pa.array([0, len(i)], pa.int32()), pa.array(v)) for v in out], ["a", "b", "n", "m", "common"]
-                    )
-
-    return met.select((F.col("i") == F.col("j")).alias("own"), "e", "f").mapInArrow(compare, _LINKS)
-
-
-def forests(blocks: DataFrame) -> DataFrame:
-    """a, b: each set of a row of links with the least one that it reaches by links of this row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column("a"), batch.column("b"), strict=True):
-                nodes, at = np.unique(np.concatenate([np.asarray(x.values), np.asarray(y.values)]), return_inverse=True)
-                near = np.zeros((len(nodes), len(nodes)), bool)
-                i, j = np.split(at, 2)
-                near[i, j] = near[j, i] = True
-                root = np.full(len(nodes), -1)
-                for k in range(len(nodes)):
-                    new = (np.arange(len(nodes)) == k) & (root < 0)
-                    while new.any():
-                        root[new] = k
-                        new = near[new].any(0) & (root < 0)
-                rest = root != np.arange(len(nodes))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[root[rest]]), pa.array(nodes[rest])], ["a", "b"])
-
-    return blocks.select("a", "b").mapInArrow(run, "a long, b long")
-
-
-def similar_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
+                    yield _row(*out, names=["a", "b", "n", "m", "common"])
+
+    pairs = met.select((F.col("i") == F.col("j")).alias("own"), "e", "f")
+    found = stored(pairs.mapInArrow(compare, _SUMMARY if summary else _LINKS), "inner")
+    drop(blocks)
+    return found
+
+
+def _row(*columns: np.ndarray, names: tuple[str, ...] = ("a", "b", "node", "links")) -> pa.RecordBatch:
+    """One row of arrays."""
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v.astype(np.int64))) for v in columns]
+    return pa.RecordBatch.from_arrays(lists, list(names))
+
+
+def forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For links between x and y: each set with the least one that it reaches by them."""
+    nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    near = np.zeros((len(nodes), len(nodes)), bool)
+    i, j = np.split(at, 2)
+    near[i, j] = near[j, i] = True
+    root = np.full(len(nodes), -1)
+    for k in range(len(nodes)):
+        new = (np.arange(len(nodes)) == k) & (root < 0)
+        while new.any():
+            root[new] = k
+            new = near[new].any(0) & (root < 0)
+    rest = root != np.arange(len(nodes))
+    return nodes[root[rest]], nodes[rest]
+
+
+def similar_classes(
+    docs: DataFrame, size: int = SHINGLE, summary: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
     """Named sets of all rows; classes of equal sets (node, k1, k2, doc_id: the smallest); all links of classes.
 
     Links come in two tables, both None if no two sets share a list: in rows of arrays those between sets that
-    pivots bring to one component (``inner_links``), and one by one the others (a, b, n, m, common).
+    pivots bring to one component (``inner_links``), and one by one the others (a, b, n, m, common). All are stored; tables
+    that only lead to them are removed as soon as the next one is there.
     """
     sets = stored(named_sets(docs, size), "sets")
     usable = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     texts = stored(class_texts(docs, classes, size), "texts")
-    lists = stored(index_lists(texts, counters(texts, size), size), "lists")
-    members = stored(texts.join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "members")
-    compared = components = outer = None
+    held = stored(index_lists(texts, counters(texts, size), size), "lists")
+    members = stored(texts.join(held.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "members")
+    drop(texts)
+    comparisons: list[DataFrame] = []
+    components = outer = None
     for round_ in range(PIVOT_ROUNDS + 1):
-        current = labelled(lists, components)
+        current = labelled(held.select("shingle", "node", "size", "pos"), components)
         open_ = current.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("shingle")
         current = stored(current.join(open_, "shingle", "left_semi"), "open")
+        drop(held)
+        held = current
         if current.isEmpty():
             break
-        lists = current.drop("comp")
         last = round_ == PIVOT_ROUNDS
         pairs = block_pairs(current) if last else pivot_pairs(current, round_)
-        if compared is not None:
+        if comparisons:
+            compared = reduce(DataFrame.unionAll, comparisons)
             pairs = told_apart(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), compared)
         new = stored(overlaps(pairs, members, size), "compared")
-        compared = new if compared is None else compared.unionAll(new)
         if last:
-            outer = new
+            outer = stored(linked(new), "outer")
+            drop(new)
         else:
-            components = connected(linked(compared).select("a", "b"))
-    if components is None:
-        return sets, classes, None, None if outer is None else linked(outer)
-    inner = stored(inner_links(components, members, size), "inner")
+            comparisons.append(new)
+            before, components = components, connected(linked(reduce(DataFrame.unionAll, comparisons)).select("a", "b"))
+            drop(*[x for x in [before] if x is not None])
+    drop(held, *comparisons)
+    inner = None if components is None else inner_links(components, members, size, summary)
+    drop(members, *[x for x in [components] if x is not None])
     # without a last round no list has sets of two components, so there are no other links
-    return sets, classes, inner, None if outer is None else linked(outer)
+    return sets, classes, inner, outer
 
 
 def links(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -484,35 +508,79 @@ def links(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     return found, member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("node")).alias("node"))
 
 
+def grouped_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Named sets of all rows, and of each class k1, k2, doc_id, ``component`` (least doc_id), ``links`` and ``first``.
+
+    ``first`` marks the class that stands for its component: that with the least doc_id, then the least name. The third are
+    stored tables that both are read from.
+    """
+    sets, classes, inner, outer = similar_classes(docs, size, summary=True)
+    edges = counts = components = None
+    if inner is not None:
+        edges = inner.select(F.explode(F.arrays_zip("a", "b")).alias("x")).select("x.a", "x.b")
+        counts = inner.select(F.explode(F.arrays_zip("node", "links")).alias("x")).select("x.node", "x.links")
+    if outer is not None:
+        pairs, one = outer.select("a", "b"), F.lit(1).cast("long").alias("links")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), one)
+        edges, counts = (pairs, ends) if edges is None else (edges.unionAll(pairs), counts.unionAll(ends))
+    if edges is not None:
+        components = connected(edges)
+    known = labelled(classes, components)  # without components each class is its own
+    name = F.struct("doc_id", "k1", "k2")
+    least = known.groupBy("comp").agg(F.min(name).alias("least"))
+    known = known.join(least, "comp").withColumns({"component": F.col("least.doc_id"), "first": name == F.col("least")})
+    if counts is None:
+        known = known.withColumn("links", F.lit(0).cast("long"))
+    else:
+        known = known.join(counts.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").fillna(0, ["links"])
+    return sets, known, [sets, classes, *[x for x in (inner, outer, components) if x is not None]]
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of ``docs``.
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and n_links of every row of ``docs``.
 
     Two documents are linked if the Jaccard similarity of their sets of word shingles is 3/4 or more; see
-    ``shingle_sets``, and ``links`` for the links themselves, all of which are computed here too. A document without
-    words (null or blank text) has an empty set and no links:
+    ``shingle_sets``, and ``links`` for the links themselves, all of which are found here too; ``n_links`` is the number of other
+    sets that a row's set is linked with. A document without words (null or blank text) has an empty set and no links:
     it is its own component. A row with a null doc_id has no links and a null component_id. Repeated rows are all
     returned; rows of one doc_id with different texts are compared like other documents. Other columns play no part.
     """
-    sets, classes, inner, outer = similar_classes(docs, size)
-    edges = None if inner is None else forests(inner)
-    if outer is not None:
-        edges = outer.select("a", "b") if edges is None else edges.unionAll(outer.select("a", "b"))
-    components = None if edges is None else connected(edges)
-    known = labelled(classes, components)  # without components each class is its own
-    least = known.groupBy("comp").agg(F.min("doc_id").alias("component"))
-    known = known.join(least, "comp").select("k1", "k2", "component")
-    out = sets.join(known, ["k1", "k2"], "left")
-    own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+    sets, known, tables = grouped_classes(docs, size)
+    out = sets.join(known.select("k1", "k2", "component", "links"), ["k1", "k2"], "left")
+    takes_part = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(takes_part, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    count = F.when(takes_part, F.coalesce("links", F.lit(0))).otherwise(F.lit(0)).cast("long")
+    out = stored(out.select("doc_id", "n_shingles", component.alias("component_id"), count.alias("n_links")), "components")
+    drop(*tables)
+    return out
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Rows of ``docs`` that stay if of each component only the document of smallest doc_id does.
+    """Rows of ``docs`` that stay if of each component of sets one row does.
 
-    Of rows with the same doc_id one stays. Rows with a null doc_id all stay.
+    That is the row with the smallest doc_id; of several sets of that id the one with the smallest name, and of equal rows
+    any. Rows with a null doc_id or without words all stay. Rows that share a doc_id but not their set are different documents.
     """
-    found = near_duplicates(docs, size)
-    gone = found.filter("component_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c < doc_id")
-    rest = docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    known = rest.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return known.unionAll(rest.filter(F.col("doc_id").isNull()))
+    sets, known, tables = grouped_classes(docs, size)
+    kept = stored(known.filter("first").select("doc_id", "k1", "k2"), "kept")
+    again = sets.filter("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id", "k1", "k2").count().filter("count > 1")
+    repeated = not again.isEmpty()
+    drop(*tables)
+    names = ["__n", "__k1", "__k2"]
+    schema = StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in names]])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
+            found, at = shingle_sets(part.column("text"), size)
+            added = [pa.array(np.diff(at)), *(pa.array(k) for k in set_keys(found, at))]
+            yield pa.RecordBatch.from_arrays([*part.columns, *added], [*part.schema.names, *names])
+
+    rows = docs.mapInArrow(named, schema).alias("d")
+    to = kept.select(F.col("doc_id").alias("__id"), F.col("k1").alias("__a"), F.col("k2").alias("__b"))
+    same = (F.col("d.doc_id").cast("long") == F.col("__id")) & (F.col("__k1") == F.col("__a")) & (F.col("__k2") == F.col("__b"))
+    free = F.col("doc_id").isNull() | (F.col("__n") == 0)
+    out = rows.join(to, same, "left").filter(free | F.col("__id").isNotNull())
+    if repeated:
+        single = F.when(free, F.monotonically_increasing_id()).otherwise(-1)
+        out = out.withColumn("__single", single).dropDuplicates(["doc_id", "__k1", "__k2", "__single"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

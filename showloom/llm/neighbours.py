@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import partitions, stored
 
 
 @dataclass(frozen=True)
@@ -19,26 +19,33 @@ class Settings:
 
     ``list_size``: vectors a list is meant to hold; the number of lists follows from it, up to ``most_lists``.
     ``sample_rows``: rows the centroids are fitted on at most; all rows are indexed.
-    ``part_rows``: rows of a list that are scanned together.
-    ``copies``, ``boundary``: a vector goes to its nearest list and to others, ``copies`` in all,
-    whose centroid is at most ``boundary`` times as far.
-    ``probes``, ``ratio``: a query reads all lists whose centroid is at most ``ratio`` times as far as the nearest,
-    ``least`` at least. The graph gives the nearest ``probes``; a query that needs more is compared with all centroids.
-    ``degree``, ``beam``: neighbours of a centroid in the graph, and how many centroids a search keeps open.
+    ``part_rows``: rows of a list that are scanned together. ``bucket_rows``: rows of lists that a group of a scan holds.
+    ``copies``, ``boundary``: a vector goes to its nearest list and to others, ``copies`` in all, whose centroid is at
+    most ``boundary`` times as far.
+    ``base_rows``: a query reads its nearest lists until they hold so many rows, and all further lists whose
+    centroid is at most ``ratio`` times as far as the last of those (the nearest one alone may be at no distance at all).
+    ``recall``, ``judges``: the ratio is the one with which the 10 nearest of ``judges`` sampled vectors, among the sample,
+    are found with this recall.
+    ``probes``: centroids that the graph gives; a query that needs more is compared with all centroids.
+    ``degree``, ``beam``, ``narrow``: neighbours of a centroid in the graph, and how many centroids a search keeps
+    open for a query and for a vector that is indexed.
     """
 
     list_size: int = 64
     most_lists: int = 8192
     sample_rows: int = 40_000
     part_rows: int = 4096
+    bucket_rows: int = 1 << 16
     rounds: int = 8
     copies: int = 4
     boundary: float = 1.15
+    base_rows: int = 500
+    recall: float = 0.97
+    judges: int = 256
     probes: int = 48
-    least: int = 16
-    ratio: float = 1.6
     degree: int = 24
     beam: int = 96
+    narrow: int = 24
 
 
 def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -151,6 +158,61 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def chosen_lists(graph: CentroidGraph, x: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that each vector goes to, and which of them count (the first always does)."""
+    lists, d = graph.search(x, s.copies, s.narrow)
+    return lists, (d <= d[:, :1] * s.boundary**2) & np.isfinite(d)
+
+
+def needed_ratio(graph: CentroidGraph, x: np.ndarray, share: float, s: Settings, k: int = 10) -> float:
+    """The least ratio of distances of centroids with which vectors of a sample (so large a share) find their nearest ones in it."""
+    lists, near = chosen_lists(graph, x, s)
+    sizes = np.bincount(lists[near], minlength=len(graph.centroids)) / share
+    judges = np.random.default_rng(1).permutation(len(x))[: s.judges]
+    needed = []
+    for part in (judges[i : i + 64] for i in range(0, len(judges), 64)):
+        d = squares(x[part], x)
+        d[np.arange(len(part)), part] = np.inf
+        best = np.argsort(d, 1, kind="stable")[:, : min(k, len(x) - 1)]
+        far = squares(x[part], graph.centroids)
+        order = np.argsort(far, 1, kind="stable")
+        at = (np.cumsum(sizes[order], 1) >= s.base_rows).argmax(1)  # 0 where all lists hold fewer: then all are read
+        base = np.take_along_axis(far, np.take_along_axis(order, at[:, None], 1), 1)
+        to = np.where(near[best], np.take_along_axis(far[:, None], lists[best], 2), np.inf).min(2)
+        needed.append(np.sqrt(to / np.maximum(base, 1e-300)).ravel())
+    needed = np.concatenate(needed)
+    return float(max(1.0, np.quantile(needed, s.recall))) if len(needed) else 1.0
+
+
+def _nearest(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Queries, vectors and distances that hold the k nearest of each query among x, never itself.
+
+    A matrix product finds candidates, with some room for its rounding; their distances are then computed one by one.
+    """
+    d = squares(q, x)
+    d[q_ids[:, None] == ids[None]] = np.inf
+    most = min(4 * k, len(ids)) - 1  # copies of one vec_id may be among the nearest
+    bound = np.partition(d, most, 1)[:, most : most + 1]
+    row, at = np.nonzero((d <= bound * (1 + 1e-9) + 1e-9 * (q * q).sum(1)[:, None]) & np.isfinite(d))
+    score = np.empty(len(row))
+    for i in range(0, len(row), 1 << 15):
+        score[i : i + (1 << 15)] = ((x[at[i : i + (1 << 15)]] - q[row[i : i + (1 << 15)]]) ** 2).sum(1)
+    return q_ids[row], ids[at], np.sqrt(score)
+
+
+def _best(query: np.ndarray, vector: np.ndarray, score: np.ndarray, k: int) -> list[np.ndarray]:
+    """Of each query the k nearest vectors, each once; ties to the smaller id."""
+    order = np.lexsort((score, vector, query))
+    new = np.ones(len(order), bool)
+    new[1:] = (query[order][1:] != query[order][:-1]) | (vector[order][1:] != vector[order][:-1])
+    order = order[new]
+    order = order[np.lexsort((vector[order], score[order], query[order]))]
+    q = query[order]
+    start = np.searchsorted(q, q)
+    order = order[np.arange(len(q)) - start < k]
+    return [c[order] for c in (query, vector, score)]
+
+
 class ListIndex:
     """Centroids with their graph, fitted on a bounded sample, and the posting lists of all rows.
 
@@ -168,18 +230,25 @@ class ListIndex:
         sample = self.rows.filter(place).select("embedding").limit(settings.sample_rows).toArrow()
         x = np.unique(matrix(sample.column("embedding").combine_chunks()), axis=0) if sample.num_rows else np.zeros((0, 0))
         k = max(1, min(settings.most_lists, -(-total // settings.list_size), len(x)))
-        arrays = None
+        arrays, self.ratio = None, 1.0
         if len(x):
             graph = CentroidGraph.over(balanced_centroids(x, k, settings.rounds), settings.degree)
             arrays = (graph.centroids, graph.links)
+            self.ratio = needed_ratio(graph, x, len(x) / total, settings)
         self.sent = vectors.sparkSession.sparkContext.broadcast(arrays)
         postings = stored(self._assigned(), "postings")
         sizes = postings.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
         parts = F.ceil(F.col("size") / F.lit(settings.part_rows)).cast("int")
-        self.parts = stored(sizes.select("list", parts.alias("parts")), "lists")  # one row a list, most_lists at most
+        self.parts = stored(sizes.select("list", "size", parts.alias("parts")), "lists")  # one row a list, most_lists at most
         self.lists = postings.join(F.broadcast(self.parts), "list").withColumn(
             "part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
         )
+        sizes = np.zeros(k, np.int64)
+        for row in self.parts.select("list", "size").collect():
+            sizes[row["list"]] = row["size"]
+        self.sizes = vectors.sparkSession.sparkContext.broadcast(sizes)
+        held = int(sizes.sum())
+        self.buckets = max(partitions(vectors.sparkSession), -(-held // settings.bucket_rows))
 
     def _assigned(self) -> DataFrame:
         sent, s = self.sent, self.settings
@@ -190,8 +259,7 @@ class ListIndex:
                 if graph is None or not batch.num_rows:
                     continue
                 x = matrix(batch.column("embedding"))
-                lists, d = graph.search(x, s.copies, s.beam)
-                near = (d <= d[:, :1] * s.boundary**2) & np.isfinite(d)
+                lists, near = chosen_lists(graph, x, s)
                 row, which = np.nonzero(near)
                 taken = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -207,7 +275,8 @@ class ListIndex:
         ``queries``: vec_id and embedding as in ``usable``; an item is never its own neighbour.
         Ties go to the smaller vec_id. Queries that take no part have no rows.
         """
-        sent, s = self.sent, self.settings
+        sent, sizes, s, ratio = self.sent, self.sizes, self.settings, self.ratio * (1 + 1e-9)
+        enough = max(s.base_rows, s.copies * (k + 1))  # the latter hold k others for certain
 
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             graph = sent.value and CentroidGraph(*sent.value)
@@ -216,14 +285,16 @@ class ListIndex:
                     continue
                 x = matrix(batch.column("embedding"))
                 lists, d = graph.search(x, s.probes, s.beam)
-                near = (d <= d[:, :1] * s.ratio**2) | (np.arange(d.shape[1]) < s.least)
-                more = (d[:, -1] <= d[:, 0] * s.ratio**2) & (d.shape[1] < len(graph.centroids))
-                near &= np.isfinite(d)
+                held = np.cumsum(np.where(np.isfinite(d), sizes.value[lists], 0), 1)
+                few = held[:, -1] < enough
+                base = np.take_along_axis(d, np.where(few, d.shape[1] - 1, (held >= enough).argmax(1))[:, None], 1)
+                near = (d <= base * ratio**2) & np.isfinite(d)
+                more = ((d[:, -1:] <= base * ratio**2)[:, 0] | few) & (d.shape[1] < len(graph.centroids))
                 row, which = np.nonzero(near & ~more[:, None])
                 chosen = [(row, lists[row, which])]
                 wide = np.flatnonzero(more)
                 for part in (wide[i : i + 256] for i in range(0, len(wide), 256)):
-                    within = squares(x[part], graph.centroids) <= d[part, :1] * s.ratio**2
+                    within = (squares(x[part], graph.centroids) <= base[part] * ratio**2) | few[part, None]
                     row, which = np.nonzero(near[part])
                     within[row, lists[part][row, which]] = True  # the graph's distances are the more exact ones
                     row, which = np.nonzero(within)
@@ -236,28 +307,30 @@ class ListIndex:
                     )
 
         def scan(lists: pa.Table, asked: pa.Table) -> pa.Table:
-            ids, x = np.asarray(lists.column("vec_id")), matrix(lists.column("embedding").combine_chunks()) if lists.num_rows else None
-            q_ids = np.asarray(asked.column("query_id"))
-            out: list[tuple] = []
-            if x is not None and asked.num_rows:
-                q = matrix(asked.column("query").combine_chunks())
-                repeated = len(np.unique(ids)) < len(ids)
-                for i in range(len(q)):
-                    d = ((x - q[i]) ** 2).sum(1)
-                    d[ids == q_ids[i]] = np.inf
-                    order = np.lexsort((ids, d))
-                    if repeated:
-                        order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
-                    order = order[:k][np.isfinite(d[order[:k]])]
-                    out += zip([int(q_ids[i])] * len(order), ids[order].tolist(), np.sqrt(d[order]).tolist(), strict=True)
-            a, b, c = zip(*out, strict=True) if out else ((), (), ())
-            return pa.table({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
+            """The nearest of each query among the lists of this bucket that it reads."""
+            found: list[tuple[np.ndarray, ...]] = []
+            if lists.num_rows and asked.num_rows:
+                ids, x = np.asarray(lists.column("vec_id").combine_chunks()), matrix(lists.column("embedding").combine_chunks())
+                q_ids, q = np.asarray(asked.column("query_id").combine_chunks()), matrix(asked.column("query").combine_chunks())
+                names = [np.stack([np.asarray(t.column(c).combine_chunks()).astype(np.int64) for c in ("list", "part")], 1) for t in (lists, asked)]
+                _, which = np.unique(np.concatenate(names), axis=0, return_inverse=True)
+                one, two = which.ravel()[: len(ids)], which.ravel()[len(ids) :]
+                by_list, by_query = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
+                edges = [np.searchsorted(w[o], np.arange(which.max() + 2)) for w, o in ((one, by_list), (two, by_query))]
+                for g in range(which.max() + 1):
+                    rows, queries_ = by_list[edges[0][g] : edges[0][g + 1]], by_query[edges[1][g] : edges[1][g + 1]]
+                    for part in (queries_[i : i + 512] for i in range(0, len(queries_) if len(rows) else 0, 512)):
+                        found.append(_nearest(x[rows], ids[rows], q[part], q_ids[part], k))
+            out = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            out = _best(*out, k)
+            return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
         asked = queries.mapInArrow(choose, "list int, query_id long, query array<double>")
         asked = asked.join(F.broadcast(self.parts), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        asked = asked.select("list", "part", "query_id", "query")
-        held = self.lists.select("list", "part", "vec_id", "embedding")
-        found = held.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInArrow(
+        bucket = F.pmod(F.xxhash64("list", "part"), F.lit(self.buckets)).cast("int").alias("bucket")
+        asked = asked.select(bucket, "list", "part", "query_id", "query")
+        held = self.lists.select(bucket, "list", "part", "vec_id", "embedding")
+        found = held.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInArrow(
             scan, "query_id long, vec_id long, score double"
         )
         nearest = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))

@@ -115,7 +115,24 @@ def test_jaccard_null_ids_and_repeated_rows(spark):
     assert got == sorted([(None, 4, None), (3, 4, 2), (3, 4, 2), (2, 4, 2), (2, 3, 2), (None, 0, None), (9, 0, 9)], key=repr)
     kept = jaccard.one_of_each(frame(spark, rows))
     assert kept.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([None, None, 2, 9], key=repr)
+    # the two texts of id 2 are different documents; the other copies of its first one go
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(None, text), (None, None), (2, text), (2, "other words only here in this text"), (9, None)], key=repr
+    )
+
+
+def test_jaccard_chain_hot_shingle_and_counts(spark, monkeypatch):
+    """300 sets in a chain that are linked with the nearest ones only, all with one line in common, among copies."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    words = [f"w{i}" for i in range(400)]
+    line = "the same five words here"
+    rows = [(i, " ".join(words[i : i + 60]) + " . " + line) for i in range(300)] + [(1000 + i, " ".join(words[:60]) + " . " + line) for i in range(5)]
+    got = found(jaccard.near_duplicates(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.components(rows), key=repr)
+    sets = {d: brute.shingles(t) for d, t in rows[:300]}
+    counts = {d: sum(4 * len(s & t) >= 3 * len(s | t) for e, t in sets.items() if e != d) for d, s in sets.items()}
+    of = {r.doc_id: r.n_links for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    assert {d: of[d] for d in sets} == counts and of[1003] == of[0] and max(counts.values()) > 1
 
 
 def test_suffix_dedup(docs, rows):
@@ -344,7 +361,7 @@ def test_neighbours_among_many_lists(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(12_000, 48))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
-    index = neighbours.ListIndex(df, neighbours.Settings(probes=8, least=1))  # many more lists lie within the ratio
+    index = neighbours.ListIndex(df, neighbours.Settings(probes=8))  # many more lists lie within the ratio
     assert len(index.sent.value[0]) > 100
     got = {}
     for r in index.search(index.rows.filter(F.col("vec_id") % 300 == 0), 10).collect():
