@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from .keyfilter import key_filter, may_hold
 
+# The classes the listings are made of.
+REGION_A = H.css(exact="region region-content")
+BOX_A, ITEM_A = H.css(cls="alphabetical-container"), H.css(cls="alphabetical-item")
+BOX_B, TITLE_B = H.css("div", exact="col-md-4 col-sm-6 col-xs-12 views-col"), H.css("div", cls="list-title")
+
 
 def prepared(pages: DataFrame) -> DataFrame:
     """Pair the tags of each page once; every field is read out of the result, which takes the place of ``html``."""
@@ -36,14 +41,13 @@ def wanted(pages: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 def listing_a(pages: DataFrame) -> DataFrame:
     """Alphabetical listing -> ``show_url``, one row per item; an item without link gives null."""
-    region = H.first(F.col("html"), H.css(exact="region region-content"))
-    boxes = H.every(region, H.css(cls="alphabetical-container"), _item_links)
+    boxes = H.every(H.first(F.col("html"), REGION_A), BOX_A, _item_links)
     return prepared(pages).select(F.explode(F.flatten(boxes)).alias("show_url"))
 
 
 def _item_links(box: Column) -> Column:
     linked = H.css("a", has="href")
-    return H.every(box, H.css(cls="alphabetical-item"), lambda e: H.first_attribute(e, linked, "href"))
+    return H.every(box, ITEM_A, lambda e: H.first_attribute(e, linked, "href"))
 
 
 def listing_b(pages: DataFrame, category: Column) -> DataFrame:
@@ -52,13 +56,11 @@ def listing_b(pages: DataFrame, category: Column) -> DataFrame:
     One pass over all listing pages: the category comes from the page itself, for example from
     its address, instead of one scan per category and a union.
     """
-    box = H.css("div", exact="col-md-4 col-sm-6 col-xs-12 views-col")
-
     def entry(e: Column) -> Column:
-        titled = H.has(e, H.css("div", cls="list-title"))
+        titled = H.has(e, TITLE_B)
         return F.struct(titled.alias("titled"), H.first_attribute(e, H.css("a"), "href").alias("url"))
 
-    entries = H.every(F.col("html"), box, entry)
+    entries = H.every(F.col("html"), BOX_B, entry)
     rows = prepared(pages).select(category.alias("filter"), F.explode(entries).alias("e"))
     return rows.filter("e.titled").select("e.url", "filter")
 
