@@ -13,6 +13,9 @@ from .words import grams, hashed_words
 
 #: Words of a fingerprint, and fingerprints of a window of which the least is kept.
 GRAM, WINDOW = 3, 3
+#: Templates of up to ``WHOLE`` words keep all fingerprints, so that whatever three quarters of their words are
+#: there, one is; of up to ``SHORT`` words, where three words in a row may not be left, fingerprints have two.
+WHOLE, SHORT = 40, 8
 #: Words by which an alignment may leave its diagonal to either side.
 BAND = 8
 #: Share of a template's words that a match has in order.
@@ -44,36 +47,47 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
 
 
 class TemplateIndex:
-    """Inverted index: sorted fingerprints, each with a template and a place in it."""
+    """Inverted index: sorted fingerprints of three and of two words, each with a template and a place in it."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = list(templates)
+    def __init__(self, names: list[str], words: list[np.ndarray], postings: dict[int, tuple[np.ndarray, ...]]):
+        self.names, self.words, self.postings = names, words, postings
+
+    @property
+    def parts(self) -> tuple:
+        """What the index is made of, as plain lists and arrays."""
+        return self.names, self.words, self.postings
+
+    @classmethod
+    def over(cls, templates: dict[str, str]) -> TemplateIndex:
         words = hashed_words(*utf8(pa.array(list(templates.values()), pa.string())), lower=True, split="alnum")
-        self.words = [words.hashes[a:b] for a, b in zip(words.at[:-1], words.at[1:], strict=True)]
-        keys, template, place = [], [], []
-        for t, w in enumerate(self.words):
-            if not len(w):
-                continue
-            g = grams(w, GRAM) if len(w) >= GRAM else np.zeros(0, np.uint64)
-            if not len(g):
-                raise ValueError(f"a template needs {GRAM} words: {self.names[t]}")
-            at = winnowed(g)
-            keys.append(g[at])
-            template.append(np.full(len(at), t))
-            place.append(at)
-        none = np.zeros(0, np.int64)
-        keys, template, place = np.concatenate([none.view(np.uint64), *keys]), np.concatenate([none, *template]), np.concatenate([none, *place])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.template, self.place = keys[order], template[order], place[order]
+        texts = [words.hashes[a:b] for a, b in zip(words.at[:-1], words.at[1:], strict=True)]
+        found: dict[int, list] = {GRAM: [], GRAM - 1: []}
+        for t, (name, w) in enumerate(zip(templates, texts, strict=True)):
+            size = GRAM if len(w) > SHORT else GRAM - 1
+            if len(w) < size:
+                raise ValueError(f"a template needs {size} words: {name}")
+            g = grams(w, size)
+            at = np.arange(len(g)) if len(w) <= WHOLE else winnowed(g)
+            found[size].append((g[at], np.full(len(at), t), at))
+        postings = {}
+        for size, lists in found.items():
+            if lists:
+                keys, template, place = (np.concatenate(c) for c in zip(*lists, strict=True))
+                order = np.argsort(keys, kind="stable")
+                postings[size] = keys[order], template[order], place[order]
+        return cls(list(templates), texts, postings)
 
     def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Template and diagonal band (first word less place, in steps of ``BAND``) of all fingerprints that occur."""
-        g = grams(hashes, GRAM)
-        low, high = np.searchsorted(self.keys, g), np.searchsorted(self.keys, g, "right")
-        n = high - low
-        hit = np.repeat(np.arange(len(g)), n)
-        entry = np.repeat(low, n) + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
-        both = np.unique(np.stack([self.template[entry], (hit - self.place[entry]) // BAND], 1), axis=0)
+        found = [np.zeros((0, 2), np.int64)]
+        for size, (keys, template, place) in self.postings.items():
+            g = grams(hashes, size)
+            low, high = np.searchsorted(keys, g), np.searchsorted(keys, g, "right")
+            n = high - low
+            hit = np.repeat(np.arange(len(g)), n)
+            entry = np.repeat(low, n) + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)
+            found.append(np.stack([template[entry], (hit - place[entry]) // BAND], 1))
+        both = np.unique(np.concatenate(found), axis=0)
         return both[:, 0], both[:, 1]
 
 
@@ -138,16 +152,18 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     every task; texts are never shuffled. Null, empty and clean texts have no row; a null doc_id stays null;
     repeated rows repeat their matches. Without templates there is no match.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(TemplateIndex(TEMPLATES if templates is None else templates))
+    index = TemplateIndex.over(TEMPLATES if templates is None else templates)
+    least = min(index.postings, default=GRAM)
+    sent = docs.sparkSession.sparkContext.broadcast(index.parts)
     names = [f.split()[0] for f in SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sent.value
+        index = TemplateIndex(*sent.value)
         for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
             raw, at = utf8(part.column("text"))
             words = hashed_words(raw, at, lower=True, split="alnum")
             ids, rows = part.column("doc_id").to_pylist(), []
-            for i in np.flatnonzero(np.diff(words.at) >= GRAM).tolist():
+            for i in np.flatnonzero(np.diff(words.at) >= least).tolist():
                 a, b = int(words.at[i]), int(words.at[i + 1])
                 for t, n, low, high in matches(index, words.hashes[a:b], coverage):
                     rows.append((

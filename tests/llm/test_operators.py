@@ -234,6 +234,56 @@ def test_licenses(spark):
     assert licenses.scan(frame(spark, rows), {}).isEmpty()
 
 
+def test_no_licence_notice_is_lost(spark):
+    """Every place of every text against every template, and every template with one word changed, left out or added."""
+    folder = "/root/testdata/sf0.01"
+    df = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    got = {}
+    for r in licenses.scan(df).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    names = {n: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.lowered(t)) for n, t in licenses.TEMPLATES.items()}
+    seen = 0
+    for doc, text in df.collect():
+        words = brute.WORDS.findall(brute.lowered(text))
+        for name, template in names.items():
+            length = len(template)
+            least = -(-3 * length // 4)
+            common = set(template)
+            near = [i for i in range(len(words)) if words[i] in common]
+            for i in near:  # whatever has enough words of the template within its length
+                window = words[i : i + length]
+                if sum(w in common for w in window) >= least:
+                    table = [[0] * (length + 1)]
+                    for w in window:
+                        row = [0]
+                        for j, v in enumerate(template):
+                            row.append(max(table[-1][j] + 1 if w == v else 0, row[-1], table[-1][j + 1]))
+                        table.append(row)
+                    if table[-1][-1] >= least:
+                        seen += 1
+                        start = len(brute_prefix(brute.lowered(text), i).encode())
+                        assert any(m.start <= start < m.end or start <= m.start < start + 200 for m in got.get(doc, [])), (doc, name, window)
+    assert seen > 50
+
+    changed = []
+    for name, t in licenses.TEMPLATES.items():
+        w = t.split(" ")
+        for i in range(len(w)):
+            changed += [(name, w[:i] + ["other"] + w[i + 1 :]), (name, w[:i] + w[i + 1 :]), (name, w[:i] + ["more"] + w[i:])]
+    rows = [(i, "first words " + " ".join(w) + " last words") for i, (_, w) in enumerate(changed)]
+    hits = {r.doc_id for r in licenses.scan(frame(spark, rows)).collect()}
+    for i, (name, w) in enumerate(changed):
+        left = brute.WORDS.findall(brute.lowered(" ".join(w)))
+        kept = len(names[name]) - len([x for x in names[name] if x not in left])
+        if 4 * kept >= 3 * len(names[name]):
+            assert i in hits, (name, w)
+
+
+def brute_prefix(text, i):
+    places = [m.start() for m in brute.WORDS.finditer(text or "")]
+    return text[: places[i]]
+
+
 def test_alignment_is_a_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(40):
@@ -266,6 +316,21 @@ def test_quotes(spark):
     ], key=repr)
 
 
+@pytest.mark.parametrize("rows, parents", [
+    ([(1, "How are you today my friend"), (2, "> How are you today my friend\nfine, thank you very much"), (3, ">> How are you today my friend\nand then?")],
+     {2: 1, 3: 2}),  # only a nested quotation is left
+    ([(1, "ok"), (2, "what now"), (3, "ok"), (4, "> ok\nthen go")], {4: 3}),  # said twice: the later one
+    ([(1, "one two three four\nfive six seven eight nine"), (2, "> one two three four five\n> six seven eight\n> nine\nyes")], {2: 1}),  # wrapped anew
+    ([(1, "a b c d e f"), (2, "g h i j k l"), (3, "> a b c d e f\n> g h i j k l\n> g h i j\nx")], {3: 2}),
+    ([(1, "> q w e r t\nmine"), (2, "> mine\n>> q w e r t\nyours"), (3, ">>> q w e r t\nlast")], {2: 1, 3: 2}),
+    ([(1, "> never said"), (1, "> never said"), (2, "?!"), (3, "> ?!")], {}),
+])
+def test_parents(spark, rows, parents):
+    df = spark.createDataFrame([(1, t, x) for t, x in rows] + [(2, t + 9, x) for t, x in rows[-1:]], "conv_id long, turn long, text string")
+    got = {(r.conv_id, r.turn): r.parent_turn for r in quotes.parents(df).collect()}
+    assert got == {(1, t): p for t, p in parents.items()}
+
+
 def test_quotes_round_trip(spark):
     from showloom.llm.queries import QUERIES
 
@@ -278,7 +343,7 @@ def test_quotes_round_trip(spark):
             (said[r.conv_id, r.turn - k] or "").count("\n") + 1 for k in (1, 2) if (r.conv_id, r.turn - k) in said
         )
         if before and re.search(r"\w", before):
-            assert r.parent_turn is not None and r.parent_turn < r.turn
+            assert r.parent_turn == r.turn - 1
 
 
 def test_urls(spark):
