@@ -351,14 +351,13 @@ def shared_counts(e: list[np.ndarray], f: list[np.ndarray]) -> np.ndarray:
 
 
 _LINKS = "a array<long>, b array<long>, n array<long>, m array<long>, common array<long>"
-_SUMMARY = "a array<long>, b array<long>, node array<long>, links array<long>"
+_SUMMARY = "comp long, block long, nodes array<long>, links array<long>"
 
 
 def inner_links(components: DataFrame, texts: DataFrame, size: int, summary: bool) -> DataFrame:
     """All links between sets of one component, one row of arrays a, b, n, m and common for each pair of blocks.
 
-    With ``summary`` the links are found, but not written one by one: a row has the sets of its two blocks, how many links each
-    has (node, links), and a forest (a, b) that connects those that links connect.
+    With ``summary`` the links are found, but not written one by one: the result is node and links, how many each set has in its component.
 
     Sets x and y differ in the shingles in which their differences to the reference do, so their texts are not read
     again. Blocks hold sets at about the same distance from the reference; pairs of blocks are skipped whose
@@ -398,58 +397,65 @@ def inner_links(components: DataFrame, texts: DataFrame, size: int, summary: boo
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, e, f in zip(batch.column("own").to_pylist(), batch.column("e"), batch.column("f"), strict=True):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("comp", "i", "j")), strict=True)
+            for (comp, first, second), e, f in zip(keys, batch.column("e"), batch.column("f"), strict=True):
                 (a, n, c, p), (b, m, d, q) = sets(e), sets(f)
+                own = first == second
                 total = n[:, None] + m[None]
                 common = (total - (c[:, None] + d[None] - 2 * shared_counts(p, q))) // 2
                 fit = common * (NUMERATOR + DENOMINATOR) >= total * NUMERATOR
                 if own:
                     fit &= a[:, None] < b[None]
+                if summary:
+                    for at, nodes, count in ((first, a, fit.sum(1)), (second, b, fit.sum(0))):
+                        if count.any():
+                            yield _counted(comp, at, nodes, count)
+                    continue
                 i, j = np.nonzero(fit)
-                if len(i) and summary:
-                    yield _row(*forest(a[i], b[j]), np.append(a, b), np.append(fit.sum(1), fit.sum(0)))
-                elif len(i):
+                if len(i):
                     turned = a[i] > b[j]
                     out = (
                         np.minimum(a[i], b[j]), np.maximum(a[i], b[j]), np.where(turned, m[j], n[i]), np.where(turned, n[i], m[j]), common[i, j],
                     )
                     yield _row(*out, names=["a", "b", "n", "m", "common"])
 
-    pairs = met.select((F.col("i") == F.col("j")).alias("own"), "e", "f")
-    found = stored(pairs.mapInArrow(compare, _SUMMARY if summary else _LINKS), "inner")
+    pairs = met.select("comp", "i", "j", "e", "f")
+    if summary:
+        counts = pairs.mapInArrow(compare, _SUMMARY).groupBy("comp", "block").applyInArrow(_summed, "node long, links long")
+        found = stored(counts, "inner")
+    else:
+        found = stored(pairs.mapInArrow(compare, _LINKS), "inner")
     drop(blocks)
     return found
 
 
-def _row(*columns: np.ndarray, names: tuple[str, ...] = ("a", "b", "node", "links")) -> pa.RecordBatch:
+def _counted(comp: int, block: int, nodes: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+    """One row: how many links the sets of a block have with those of another."""
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(nodes)], pa.int32()), pa.array(v.astype(np.int64))) for v in (nodes, links)]
+    return pa.RecordBatch.from_arrays([pa.array([comp], pa.int64()), pa.array([block], pa.int64()), *lists], ["comp", "block", "nodes", "links"])
+
+
+def _summed(table):
+    """The counts of one block, whose sets stand in the same order in all its rows, added up."""
+    rows = table.column("links")
+    total = sum(np.asarray(x.values) for x in rows)
+    return pa.table({"node": pa.array(np.asarray(table.column("nodes")[0].values)), "links": pa.array(total)})
+
+
+def _row(*columns: np.ndarray, names: list[str]) -> pa.RecordBatch:
     """One row of arrays."""
     lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v.astype(np.int64))) for v in columns]
     return pa.RecordBatch.from_arrays(lists, list(names))
 
 
-def forest(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For links between x and y: each set with the least one that it reaches by them."""
-    nodes, at = np.unique(np.concatenate([x, y]), return_inverse=True)
-    near = np.zeros((len(nodes), len(nodes)), bool)
-    i, j = np.split(at, 2)
-    near[i, j] = near[j, i] = True
-    root = np.full(len(nodes), -1)
-    for k in range(len(nodes)):
-        new = (np.arange(len(nodes)) == k) & (root < 0)
-        while new.any():
-            root[new] = k
-            new = near[new].any(0) & (root < 0)
-    rest = root != np.arange(len(nodes))
-    return nodes[root[rest]], nodes[rest]
-
-
 def similar_classes(
     docs: DataFrame, size: int = SHINGLE, summary: bool = False
-) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
-    """Named sets of all rows; classes of equal sets (node, k1, k2, doc_id: the smallest); all links of classes.
+) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None, DataFrame | None]:
+    """Named sets of all rows; classes of equal sets (node, k1, k2, doc_id: the smallest); all links of classes; components.
 
-    Links come in two tables, both None if no two sets share a list: in rows of arrays those between sets that
-    pivots bring to one component (``inner_links``), and one by one the others (a, b, n, m, common). All are stored; tables
+    Links come in two tables, both None if no two sets share a list: in rows of arrays (or as counts, ``summary``) those between sets that
+    pivots bring to one component (``inner_links``), and one by one the others (a, b, n, m, common). The components (node, comp) are
+    what links with pivots alone connect; other links can only join whole components. All are stored; tables
     that only lead to them are removed as soon as the next one is there.
     """
     sets = stored(named_sets(docs, size), "sets")
@@ -485,9 +491,9 @@ def similar_classes(
             drop(*[x for x in [before] if x is not None])
     drop(held, *comparisons)
     inner = None if components is None else inner_links(components, members, size, summary)
-    drop(members, *[x for x in [components] if x is not None])
+    drop(members)
     # without a last round no list has sets of two components, so there are no other links
-    return sets, classes, inner, outer
+    return sets, classes, inner, outer, components
 
 
 def links(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
@@ -497,7 +503,7 @@ def links(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     once with a < b. Then doc_id, n_shingles and node, the class (null for an empty set or a null doc_id); rows of one
     class are linked too. Rows are linked if their classes are.
     """
-    sets, classes, inner, outer = similar_classes(docs, size)
+    sets, classes, inner, outer, _ = similar_classes(docs, size)
     names = ["a", "b", "n", "m", "common"]
     found = docs.sparkSession.createDataFrame([], "a long, b long, n long, m long, common long")
     if inner is not None:
@@ -514,17 +520,18 @@ def grouped_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, Da
     ``first`` marks the class that stands for its component: that with the least doc_id, then the least name. The third are
     stored tables that both are read from.
     """
-    sets, classes, inner, outer = similar_classes(docs, size, summary=True)
-    edges = counts = components = None
-    if inner is not None:
-        edges = inner.select(F.explode(F.arrays_zip("a", "b")).alias("x")).select("x.a", "x.b")
-        counts = inner.select(F.explode(F.arrays_zip("node", "links")).alias("x")).select("x.node", "x.links")
+    sets, classes, counts, outer, components = similar_classes(docs, size, summary=True)
+    tables = [x for x in (sets, classes, counts, outer, components) if x is not None]
     if outer is not None:
-        pairs, one = outer.select("a", "b"), F.lit(1).cast("long").alias("links")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), one)
-        edges, counts = (pairs, ends) if edges is None else (edges.unionAll(pairs), counts.unionAll(ends))
-    if edges is not None:
+        ends = outer.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("links"))
+        edges = outer.select("a", "b")
+        if components is not None:
+            counts = counts.select("node", "links").unionAll(ends)
+            edges = edges.unionAll(components.filter("node != comp").select(F.col("comp").alias("a"), F.col("node").alias("b")))
+        else:
+            counts = ends
         components = connected(edges)
+        tables.append(components)
     known = labelled(classes, components)  # without components each class is its own
     name = F.struct("doc_id", "k1", "k2")
     least = known.groupBy("comp").agg(F.min(name).alias("least"))
@@ -533,7 +540,7 @@ def grouped_classes(docs: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, Da
         known = known.withColumn("links", F.lit(0).cast("long"))
     else:
         known = known.join(counts.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").fillna(0, ["links"])
-    return sets, known, [sets, classes, *[x for x in (inner, outer, components) if x is not None]]
+    return sets, known, tables
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
