@@ -277,3 +277,16 @@ def test_next_element(paged):
     html = "<h3>A</h3><p>x</p><h3>B</h3><div class='t'>1<div>2</div></div><h3>C</h3>"
     got = paged(lambda c: H.each_match(c, css("h3"), lambda m: H.node_text(H.next_element(m, css(cls="t")))), html)
     assert got == ["12", "12", None]
+
+
+def test_pages_are_paired_in_pieces():
+    import pyarrow as pa
+
+    from showloom.functions import elements
+
+    long = "<p class='a b' id=x>t<b>u</b></p>" * (elements.PIECE_BYTES // 50)
+    html = pa.array([long, None, "", long, "<i>é</i>", long, None])
+    pieces = list(elements.in_pieces(iter([html, html[:0], html[4:5]])))
+    assert [len(p) for p in pieces] == [3, 2, 2, 0, 1]  # at most so many bytes at a time
+    whole = elements.pages(html).to_pylist()
+    assert [row for p in pieces for row in p.to_pylist()] == whole + whole[4:5]
