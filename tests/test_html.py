@@ -290,3 +290,13 @@ def test_pages_are_paired_in_pieces():
     assert [len(p) for p in pieces] == [3, 2, 2, 0, 1]  # at most so many bytes at a time
     whole = elements.pages(html).to_pylist()
     assert [row for p in pieces for row in p.to_pylist()] == whole + whole[4:5]
+
+
+def test_a_fragment_holds_what_is_inside_it(paged):
+    html = "<i>0</i><div><p>1<b>2</b></p><p>3</p></div><p>4</p>"
+
+    def shown(f):
+        return F.struct(F.transform(f["elements"], lambda e: e["tag"]), f["texts"])
+
+    got = paged(lambda c: H.each_match(H.first(c, css("div")), css("p"), lambda m: shown(H.element(m))), html)
+    assert [tuple(r) for r in got] == [(["p", "b"], ["1", "2"]), (["p"], ["3"])]
