@@ -9,8 +9,8 @@ from .common import drop, stored
 
 #: Marks before a quoted line: one ``>`` for each level, with blanks between.
 MARKS = r"^[ \t]*>[> \t]*"
-#: Words of a passage, and words of a text beyond which not all passages are kept.
-WORDS, LONG = 4, 20
+#: Words of a passage.
+WORDS = 4
 
 
 def levels(text: Column) -> Column:
@@ -67,7 +67,7 @@ def passages(messages: DataFrame) -> DataFrame:
     """conv_id, turn, level, passage: hashes of what each message says at each level of quotation, each once.
 
     A passage is a line, or ``WORDS`` words in a row, whatever lines they stand in, so that a quotation whose lines were wrapped anew has passages
-    in common with what it quotes. Of long texts only the words in a row whose hash ends in two zero bits are kept, the same ones wherever they stand.
+    in common with what it quotes. All words in a row are taken, whatever the length of the text.
     """
     lines = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", levels(F.col("text")).alias("lines"))
     by_level = lines.select("*", F.explode(F.array_distinct(F.col("lines.level"))).alias("level"))
@@ -78,9 +78,8 @@ def passages(messages: DataFrame) -> DataFrame:
     n = F.size("words")
     starts = F.sequence(F.lit(1), F.greatest(n - (WORDS - 1), F.lit(1)))
     rows = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("words", i, WORDS), " ")))
-    kept = F.filter(rows, lambda h: (n <= LONG) | (F.pmod(h, F.lit(4)) == 0))
     whole = F.filter(F.transform("own", passage_key), lambda h: h.isNotNull())
-    found = F.when(n > 0, F.concat(whole, kept)).otherwise(whole)
+    found = F.when(n > 0, F.concat(whole, rows)).otherwise(whole)
     return by_level.select("conv_id", "turn", "level", F.explode(found).alias("passage")).distinct()
 
 

@@ -467,3 +467,12 @@ def test_pipeline_keeps_columns_and_tokens(spark):
             ids = [r.doc_id for r in docs.collect()]
     packed = docs.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("m")).collect()
     assert sorted(r.doc_id for r in packed) == sorted(ids) and all(r.n == r.m for r in packed)
+
+
+@pytest.mark.parametrize("n", [20, 21, 60])
+def test_passages_of_long_texts_are_whole(spark, n):
+    text = " ".join(f"w{i}" for i in range(n))
+    df = spark.createDataFrame([(1, 1, text), (1, 2, f"> {text}\nyes")], "conv_id long, turn long, text string")
+    counts = {(r.turn, r.level): r["count"] for r in quotes.passages(df).groupBy("turn", "level").count().collect()}
+    assert counts == {(1, 0): n - 2, (2, 1): n - 2, (2, 0): 1}  # the line and every four words in a row; a short line is both
+    assert [r.n_linked for r in quotes.parents(df).collect()] == [n - 2]
