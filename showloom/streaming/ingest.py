@@ -4,7 +4,8 @@ What is stored are versions: for each batch the newest page of each key in it, w
 newest version of a key over all batches and streams is what counts, so the result does not depend on
 where the stream was cut into batches, nor on their order. Each micro-batch writes a folder named by
 stream and batch, so a batch that is run again after a failure replaces its own rows. Pages that
-are no newer than what is stored are left out by their keys alone; whole pages are never shuffled.
+are no newer than what is stored are left out by their keys alone. Whole pages are not shuffled, but for those that are
+left of a batch with fewer splits than there are cores, a single file for example: they are dealt out to all of them.
 """
 
 from __future__ import annotations
@@ -67,6 +68,9 @@ class Ingest:
         fresh = self.spark.read.parquet(f"{self.folder}/fresh/{part}")
 
         near = captures.wanted(pages, fresh, [self.key, "page_id"])
+        cores = self.spark.sparkContext.defaultParallelism
+        if pages.rdd.getNumPartitions() < cores:
+            near = near.repartition(cores)
         once = self._newest(self.extract(near))
         stored = keep_rows(once, distinct_keys(fresh, [self.key, "page_id"]), [self.key, "page_id"], "left_semi")
         stored.write.mode("overwrite").parquet(f"{self.rows}/{part}")

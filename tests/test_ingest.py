@@ -66,3 +66,16 @@ def test_a_batch_run_again_replaces_its_rows(spark, tmp_path):
         ingest.store_batch(batches[batch_id], "s", batch_id)
     assert result(ingest) == Counter({("a", "a"): 1, ("b", "yes"): 1, ("c", "c"): 1})
     assert spark.read.parquet(ingest.rows).count() == 4
+
+
+def test_pages_of_one_file_are_dealt_out(spark, tmp_path):
+    spark.createDataFrame([(i, f"u{i}", "<title>t</title>") for i in range(50)], S.PAGES).coalesce(1).write.parquet(str(tmp_path / "landing"))
+    seen = []
+
+    def extract(pages):
+        seen.append(pages.rdd.getNumPartitions())
+        return pages.select("page_id", "url", "html")
+
+    ingest = Ingest(spark, str(tmp_path / "kept"), extract)
+    ingest.run(str(tmp_path / "landing"), "one", 1)
+    assert seen == [spark.sparkContext.defaultParallelism] and ingest.result().count() == 50
