@@ -303,3 +303,16 @@ def test_key_filter_loses_nothing_and_keeps_little(spark, n):
     assert ids >= {-1, *range(0, 5 * n, 5)} and len(ids) < n + 60
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_the_last_detail_moves_its_payload_once(spark):
+    from showloom.operators import site_c
+
+    def payload(n, text):
+        return f'{{"Id": {n}, "LicensingFeeDisplay": "<strong>Fee</strong>: {text}"}}'
+
+    rows = [(1, payload(7, "a")), (None, payload(7, "z")), (3, payload(7, "c")), (3, payload(7, "d")), (2, payload(8, "e")), (4, None), (5, "{")]
+    last = site_c.latest_details(spark.createDataFrame(rows, "n long, payload string"), "n")
+    assert {r.show_id: r.minimum_license_fee for r in last.collect()} == {7: "d", 8: "e"}
+    # a payload next to an order that holds it again would be shuffled twice
+    assert "max_by" not in last._jdf.queryExecution().toString()
