@@ -40,12 +40,11 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 class PhraseIndex:
-    """Items, their terms, and the stored postings of those terms in the documents.
+    """Items, their terms, how often these occur in the documents, and the postings of those that are asked for.
 
     ``items``: item (a number for each distinct sequence of words), item_ids, words.
-    ``terms``: term, word. ``postings``: term, doc_id, text_key, place; each file holds the
-    postings of the documents of one task, list after list.
-    Items without an id or without words are left out.
+    ``terms``: term, word. ``frequencies``: term, count, of terms that occur. Stored are these three, whose size the
+    items alone decide; ``postings`` goes through the texts. Items without an id or without words are left out.
     """
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame):
@@ -55,10 +54,12 @@ class PhraseIndex:
         self.items = stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
         terms = self.items.select(F.explode("words").alias("word")).distinct()
         self.terms = stored(terms.withColumn("term", F.monotonically_increasing_id()), "terms")
-        tokens = keyed(docs).select("doc_id", "text_key", F.posexplode(words(F.col("text"))).alias("place", "word"))
-        postings = tokens.join(_sent(self.terms), "word").select("term", "doc_id", "text_key", "place")
-        self.postings = stored(postings.sortWithinPartitions("term"), "postings")
-        self.frequencies = stored(self.postings.groupBy("term").count(), "frequencies")
+        self.tokens = keyed(docs).select("doc_id", "text_key", F.posexplode(words(F.col("text"))).alias("place", "word"))
+        self.frequencies = stored(self.postings(self.terms.select("term")).groupBy("term").count(), "frequencies")
+
+    def postings(self, lists: DataFrame) -> DataFrame:
+        """``lists`` (term and any further columns) with doc_id, text_key and place of each occurrence of the term."""
+        return self.tokens.join(_sent(lists.join(self.terms, "term")), "word").drop("word")
 
     def ranked(self, size: int) -> DataFrame:
         """item, start, size and terms (struct of frequency, offset and term, the rarest first) of all windows that can occur."""
@@ -87,7 +88,7 @@ def phrase_candidates(index: PhraseIndex, size: int = WINDOW, rarest: int = RARE
     windows = stored(windows.select("item", "start", "size", "asked", bit.alias("asked_bits")), "windows")
     lists = windows.select("item", F.explode("asked").alias("x")).select("item", "x.term", "x.offset").distinct()
     plans = windows.groupBy("item").agg(F.collect_list(F.struct("start", "size", "asked_bits")).alias("windows"))
-    shifted = index.postings.join(_sent(lists), "term").select(
+    shifted = index.postings(lists).select(
         "doc_id", "text_key", "item", (F.col("place") - F.col("offset")).alias("shift"),
         F.expr("shiftleft(1L, offset % 64)").alias("bit"),
     )
@@ -183,7 +184,7 @@ def near_matches(index: PhraseIndex, within: int, terms: int = 3) -> DataFrame:
     )
     ranked = ranked.filter(F.element_at("asked", 1)["count"] > 0)
     lists = ranked.select("item", F.size("asked").alias("needed"), F.explode("asked.term").alias("term"))
-    placed = index.postings.join(_sent(lists), "term")
+    placed = index.postings(lists)
     block = F.floor(F.col("place") / F.lit(within))
     blocks = placed.withColumn("block", F.explode(F.array(block, block - 1)))
     grouped = blocks.groupBy("doc_id", "text_key", "item", "needed", "block").agg(

@@ -153,3 +153,20 @@ def test_pipeline_stages_with_nulls_repeats_and_nothing(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stored(stage(spark, docs, folder), name)
         assert all(r.length > 0 for r in docs.collect())
+
+
+def test_tables_of_the_phrase_index_do_not_grow_with_the_texts(spark, monkeypatch):
+    sizes = []
+
+    def stored(df, name):
+        out = common.stored(df, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(leaks, "stored", stored)
+    item = "one two three four five six seven eight nine ten eleven"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(i, f"{'one two ' * 50}{item if i % 2 else ''} end") for i in range(20)]
+    got = found(leaks.contamination(frame(spark, rows), bench), "doc_id", "n_hit")
+    assert got == sorted([(i, 11 * (i % 2)) for i in range(20)], key=repr)
+    assert max(sizes) <= 11
