@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import jaccard, leaks, licenses, neighbours, packing, quality, quotes, recompression, spelling, suffixes, tries, urls, warc
+from .common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,7 +136,7 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_quotation_links(spark: SparkSession, folder: str) -> DataFrame:
     """The table's messages, first written as mail that quotes what it answers."""
-    return quotes.conversations(quotes.quoting(table(spark, folder, "conversations")))
+    return quotes.conversations(stored(quotes.quoting(table(spark, folder, "conversations")), "mail"))
 
 
 @query()

@@ -11,6 +11,8 @@ from .common import drop, stored
 MARKS = r"^[ \t]*>[> \t]*"
 #: Words of a passage.
 WORDS = 4
+#: Characters of a conversation's messages that may meet in one group; a longer one is dealt out by passage.
+GROUP_CHARS = 1 << 18
 
 
 def levels(text: Column) -> Column:
@@ -63,8 +65,8 @@ def quoting(messages: DataFrame) -> DataFrame:
     return out.withColumn("text", F.array_join(lines, "\n")).drop("said1", "said2")
 
 
-def passages(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, level, passage: hashes of what each message says at each level of quotation, each once.
+def passage_lists(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, level, passages: hashes of what each row says at each level of quotation, each once.
 
     A passage is a line, or ``WORDS`` words in a row, whatever lines they stand in, so that a quotation whose lines were wrapped anew has passages
     in common with what it quotes. All words in a row are taken, whatever the length of the text.
@@ -80,7 +82,28 @@ def passages(messages: DataFrame) -> DataFrame:
     rows = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("words", i, WORDS), " ")))
     whole = F.filter(F.transform("own", passage_key), lambda h: h.isNotNull())
     found = F.when(n > 0, F.concat(whole, rows)).otherwise(whole)
-    return by_level.select("conv_id", "turn", "level", F.explode(found).alias("passage")).distinct()
+    return by_level.select("conv_id", "turn", "level", F.array_distinct(found).alias("passages"))
+
+
+def passages(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, level, passage: ``passage_lists`` one by one; what rows of one conv_id and turn say comes once."""
+    return passage_lists(messages).select("conv_id", "turn", "level", F.explode("passages").alias("passage")).distinct()
+
+
+def gathered(messages: DataFrame) -> DataFrame:
+    """conv_id, deal, turn, level, passage, partitioned by conv_id and deal, so that equal passages of one conversation are in one partition.
+
+    Hashes travel as lists, one for each row and level. Only a conversation of more than ``GROUP_CHARS`` is dealt out
+    passage by passage, by their hashes. There are no more of them than the texts have such lengths, so they are sent to all tasks.
+    """
+    sizes = messages.groupBy("conv_id").agg(F.sum(F.length("text")).alias("chars")).filter(F.col("chars") > GROUP_CHARS)
+    long = sizes.select(F.col("conv_id").alias("long_id"), F.ceil(F.col("chars") / GROUP_CHARS).alias("deals"))
+    lists = passage_lists(messages).join(F.broadcast(long), F.col("conv_id") == F.col("long_id"), "left")
+    one = F.transform("passages", lambda p: F.struct(F.pmod(p, "deals").alias("deal"), F.array(p).alias("passages")))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("deal"), F.col("passages")))
+    dealt = lists.select("conv_id", "turn", "level", F.explode(F.when(F.col("deals").isNull(), whole).otherwise(one)).alias("x"))
+    dealt = dealt.select("conv_id", "x.deal", "turn", "level", "x.passages").repartition("conv_id", "deal")
+    return dealt.select("conv_id", "deal", "turn", "level", F.explode("passages").alias("passage"))
 
 
 def parents(messages: DataFrame) -> DataFrame:
@@ -88,38 +111,42 @@ def parents(messages: DataFrame) -> DataFrame:
 
     What a message quotes at level k, its parent says at level k - 1. Each quoted passage belongs to the latest earlier
     message of the conversation that says it at that level; the parent is the message to which most belong, the latest of equal ones. The
-    speakers of one passage of one conversation are gone through in order of turn, one row for each message.
+    speakers of one passage of one conversation are gone through in order of turn; of rows of one message that quote it, one counts.
     """
-    said = passages(messages)
-    columns = ["conv_id", "level", "passage", "turn"]
-    asked = said.filter("level > 0").withColumn("level", F.col("level") - 1).select(*columns, F.lit(0).alias("says"))
-    in_order = Window.partitionBy("conv_id", "level", "passage").orderBy("turn", "says")
+    said, asked = (F.struct(F.col("level").alias("level"), F.lit(1).alias("says")), F.struct((F.col("level") - 1).alias("level"), F.lit(0).alias("says")))
+    roles = F.explode(F.when(F.col("level") > 0, F.array(said, asked)).otherwise(F.array(said))).alias("as")
+    met = gathered(messages).select("conv_id", "deal", "passage", "turn", roles).select("conv_id", "deal", "as.level", "passage", "turn", "as.says")
+    in_order = Window.partitionBy("conv_id", "deal", "level", "passage").orderBy("turn", "says")
     last = F.last(F.when(F.col("says") == 1, F.col("turn")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    met = asked.unionAll(said.select(*columns, F.lit(1).alias("says"))).withColumn("origin", last)
-    votes = met.filter("says = 0 AND origin IS NOT NULL").groupBy("conv_id", "turn", "origin").agg(F.count(F.lit(1)).alias("n"))
+    again = F.coalesce((F.lag("turn").over(in_order) == F.col("turn")) & (F.lag("says").over(in_order) == 0), F.lit(False))
+    votes = met.select("conv_id", "turn", "says", last.alias("origin"), again.alias("again"))
+    votes = votes.filter("says = 0 AND origin IS NOT NULL AND NOT again").groupBy("conv_id", "turn", "origin").agg(F.count(F.lit(1)).alias("n"))
     return votes.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "origin")).alias("best")).select(
         "conv_id", "turn", F.col("best.origin").alias("parent_turn"), F.col("best.n").alias("n_linked")
     )
 
 
 def threads(messages: DataFrame, links: DataFrame) -> DataFrame:
-    """conv_id, turn, thread_root, depth of each message: pointers to ancestors are doubled until all reach a message without parent."""
+    """conv_id, turn, thread_root, depth of each message: pointers to ancestors are doubled until all reach a message without parent.
+
+    A row whose pointer has arrived is not joined any more, so a few long threads do not make all others go along.
+    """
     ids = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct()
     paths = ids.join(links, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", F.coalesce("parent_turn", "turn").alias("thread_root"),
         F.col("parent_turn").isNotNull().cast("long").alias("depth"),
     )
-    paths = stored(paths.withColumn("moved", F.lit(True)), "threads")
+    paths = stored(paths.withColumn("moved", F.col("depth") > 0), "threads")
     while not paths.filter("moved").isEmpty():
         above = paths.select(
             F.struct("conv_id", "turn").alias("at"), F.col("thread_root").alias("next_root"), F.col("depth").alias("more")
         )
-        rows = paths.drop("moved").withColumn("to", F.struct("conv_id", F.col("thread_root").alias("turn")))
-        rows = rows.join(above, F.col("to") == F.col("at"))
-        further = stored(rows.select(
+        rows = paths.filter("moved").drop("moved").withColumn("to", F.struct("conv_id", F.col("thread_root").alias("turn")))
+        rows = rows.join(above, F.col("to") == F.col("at")).select(
             "conv_id", "turn", F.col("next_root").alias("thread_root"), (F.col("depth") + F.col("more")).alias("depth"),
             (F.col("next_root") != F.col("thread_root")).alias("moved"),
-        ), "threads")
+        )
+        further = stored(paths.filter("NOT moved").unionAll(rows), "threads")
         drop(paths)
         paths = further
     return paths.drop("moved")

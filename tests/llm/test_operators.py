@@ -476,3 +476,24 @@ def test_passages_of_long_texts_are_whole(spark, n):
     counts = {(r.turn, r.level): r["count"] for r in quotes.passages(df).groupBy("turn", "level").count().collect()}
     assert counts == {(1, 0): n - 2, (2, 1): n - 2, (2, 0): 1}  # the line and every four words in a row; a short line is both
     assert [r.n_linked for r in quotes.parents(df).collect()] == [n - 2]
+
+
+@pytest.mark.parametrize("chars", [1 << 18, 100])
+def test_quoted_passages_are_dealt_out_as_lists(spark, monkeypatch, chars):
+    monkeypatch.setattr(quotes, "GROUP_CHARS", chars)
+    rng = random.Random(5)
+    plain = {t: [" ".join(rng.choice("abcdef") for _ in range(rng.choice([2, 5, 9]))) for _ in range(3)] for t in range(1, 13)}
+    rows = [(c, t, "\n".join([*(f"> {x}" for x in plain[t - 1 - t % 2]), *plain[t]]) if t > 2 else "\n".join(plain[t])) for c in (1, 2) for t in plain]
+    rows += [rows[4], (1, 6, f"> {plain[1][0]}"), (3, 1, "short"), (3, 2, "> short\nyes")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(3)
+    said = {(r.conv_id, r.turn, r.level, r.passage) for r in quotes.passages(df).collect()}
+    votes = {}
+    for c, t, level, passage in said:
+        if level and (by := [u for d, u, k, p in said if (d, k, p) == (c, level - 1, passage) and u < t]):
+            own = votes.setdefault((c, t), {})
+            own[max(by)] = own.get(max(by), 0) + 1
+    wanted = {k: max((n, t) for t, n in v.items())[::-1] for k, v in votes.items()}
+    found_ = quotes.parents(df)
+    assert {(r.conv_id, r.turn): (r.parent_turn, r.n_linked) for r in found_.collect()} == wanted and len(wanted) > 15
+    plan = found_._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in re.findall(r"hashpartitioning\(([^)]*)", plan) if "passage" in x]
