@@ -33,6 +33,8 @@ COUNTERS, CHUNK = 1 << 20, 1 << 12
 GROUPS = 8
 #: Entries of a list's block.
 BLOCK = 256
+#: Bits of a set's sketch; entries from which a list has the sketches of its sets with it.
+SKETCH, WIDE = 1024, 32
 #: Rounds in which members of a list are compared with one pivot; whatever remains is compared in blocks.
 PIVOT_ROUNDS = 3
 
@@ -52,8 +54,11 @@ def shingle_sets(text: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.nd
     few = np.array([grams(words.hashes[words.at[i] : words.at[i + 1]], int(n[i]))[0] for i in short.tolist()], np.uint64)
     hashes = np.concatenate([hashes[inside], mixed(few + n[short].astype(np.uint64))])
     whose = np.concatenate([whose[inside], short])
-    order = np.lexsort((hashes, whose))
+    order = np.argsort(whose, kind="stable")
     hashes, whose = hashes[order], whose[order]
+    edges = np.searchsorted(whose, np.arange(len(n) + 1)).tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        hashes[a:b].sort()
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (whose[1:] != whose[:-1])
     hashes, whose = hashes[new], whose[new]
@@ -70,6 +75,18 @@ def set_keys(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mixed(one).view(np.int64), mixed(two).view(np.int64)
 
 
+def sketches(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of ``SKETCH`` bits for each set, each the parity of the shingles that fall to it.
+
+    Two sets differ in at least as many shingles as their sketches do in bits.
+    """
+    out = np.zeros(((len(at) - 1), SKETCH // 64), np.uint64)
+    bit = mixed(sets) % np.uint64(SKETCH)
+    word = np.repeat(np.arange(len(at) - 1), np.diff(at)) * (SKETCH // 64) + (bit >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(out.reshape(-1), word, np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
 def named_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and the set's names k1 and k2 of every row."""
 
@@ -86,17 +103,20 @@ def named_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def class_texts(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """node and text of one document of each class; a repeated row may come more than once."""
+    """node, text and sketch of the set of one document of each class; a repeated row may come more than once."""
     wanted = classes.select("doc_id", "node", "k1", "k2")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
-            k1, k2 = set_keys(*shingle_sets(part.column("text"), size))
+            sets, at = shingle_sets(part.column("text"), size)
+            k1, k2 = set_keys(sets, at)
             same = (k1 == long_values(part.column("k1"))) & (k2 == long_values(part.column("k2")))
-            yield part.select(["node", "text"]).filter(pa.array(same))
+            sketch = pa.array([x.tobytes() for x in sketches(sets, at)], pa.binary())
+            whole = pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), sketch], ["node", "text", "sketch"])
+            yield whole.filter(pa.array(same))
 
-    return rows.select("node", "text", "k1", "k2").mapInArrow(run, "node long, text string")
+    return rows.select("node", "text", "k1", "k2").mapInArrow(run, "node long, text string, sketch binary")
 
 
 def counters(texts: DataFrame, size: int) -> np.ndarray:
@@ -145,8 +165,10 @@ def index_lists(texts: DataFrame, frequency: np.ndarray, size: int) -> DataFrame
         for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
             sets, at = shingle_sets(part.column("text"), size)
             n = np.diff(at)
-            owner = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((sets, counts[(sets >> shift).astype(np.int64)], owner))
+            often = counts[(sets >> shift).astype(np.int64)]
+            order = np.arange(len(sets))
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):  # a set's shingles come in order of their hashes
+                order[a:b] = a + np.argsort(often[a:b], kind="stable")
             length = n - (n * NUMERATOR + DENOMINATOR - 1) // DENOMINATOR + (n > 0)
             take = order[runs(at[:-1], length)]
             row = np.repeat(np.arange(len(n)), length)
@@ -200,15 +222,19 @@ def pivot_pairs(lists: DataFrame, seed: int) -> DataFrame:
     return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
 
-def block_pairs(lists: DataFrame) -> DataFrame:
+def block_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs of members of one list that are in different components and whose sizes and positions allow a link.
 
+    ``of`` is how many entries a list has. In one of ``WIDE`` or more also their sketches must allow it: so a hot shingle makes few pairs besides links.
+
     Lists are ordered by size and cut into blocks; pairs of blocks are skipped by their least and greatest sizes and
     by the most shingles that any of their sets has left from its position on, and where both lie in one component.
     """
     place = F.row_number().over(Window.partitionBy("shingle").orderBy("size", "pos", "node")) - 1
-    placed = lists.withColumn("block", F.floor(place / BLOCK).cast("int"))
-    entry = F.struct("node", "size", "pos", "comp")
+    known = lists.filter(F.col("of") >= WIDE).join(members.select("node", "sketch"), "node")
+    bare = lists.filter(F.col("of") < WIDE).withColumn("sketch", F.lit(None).cast("binary"))
+    placed = bare.unionByName(known).withColumn("block", F.floor(place / BLOCK).cast("int"))
+    entry = F.struct("node", "size", "pos", "comp", "sketch")
     blocks = placed.groupBy("shingle", "block").agg(
         F.collect_list(entry).alias("entries"), F.min("size").alias("low"), F.max("size").alias("high"),
         F.max(F.col("size") - F.col("pos")).alias("room"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
@@ -226,14 +252,23 @@ def block_pairs(lists: DataFrame) -> DataFrame:
         flat, at = column.flatten(), np.append(0, np.cumsum(np.asarray(column.value_lengths()))).tolist()
         return [[np.asarray(flat.field(k))[a:b].astype(np.int64) for k in ("node", "size", "pos", "comp")] for a, b in zip(at[:-1], at[1:], strict=True)]
 
+    def marks(entries: pa.ListScalar) -> np.ndarray | None:
+        found = entries.values.field("sketch")
+        return None if found.null_count else np.frombuffer(b"".join(found.to_pylist()), np.uint64).reshape(len(found), -1)
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, e, f in zip(batch.column("own").to_pylist(), fields(batch.column("e")), fields(batch.column("f")), strict=True):
+            pairs = zip(batch.column("own").to_pylist(), fields(batch.column("e")), fields(batch.column("f")), batch.column("e"), batch.column("f"), strict=True)
+            for own, e, f, first, second in pairs:
                 (a, n, p, c), (b, m, q, d) = ([x[:, None] for x in e], [x[None] for x in f])
                 fit = (c != d) & (np.minimum(n - p, m - q) * (NUMERATOR + DENOMINATOR) >= (n + m) * NUMERATOR)
                 if own:
                     fit &= a < b
                 i, j = np.nonzero(fit)
+                if len(i) and (x := marks(first)) is not None and (y := marks(second)) is not None:
+                    apart = np.bitwise_count(x[i] ^ y[j]).sum(1, np.int64)
+                    fits = apart * (NUMERATOR + DENOMINATOR) <= (e[1][i] + f[1][j]) * (DENOMINATOR - NUMERATOR)
+                    i, j = i[fits], j[fits]
                 if len(i):
                     u, v = e[0][i], f[0][j]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
@@ -470,14 +505,14 @@ def similar_classes(
     components = outer = None
     for round_ in range(PIVOT_ROUNDS + 1):
         current = labelled(held.select("shingle", "node", "size", "pos"), components)
-        open_ = current.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("shingle")
-        current = stored(current.join(open_, "shingle", "left_semi"), "open")
+        open_ = current.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("of"))
+        current = stored(current.join(open_.filter("c0 < c1").select("shingle", "of"), "shingle"), "open")
         drop(held)
         held = current
         if current.isEmpty():
             break
         last = round_ == PIVOT_ROUNDS
-        pairs = block_pairs(current) if last else pivot_pairs(current, round_)
+        pairs = block_pairs(current, members) if last else pivot_pairs(current, round_)
         if comparisons:
             compared = reduce(DataFrame.unionAll, comparisons)
             pairs = told_apart(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), compared)

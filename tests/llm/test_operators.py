@@ -497,3 +497,42 @@ def test_quoted_passages_are_dealt_out_as_lists(spark, monkeypatch, chars):
     assert {(r.conv_id, r.turn): (r.parent_turn, r.n_linked) for r in found_.collect()} == wanted and len(wanted) > 15
     plan = found_._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in re.findall(r"hashpartitioning\(([^)]*)", plan) if "passage" in x]
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_hot_shingles_make_few_pairs(spark, monkeypatch, rounds):
+    """Sets that differ in a fifth of their words by chance share many rare shingles, and few of them are linked."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    monkeypatch.setattr(jaccard, "PIVOT_ROUNDS", rounds)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        own = list(words)
+        for _ in range(rng.choice([2, 9, 12])):
+            own[rng.randrange(200)] = f"x{i}{rng.random()}"
+        rows.append((i, " ".join(own)))
+    met, compared = [], jaccard.overlaps
+
+    def overlaps(pairs, texts, size):
+        met.append(pairs.count())
+        return compared(pairs, texts, size)
+
+    monkeypatch.setattr(jaccard, "overlaps", overlaps)
+    sets = [brute.shingles(t) for _, t in rows]
+    counts = {i: sum(4 * len(s & t) >= 3 * len(s | t) for j, t in enumerate(sets) if i != j) for i, s in enumerate(sets)}
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    roots = {r[0]: r[2] for r in brute.components(rows)}
+    assert got == {i: (roots[i], counts[i]) for i in roots}
+    assert met[-1] <= 500 + sum(counts.values()) if rounds == 0 else met[-1] <= 1500
+
+
+def test_sketches_never_differ_in_more_bits_than_sets():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 400, np.uint64)
+    sets = [np.unique(np.concatenate([base[: 400 - k], rng.integers(0, 2**63, k // 2, np.uint64)])) for k in range(0, 400, 13)] + [base[:0], base[:1]]
+    at = np.cumsum([0, *map(len, sets)])
+    marks = jaccard.sketches(np.concatenate(sets), at)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert int(np.bitwise_count(marks[i] ^ marks[j]).sum()) <= len(np.setxor1d(x, y))
