@@ -12,7 +12,7 @@ MARKS = r"^[ \t]*>[> \t]*"
 #: Words of a passage.
 WORDS = 4
 #: Characters of a conversation's messages that may meet in one group; a longer one is dealt out by passage.
-GROUP_CHARS = 1 << 18
+GROUP_CHARS = 1 << 22
 
 
 def levels(text: Column) -> Column:
