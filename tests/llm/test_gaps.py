@@ -170,3 +170,15 @@ def test_tables_of_the_phrase_index_do_not_grow_with_the_texts(spark, monkeypatc
     got = found(leaks.contamination(frame(spark, rows), bench), "doc_id", "n_hit")
     assert got == sorted([(i, 11 * (i % 2)) for i in range(20)], key=repr)
     assert max(sizes) <= 11
+
+
+def test_words_are_placed_by_splitting_a_text_once(spark):
+    """Each use of the words of a text that is not planned away splits the text anew."""
+    rows = [(1, "One, two ÉTÉ été Ünd"), (2, "  ,.lead 7x"), (3, "trail. "), (4, None), (5, ""), (6, " . "), (None, "Y"), (1, "other")]
+    docs = leaks.keyed(frame(spark, rows))
+    got = found(leaks.placed_words(docs), "doc_id", "place", "word")
+    wanted = [(d, i, w) for d, t in rows for i, w in enumerate(brute.WORDS.findall(brute.lowered(t)))]
+    assert got == sorted(wanted, key=repr)
+    bench = spark.createDataFrame([(1, "two words")], "item_id long, text string")
+    plan = leaks.PhraseIndex(frame(spark, rows), bench).tokens._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
