@@ -37,6 +37,8 @@ BLOCK = 256
 SKETCH, WIDE = 1024, 32
 #: Rounds in which members of a list are compared with one pivot; whatever remains is compared in blocks.
 PIVOT_ROUNDS = 3
+#: Pivots of a list of more than ``BLOCK`` entries, of which each member is compared with the most similar one.
+PIVOTS = 64
 
 
 def shingle_sets(text: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -222,6 +224,45 @@ def pivot_pairs(lists: DataFrame, seed: int) -> DataFrame:
     return pairs.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
 
+def entries_of(column: pa.Array) -> Iterator[tuple[list[np.ndarray], np.ndarray | None]]:
+    """Of each list of entries node, size, pos and comp, and the sketches where all have one."""
+    for entries in column:
+        flat = entries.values
+        found = flat.field("sketch")
+        marks = None if found.null_count else np.frombuffer(b"".join(found.to_pylist()), np.uint64).reshape(len(found), -1)
+        yield [np.asarray(flat.field(k)).astype(np.int64) for k in ("node", "size", "pos", "comp")], marks
+
+
+def nearest_pivots(lists: DataFrame, members: DataFrame, seed: int) -> DataFrame:
+    """Each member of a list with one of the list's ``PIVOTS`` pivots, where they are in different components: the one with the nearest sketch.
+
+    So the sets of a large family find a similar one, even if any two of them are about as far apart as linked sets may be,
+    and come to one component. One pair for each entry at most. Pivots are those of least rank among the members dealt to each slot.
+    """
+    entry = F.struct(F.xxhash64("node", F.lit(seed)).alias("rank"), "node", "size", "pos", "comp")
+    slot = F.pmod(F.xxhash64("node", F.lit(-1 - seed)), F.lit(PIVOTS))
+    sketch = members.select("node", "sketch")
+    least = lists.groupBy("shingle", slot.alias("slot")).agg(F.min(entry).alias("p")).select("shingle", "p.node", "p.size", "p.pos", "p.comp")
+    held = F.collect_list(F.struct("node", "size", "pos", "comp", "sketch"))
+    pivots = least.join(sketch, "node").groupBy("shingle").agg(held.alias("f"))
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("of") / BLOCK))
+    blocks = lists.join(sketch, "node").groupBy("shingle", block.alias("block")).agg(held.alias("e"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ((a, n, p, c), x), ((b, m, q, d), y) in zip(entries_of(batch.column("e")), entries_of(batch.column("f")), strict=True):
+                total = n[:, None] + m
+                apart = sum(np.bitwise_count(x[:, None, k] ^ y[:, k]).astype(np.int64) for k in range(x.shape[1]))
+                fit = (c[:, None] != d) & (np.minimum((n - p)[:, None], m - q) * (NUMERATOR + DENOMINATOR) >= total * NUMERATOR)
+                fit &= apart * (NUMERATOR + DENOMINATOR) <= total * (DENOMINATOR - NUMERATOR)
+                j = np.where(fit, apart / np.maximum(total, 1), np.inf).argmin(1)
+                i = np.flatnonzero(fit.any(1))
+                u, v = a[i], b[j[i]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+    return blocks.join(pivots, "shingle").select("e", "f").mapInArrow(choose, "a long, b long").distinct()
+
+
 def block_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs of members of one list that are in different components and whose sizes and positions allow a link.
 
@@ -248,24 +289,15 @@ def block_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
         & ~((F.col("x.c0") == F.col("x.c1")) & (F.col("y.c0") == F.col("y.c1")) & (F.col("x.c0") == F.col("y.c0")))
     ).select((F.col("x.block") == F.col("y.block")).alias("own"), F.col("x.entries").alias("e"), F.col("y.entries").alias("f"))
 
-    def fields(column: pa.Array) -> list[list[np.ndarray]]:
-        flat, at = column.flatten(), np.append(0, np.cumsum(np.asarray(column.value_lengths()))).tolist()
-        return [[np.asarray(flat.field(k))[a:b].astype(np.int64) for k in ("node", "size", "pos", "comp")] for a, b in zip(at[:-1], at[1:], strict=True)]
-
-    def marks(entries: pa.ListScalar) -> np.ndarray | None:
-        found = entries.values.field("sketch")
-        return None if found.null_count else np.frombuffer(b"".join(found.to_pylist()), np.uint64).reshape(len(found), -1)
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("own").to_pylist(), fields(batch.column("e")), fields(batch.column("f")), batch.column("e"), batch.column("f"), strict=True)
-            for own, e, f, first, second in pairs:
+            for own, (e, x), (f, y) in zip(batch.column("own").to_pylist(), entries_of(batch.column("e")), entries_of(batch.column("f")), strict=True):
                 (a, n, p, c), (b, m, q, d) = ([x[:, None] for x in e], [x[None] for x in f])
                 fit = (c != d) & (np.minimum(n - p, m - q) * (NUMERATOR + DENOMINATOR) >= (n + m) * NUMERATOR)
                 if own:
                     fit &= a < b
                 i, j = np.nonzero(fit)
-                if len(i) and (x := marks(first)) is not None and (y := marks(second)) is not None:
+                if len(i) and x is not None and y is not None:
                     apart = np.bitwise_count(x[i] ^ y[j]).sum(1, np.int64)
                     fits = apart * (NUMERATOR + DENOMINATOR) <= (e[1][i] + f[1][j]) * (DENOMINATOR - NUMERATOR)
                     i, j = i[fits], j[fits]
@@ -512,7 +544,13 @@ def similar_classes(
         if current.isEmpty():
             break
         last = round_ == PIVOT_ROUNDS
-        pairs = block_pairs(current, members) if last else pivot_pairs(current, round_)
+        if last:
+            pairs = block_pairs(current, members)
+        else:
+            large = F.col("of") > BLOCK
+            pairs = pivot_pairs(current.filter(~large), round_)
+            if not current.filter(large).isEmpty():
+                pairs = pairs.union(nearest_pivots(current.filter(large), members, round_)).distinct()
         if comparisons:
             compared = reduce(DataFrame.unionAll, comparisons)
             pairs = told_apart(pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti"), compared)
