@@ -536,3 +536,29 @@ def test_sketches_never_differ_in_more_bits_than_sets():
     for i, x in enumerate(sets):
         for j, y in enumerate(sets):
             assert int(np.bitwise_count(marks[i] ^ marks[j]).sum()) <= len(np.setxor1d(x, y))
+
+
+def test_jaccard_family_at_the_threshold_comes_to_one_component_by_pivots(spark, monkeypatch):
+    """Sets of which any two are about as far apart as linked ones may be; a single pivot of a list meets few of them."""
+    monkeypatch.setattr(jaccard, "BLOCK", 32)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(200):
+        own = list(words)
+        for at in rng.sample(range(400), rng.choice([5, 6, 7])):
+            own[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(own)))
+    met, compared = [], jaccard.overlaps
+
+    def overlaps(pairs, texts, size):
+        met.append(pairs.count())
+        return compared(pairs, texts, size)
+
+    monkeypatch.setattr(jaccard, "overlaps", overlaps)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+    sets = [brute.shingles(t) for _, t in rows]
+    counts = {i: sum(4 * len(s & t) >= 3 * len(s | t) for j, t in enumerate(sets) if i != j) for i, s in enumerate(sets)}
+    roots = {r[0]: r[2] for r in brute.components(rows)}
+    assert got == {i: (roots[i], counts[i]) for i in roots}
+    assert sum(counts.values()) > 5000 and max(met) <= 1000, met
