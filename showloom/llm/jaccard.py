@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import drop, long_values, mixed, packed, partitions, pieces, runs, stored, unpacked, utf8
+from .common import drop, gathered, long_values, mixed, packed, partitions, pieces, runs, stored, unpacked, utf8
 from .words import grams, hashed_words
 
 #: Words of a shingle; similarity from which two sets are linked, as a fraction.
@@ -31,8 +31,8 @@ SLICE_BYTES = 4_000_000
 COUNTERS, CHUNK = 1 << 20, 1 << 12
 #: Lists that tasks work on one after the other, for each shuffle partition.
 GROUPS = 8
-#: Entries of a list's block.
-BLOCK = 256
+#: Entries of a list's block; pairs of entries that a task looks at at once.
+BLOCK, PAIRS = 256, 1 << 18
 #: Bits of a set's sketch; entries from which a list has the sketches of its sets with it.
 SKETCH, WIDE = 1024, 32
 #: Rounds in which members of a list are compared with one pivot; whatever remains is compared in blocks.
@@ -105,36 +105,38 @@ def named_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def class_texts(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """node, text and sketch of the set of one document of each class; a repeated row may come more than once."""
+    """node, text and sketch of the set of one document of each class; a repeated row may come more than once.
+
+    Besides, rows with chunk and counts instead: how many of a task's sets have a shingle that falls to each of ``COUNTERS`` counters.
+    """
+    shift = np.uint64(64 - (COUNTERS.bit_length() - 1))
     wanted = classes.select("doc_id", "node", "k1", "k2")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
 
+    names = ["node", "text", "sketch", "chunk", "counts"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(COUNTERS, np.int64)
         for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
             sets, at = shingle_sets(part.column("text"), size)
             k1, k2 = set_keys(sets, at)
             same = (k1 == long_values(part.column("k1"))) & (k2 == long_values(part.column("k2")))
+            table += np.bincount((sets[np.repeat(same, np.diff(at))] >> shift).astype(np.int64), minlength=COUNTERS)
             sketch = pa.array([x.tobytes() for x in sketches(sets, at)], pa.binary())
-            whole = pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), sketch], ["node", "text", "sketch"])
+            none = [pa.nulls(len(same), pa.int32()), pa.nulls(len(same), pa.binary())]
+            whole = pa.RecordBatch.from_arrays([part.column("node"), part.column("text"), sketch, *none], names)
             yield whole.filter(pa.array(same))
+        counts = table.view(np.uint64).reshape(-1, CHUNK)
+        used = np.flatnonzero(counts.any(1))
+        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.string(), pa.binary())]
+        found = [pa.array(used, pa.int32()), pa.array([packed(counts[i]) for i in used], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, *found], names)
 
-    return rows.select("node", "text", "k1", "k2").mapInArrow(run, "node long, text string, sketch binary")
-
+    return rows.select("node", "text", "k1", "k2").mapInArrow(run, "node long, text string, sketch binary, chunk int, counts binary")
 
-def counters(texts: DataFrame, size: int) -> np.ndarray:
-    """How many sets have a shingle that falls to each of ``COUNTERS`` counters, over all texts."""
-    shift = np.uint64(64 - (COUNTERS.bit_length() - 1))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(COUNTERS, np.uint64)
-        for part in (x for b in batches for x in pieces(b, "text", SLICE_BYTES)):
-            sets, _ = shingle_sets(part.column("text"), size)
-            table += np.bincount((sets >> shift).astype(np.int64), minlength=COUNTERS).astype(np.uint64)
-        rows = table.reshape(-1, CHUNK)
-        used = np.flatnonzero(rows.any(1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int32()), pa.array([packed(rows[i]) for i in used], pa.binary())], ["chunk", "counts"]
-        )
+def counters(counted: DataFrame) -> np.ndarray:
+    """How many sets have a shingle that falls to each of ``COUNTERS`` counters, over all tasks' rows of chunk and counts."""
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(CHUNK, np.uint64)
@@ -142,7 +144,7 @@ def counters(texts: DataFrame, size: int) -> np.ndarray:
             total += unpacked(x, np.uint64)[0]
         return pa.table({"chunk": table.column("chunk").slice(0, 1), "counts": pa.array([packed(total)], pa.binary())})
 
-    sums = texts.select("text").mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
+    sums = counted.filter("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     out = np.zeros((COUNTERS // CHUNK, CHUNK), np.uint64)
     for chunk, counts in sums.toLocalIterator():  # COUNTERS numbers in all
         out[chunk] = unpacked(bytes(counts), np.uint64)[0]
@@ -153,7 +155,7 @@ _TYPES = (np.uint64, np.int64, np.int32, np.int32)  # shingle, node, size, posit
 
 
 def index_lists(texts: DataFrame, frequency: np.ndarray, size: int) -> DataFrame:
-    """shingle, node, size, pos: the inverted index over prefixes, lists of two sets or more.
+    """shingle, node, size, pos, of: the inverted index over prefixes, lists of two sets or more; ``of`` is how many.
 
     A set of n shingles is ordered by frequency and hash; any set similar enough to it shares one of
     the first n - ceil(3/4 n) + 1 with the first ones of its own.
@@ -197,10 +199,12 @@ def index_lists(texts: DataFrame, frequency: np.ndarray, size: int) -> DataFrame
         same = columns[0][1:] == columns[0][:-1]
         keep = np.append(False, same) | np.append(same, False)
         columns = [c[keep] for c in columns]
-        return pa.table({"shingle": columns[0].view(np.int64), "node": columns[1], "size": columns[2], "pos": columns[3]})
+        _, which, of = np.unique(columns[0], return_inverse=True, return_counts=True)
+        return pa.table({"shingle": columns[0].view(np.int64), "node": columns[1], "size": columns[2], "pos": columns[3], "of": of[which].astype(np.int64)})
 
-    entries = texts.mapInArrow(send, "target int, entries binary")
-    return entries.groupBy("target").applyInArrow(shared, "shingle long, node long, size int, pos int")
+    # a task sends a row to each group, so that few tasks send fewer, longer ones
+    entries = gathered(texts, 4).mapInArrow(send, "target int, entries binary")
+    return entries.groupBy("target").applyInArrow(shared, "shingle long, node long, size int, pos int, of long")
 
 
 def reaches(n: Column, p: Column, m: Column, q: Column) -> Column:
@@ -263,19 +267,66 @@ def nearest_pivots(lists: DataFrame, members: DataFrame, seed: int) -> DataFrame
     return blocks.join(pivots, "shingle").select("e", "f").mapInArrow(choose, "a long, b long").distinct()
 
 
+def open_lists(lists: DataFrame, components: DataFrame | None) -> DataFrame:
+    """shingle, node, size, pos, of and comp of the lists with sets of two components or more."""
+    found = labelled(lists.select("shingle", "node", "size", "pos", "of"), components)
+    if components is None:
+        return found  # each set is its own component, and no list has fewer than two
+    inside = Window.partitionBy("shingle")
+    small = found.filter(F.col("of") <= BLOCK).withColumns({"c0": F.min("comp").over(inside), "c1": F.max("comp").over(inside)})
+    large = found.filter(F.col("of") > BLOCK)  # too many sets for a window: what is grouped leaves each task as one row a list
+    ends = large.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
+    return small.filter("c0 < c1").drop("c0", "c1").unionByName(large.join(ends.select("shingle"), "shingle"))
+
+
+def fitting(e: pa.ListArray, f: pa.ListArray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """a and b of all pairs of an entry of a row's list ``e`` and one of its list ``f`` that are in different components and may be linked.
+
+    Where ``own`` says that both are one list, each pair comes once. All rows are gone through at once, ``PAIRS`` pairs at a time.
+    """
+    sides = []
+    for column in (e, f):
+        flat, count = column.flatten(), np.asarray(column.value_lengths()).astype(np.int64)
+        raw, at = utf8(flat.field("sketch"))
+        sides.append((*(np.asarray(flat.field(k)).astype(np.int64) for k in ("node", "size", "pos", "comp")), raw, at, count))
+    (a, n, p, c, x, x_at, many), (b, m, q, d, y, y_at, others) = sides
+    bits = [z.view(np.uint64).reshape(-1, SKETCH // 64) for z in (x, y)]
+    row = np.repeat(np.arange(len(many)), many)
+    follow, start = others[row], (np.cumsum(others) - others)[row]
+    so_far, i = np.cumsum(follow), 0
+    while i < len(row):
+        k = max(i + 1, int(np.searchsorted(so_far, (so_far[i - 1] if i else 0) + PAIRS, "right")))
+        left, right = np.repeat(np.arange(i, k), follow[i:k]), runs(start[i:k], follow[i:k])
+        fit = (c[left] != d[right]) & (np.minimum((n - p)[left], (m - q)[right]) * (NUMERATOR + DENOMINATOR) >= (n[left] + m[right]) * NUMERATOR)
+        fit &= ~own[row[left]] | (a[left] < b[right])
+        left, right, i = left[fit], right[fit], k
+        known = np.flatnonzero((x_at[left + 1] > x_at[left]) & (y_at[right + 1] > y_at[right]))
+        if len(known):
+            u, v = left[known], right[known]
+            apart = sum(np.bitwise_count(bits[0][x_at[u] * 8 // SKETCH, w] ^ bits[1][y_at[v] * 8 // SKETCH, w]).astype(np.int64) for w in range(SKETCH // 64))
+            keep = np.ones(len(left), bool)
+            keep[known] = apart * (NUMERATOR + DENOMINATOR) <= (n[u] + m[v]) * (DENOMINATOR - NUMERATOR)
+            left, right = left[keep], right[keep]
+        if len(left):
+            u, v = a[left], b[right]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+
+
 def block_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs of members of one list that are in different components and whose sizes and positions allow a link.
 
     ``of`` is how many entries a list has. In one of ``WIDE`` or more also their sketches must allow it: so a hot shingle makes few pairs besides links.
 
-    Lists are ordered by size and cut into blocks; pairs of blocks are skipped by their least and greatest sizes and
+    Lists of more than ``BLOCK`` are ordered by size and cut into blocks; pairs of blocks are skipped by their least and greatest sizes and
     by the most shingles that any of their sets has left from its position on, and where both lie in one component.
     """
-    place = F.row_number().over(Window.partitionBy("shingle").orderBy("size", "pos", "node")) - 1
     known = lists.filter(F.col("of") >= WIDE).join(members.select("node", "sketch"), "node")
     bare = lists.filter(F.col("of") < WIDE).withColumn("sketch", F.lit(None).cast("binary"))
-    placed = bare.unionByName(known).withColumn("block", F.floor(place / BLOCK).cast("int"))
+    marked = bare.unionByName(known)
     entry = F.struct("node", "size", "pos", "comp", "sketch")
+    whole = marked.filter(F.col("of") <= BLOCK).groupBy("shingle").agg(F.collect_list(entry).alias("e")).select("e")
+    place = F.row_number().over(Window.partitionBy("shingle").orderBy("size", "pos", "node")) - 1
+    placed = marked.filter(F.col("of") > BLOCK).withColumn("block", F.floor(place / BLOCK).cast("int"))
     blocks = placed.groupBy("shingle", "block").agg(
         F.collect_list(entry).alias("entries"), F.min("size").alias("low"), F.max("size").alias("high"),
         F.max(F.col("size") - F.col("pos")).alias("room"), F.min("comp").alias("c0"), F.max("comp").alias("c1"),
@@ -289,23 +340,18 @@ def block_pairs(lists: DataFrame, members: DataFrame) -> DataFrame:
         & ~((F.col("x.c0") == F.col("x.c1")) & (F.col("y.c0") == F.col("y.c1")) & (F.col("x.c0") == F.col("y.c0")))
     ).select((F.col("x.block") == F.col("y.block")).alias("own"), F.col("x.entries").alias("e"), F.col("y.entries").alias("f"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, (e, x), (f, y) in zip(batch.column("own").to_pylist(), entries_of(batch.column("e")), entries_of(batch.column("f")), strict=True):
-                (a, n, p, c), (b, m, q, d) = ([x[:, None] for x in e], [x[None] for x in f])
-                fit = (c != d) & (np.minimum(n - p, m - q) * (NUMERATOR + DENOMINATOR) >= (n + m) * NUMERATOR)
-                if own:
-                    fit &= a < b
-                i, j = np.nonzero(fit)
-                if len(i) and x is not None and y is not None:
-                    apart = np.bitwise_count(x[i] ^ y[j]).sum(1, np.int64)
-                    fits = apart * (NUMERATOR + DENOMINATOR) <= (e[1][i] + f[1][j]) * (DENOMINATOR - NUMERATOR)
-                    i, j = i[fits], j[fits]
-                if len(i):
-                    u, v = e[0][i], f[0][j]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
+            yield from fitting(batch.column("e"), batch.column("e"), np.ones(batch.num_rows, bool))
 
-    return met.mapInArrow(compare, "a long, b long").distinct()
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from fitting(batch.column("e"), batch.column("f"), np.asarray(batch.column("own").to_pylist(), bool))
+
+    pairs = whole.mapInArrow(inside, "a long, b long")
+    if not lists.filter(F.col("of") > BLOCK).isEmpty():
+        pairs = pairs.unionAll(met.mapInArrow(between, "a long, b long"))
+    return pairs.distinct()
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
@@ -356,8 +402,8 @@ def told_apart(pairs: DataFrame, compared: DataFrame) -> DataFrame:
 
 def connected(links: DataFrame) -> DataFrame:
     """node and comp (the least node it reaches) of all nodes with a link: least labels of neighbours, then labels of labels."""
-    both = stored(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    table = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node"), "labels")
+    both = stored(gathered(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()), "links")
+    table = stored(gathered(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "node")), "labels")
     while True:
         labels = table.select("node", "comp")
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("comp").alias("least"))
@@ -366,7 +412,7 @@ def connected(links: DataFrame) -> DataFrame:
         next_ = next_.join(of, next_.least == of.label, "left").select(
             "node", F.least("least", F.coalesce("jump", "least")).alias("comp"), (F.least("least", F.coalesce("jump", "least")) != F.col("comp")).alias("moved")
         )
-        next_ = stored(next_, "labels")
+        next_ = stored(gathered(next_), "labels")
         drop(table)
         table = next_
         if next_.filter("moved").isEmpty():
@@ -529,18 +575,19 @@ def similar_classes(
     usable = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    texts = stored(class_texts(docs, classes, size), "texts")
-    held = stored(index_lists(texts, counters(texts, size), size), "lists")
+    counted = stored(class_texts(docs, classes, size), "texts")
+    texts = counted.filter("chunk IS NULL").select("node", "text", "sketch")
+    held = stored(index_lists(texts, counters(counted), size), "lists")
     members = stored(texts.join(held.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "members")
-    drop(texts)
+    drop(counted)
     comparisons: list[DataFrame] = []
     components = outer = None
     for round_ in range(PIVOT_ROUNDS + 1):
-        current = labelled(held.select("shingle", "node", "size", "pos"), components)
-        open_ = current.groupBy("shingle").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("of"))
-        current = stored(current.join(open_.filter("c0 < c1").select("shingle", "of"), "shingle"), "open")
-        drop(held)
-        held = current
+        current = open_lists(held, components)
+        if components is not None:
+            current = stored(current, "open")
+            drop(held)
+            held = current
         if current.isEmpty():
             break
         last = round_ == PIVOT_ROUNDS

@@ -6,6 +6,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -562,3 +563,60 @@ def test_jaccard_family_at_the_threshold_comes_to_one_component_by_pivots(spark,
     roots = {r[0]: r[2] for r in brute.components(rows)}
     assert got == {i: (roots[i], counts[i]) for i in roots}
     assert sum(counts.values()) > 5000 and max(met) <= 1000, met
+
+
+def test_jaccard_pairs_of_many_lists_come_at_once(monkeypatch):
+    rng = random.Random(3)
+    lists = [
+        [
+            {"node": n, "size": rng.randrange(20, 40), "pos": rng.randrange(5), "comp": n // 2, "sketch": rng.randbytes(jaccard.SKETCH // 8) if i % 7 == 0 else None}
+            for n in rng.sample(range(50), rng.randrange(2, 9))
+        ]
+        for i in range(300)
+    ]
+    for x in lists[::7]:  # some sketches are near each other
+        for e in x[1:]:
+            e["sketch"] = bytes([x[0]["sketch"][0] ^ rng.randrange(256)]) + x[0]["sketch"][1:]
+    lists[0][1]["sketch"] = bytes(b ^ 255 for b in lists[0][0]["sketch"])
+
+    def near(a, b):
+        if a["comp"] == b["comp"] or 7 * min(a["size"] - a["pos"], b["size"] - b["pos"]) < 3 * (a["size"] + b["size"]):
+            return False
+        if a["sketch"] is None or b["sketch"] is None:
+            return True
+        return 7 * sum((x ^ y).bit_count() for x, y in zip(a["sketch"], b["sketch"], strict=True)) <= a["size"] + b["size"]
+
+    kind = pa.list_(pa.struct({"node": pa.int64(), "size": pa.int32(), "pos": pa.int32(), "comp": pa.int64(), "sketch": pa.binary()}))
+    one, two = pa.array(lists, kind), pa.array(lists[1:] + lists[:1], kind)
+    own = [(min(a["node"], b["node"]), max(a["node"], b["node"])) for x in lists for a in x for b in x if a["node"] < b["node"] and near(a, b)]
+    other = [(min(a["node"], b["node"]), max(a["node"], b["node"])) for x, y in zip(lists, lists[1:] + lists[:1], strict=True) for a in x for b in y if near(a, b)]
+    for wanted, right, same in ((own, one, True), (other, two, False)):
+        got = list(jaccard.fitting(one, right, np.full(300, same)))
+        assert len(got) == 1 and len(wanted) > 300
+        assert sorted(zip(got[0]["a"].to_pylist(), got[0]["b"].to_pylist(), strict=True)) == sorted(wanted)
+    monkeypatch.setattr(jaccard, "PAIRS", 10)
+    got = list(jaccard.fitting(one, two, np.full(300, False)))
+    assert len(got) > 100 and sorted(x for b in got for x in zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)) == sorted(other)
+
+
+def test_jaccard_counts_come_with_the_texts(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(i, i + 12))) for i in range(9)] + [(4, "another text of the same id here")]
+    docs = frame(spark, rows)
+    sets = jaccard.named_sets(docs).groupBy("k1", "k2").agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id())
+    counted = jaccard.class_texts(docs, sets, jaccard.SHINGLE)
+    found_, _ = jaccard.shingle_sets(pa.array([t for _, t in rows]))
+    assert (jaccard.counters(counted) == np.bincount((found_ >> np.uint64(44)).astype(np.int64), minlength=jaccard.COUNTERS)).all()
+    assert counted.filter("chunk IS NULL AND text IS NOT NULL").count() == 10
+
+
+def test_labels_are_written_in_few_files(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "80")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = jaccard.connected(spark.range(400).selectExpr("id * 2 AS a", "id * 2 + 1 AS b"))
+        assert {(r.node, r.comp) for r in out.collect()} == {(i, i - i % 2) for i in range(800)}
+        assert len({r[0] for r in out.select(F.input_file_name()).collect()}) <= max(10, spark.sparkContext.defaultParallelism)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
