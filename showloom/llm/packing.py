@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 
 from .common import pieces, runs, utf8
 
-#: Tokens that are packed together, and bytes that are tokenized at once; they bound a task's memory.
+#: Tokens that are packed together, bytes after which they are counted, and bytes and chunks that are tokenized at once; they bound a task's memory.
 BLOCK_TOKENS = 4_000_000
-SLICE_BYTES = 8_000_000
+SLICE_BYTES, CODED_BYTES, CODED_CHUNKS = 8_000_000, 2_000_000, 1_000
 #: Distinct chunks of text of which a Python worker remembers the ids, in each of two generations.
 REMEMBERED = 300_000
 
@@ -108,8 +108,8 @@ class Encoder:
                     recent[c] = older[c]
                 else:
                     new.append(c)
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
+        for i in range(0, len(new), CODED_CHUNKS):
+            part = new[i : i + CODED_CHUNKS]
             found = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
             recent.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found, strict=True))
         return [recent[c] for c in distinct]
@@ -197,13 +197,15 @@ def pack(
 
         for batch in batches:
             for part in pieces(batch, "text", SLICE_BYTES):
-                ids, at = encoder.encode(part.column("text"))
-                for i, doc in enumerate(part.column("doc_id").to_pylist()):
-                    held.append((doc, np.concatenate([ids[at[i] : at[i + 1]], end])))
-                    tokens += len(held[-1][1])
+                for some in pieces(part, "text", CODED_BYTES):
+                    ids, at = encoder.encode(some.column("text"))
+                    for i, doc in enumerate(some.column("doc_id").to_pylist()):
+                        held.append((doc, np.concatenate([ids[at[i] : at[i + 1]], end])))
+                        tokens += len(held[-1][1])
                 if tokens >= BLOCK_TOKENS:
                     yield flush()
         if held:
             yield flush()
+        pa.default_memory_pool().release_unused()  # the worker stays, beside those of the stages that follow
 
     return wanted.mapInArrow(run, SCHEMA)

@@ -620,3 +620,18 @@ def test_labels_are_written_in_few_files(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_packing_tokenizes_few_chunks_at_once():
+    from showloom.llm.queries import tokenizer_path
+
+    encoder, sizes = packing.Encoder(tokenizer_path()), []
+
+    class Counting:
+        def encode_batch_fast(self, part, found=encoder.tokenizer, **kw):
+            sizes.append(len(part))
+            return found.encode_batch_fast(part, **kw)
+
+    encoder.tokenizer, encoder.recent, encoder.older = Counting(), {}, {}
+    encoder.encode(pa.array([" ".join(f"word{i}" for i in range(5_000))]))
+    assert max(sizes) <= packing.CODED_CHUNKS < sum(sizes)
