@@ -300,3 +300,55 @@ def test_a_fragment_holds_what_is_inside_it(paged):
 
     got = paged(lambda c: H.each_match(H.first(c, css("div")), css("p"), lambda m: shown(H.element(m))), html)
     assert [tuple(r) for r in got] == [(["p", "b"], ["1", "2"]), (["p"], ["3"])]
+
+
+def test_pairing_hides_what_markup_hides(value):
+    import pyarrow as pa
+
+    from showloom.functions import elements
+
+    random.seed(4)
+    bits = [
+        "<p>", "</p>", "a", "<", "-", "--", "-->", "<!--", "<!-->", "<script>", "<SCRIPT a='<'>", "</Script >", "</scripts>",
+        "<style>", "</style>", "<template\x0bx>", "</template>", "<!DocType a>", "<!doctype", "<ſcript>", "é", '<a title="<!-- b -->">',
+    ]
+    texts = ["".join(random.choices(bits, k=25)) for _ in range(400)]
+    hidden = value(lambda c: F.transform(c, H.markup), texts, "array<string>")
+    assert hidden != texts
+    got = elements.pages(pa.array(texts)).to_pylist()
+    assert got == elements.pages(pa.array(hidden)).to_pylist()
+
+
+def test_a_kind_of_tag_is_read_once():
+    from showloom.functions import elements
+
+    batch = elements.Batch()
+    batch.add("<p class='a  b'>x</p><P class='a  b'>y<br></p>" * 50)
+    assert len(batch.kind) == 151 and batch.tag == ["", "p", "p", "br"] and batch.cls == [None, " a b ", " a b ", None]
+
+
+@pytest.mark.parametrize("between", [0, 1, 14, 15, 16, 17, 270, 271, 272, 273, 900])
+def test_neighbours_at_any_distance(paged, between):
+    html = "<div>a<div>no</div></div>" + "<i>-</i>" * between + "<h3>b</h3>" + "<i>-</i>" * between + "<div>c</div><div>d</div>"
+
+    def both(m):
+        return F.array(H.node_text(H.previous_sibling(m, "div")), H.node_text(H.next_element(m, css("div"))))
+
+    assert paged(lambda c: H.each_match(c, css("h3"), both), html) == [["ano", "c"]]
+    lone = "<div><div>no</div>" + "<i>-</i>" * between + "<h3>b</h3></div>" + "<i>-</i>" * between
+    assert paged(lambda c: H.each_match(c, css("h3"), both), lone) == [["no", None]]
+    inner = "<div>out" + "<section>" + "<i>-</i>" * between + "<h3>b</h3></section></div>"
+    assert paged(lambda c: H.each_match(c, css("h3"), both), inner) == [[None, None]]
+
+
+def test_near_neighbours_do_not_cost_the_whole_page(paged):
+    def seconds(n):
+        html = "<section>" + "<div>a</div><b class='x'>b</b><p>c</p>" * n + "</section>"
+        start = time.perf_counter()
+        got = paged(lambda c: F.size(H.each_match(c, css("b"), lambda m: F.array(
+            H.node_text(H.previous_sibling(m, "div")), H.node_text(H.next_element(m, css("p")))))), html)
+        assert got == n
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(6000) < 2 + 6 * seconds(1500)  # 16 times as long where each looks through all
