@@ -120,13 +120,10 @@ def records(shows: DataFrame, pages: DataFrame, upcoming_pages: DataFrame | None
     if upcoming_pages is None:
         # the newest capture counts also where it has no productions any more
         upcoming_pages = pages.withColumn("html", F.when(html.contains("upcoming"), html).otherwise(F.lit("")))
-    fields = [c.alias(n) for n, c in show_fields(html).items()]
-
-    show_side = captures.latest(captures.prepared(pages).select("page_id", F.col("url").alias("show_url"), *fields), "show_url")
-    upcoming_side = captures.latest(
-        captures.prepared(upcoming_pages).select("page_id", F.col("url").alias("upcoming_url"), T.empty_to_null(productions(html)).alias("upcoming_productions")),
-        "upcoming_url",
-    )
+    again = captures.repeated(pages, upcoming_pages)
+    show_side = captures.newest(pages, show_fields(html), "show_url", again)
+    coming = {"upcoming_productions": T.empty_to_null(productions(html))}
+    upcoming_side = captures.newest(upcoming_pages, coming, "upcoming_url", again)
     listed = shows.select(F.col("url").alias("show_url"), F.col("filter").alias("show_type"))
     found = look_up(listed, show_side, "show_url", "inner").withColumn("upcoming_url", upcoming_url(F.col("show_url")))
     return look_up(found, upcoming_side, "upcoming_url", "left").select(*COLUMNS)

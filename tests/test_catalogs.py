@@ -316,3 +316,51 @@ def test_the_last_detail_moves_its_payload_once(spark):
     assert {r.show_id: r.minimum_license_fee for r in last.collect()} == {7: "d", 8: "e"}
     # a payload next to an order that holds it again would be shuffled twice
     assert "max_by" not in last._jdf.queryExecution().toString()
+
+
+def test_the_newest_of_repeated_and_odd_captures(spark):
+    html = "<div id='show-credits'>{}</div>"
+    rows = [
+        (1, "a", "old"), (3, "a", "new"), (2, "a", "mid"), (4, "b", "one"), (5, "c", "twin"), (5, "c", "twin"), (None, "d", "x"),
+        (7, None, "y"), (None, "e", "x"), (6, "e", "e"),
+    ]
+    captured = spark.createDataFrame([(i, u, html.format(t)) for i, u, t in rows], S.PAGES)
+    fields = {"credits": site_b.show_fields(F.col("html"))["show_credits"]}
+    got = captures.newest(captured, fields, "key", captures.repeated(captured))
+    assert got.columns == ["key", "credits"]
+    # as grouping all of them gives it: a capture without a number tells nothing
+    assert {r.key: r.credits for r in got.collect()} == {"a": "new", "b": "one", "c": "twin", "d": None, "e": "e"}
+    every_one = captures.key_filter(captured, ["url"])
+    assert sorted(captures.newest(captured, fields, "key", every_one).collect()) == sorted(got.collect())
+
+
+def test_fields_of_pages_captured_once_are_not_grouped(spark, monkeypatch):
+    html = "<div id='show-credits'>{}</div>"
+    shows = spark.createDataFrame([(f"u{i}/", "x") for i in range(5)], "url string, filter string")
+    once = [(f"u{i}/", html.format(i)) for i in range(5)]
+    grouped, latest = [], captures.latest
+
+    def counted(records, key):
+        grouped.append(records.count())
+        return latest(records, key)
+
+    monkeypatch.setattr(captures, "latest", counted)
+    for captured, n in ((once, 0), ([("u1/", html.format("old")), *once], 2)):
+        found = site_b.records(shows, pages(spark, *captured)).collect()
+        assert {r.show_url: r.show_credits for r in found} == {f"u{i}/": str(i) for i in range(5)}
+        assert grouped[-2:] == [n, n]
+
+
+def test_links_of_a_show_find_their_pages(spark):
+    table = "<h1>T</h1><table class='table-styled'><tr><td>r</td><td>{}</td></tr></table><h3>STANDARD ORCHESTRATION</h3><table class='table-styled'></table>"
+    link = "<a class='mti-show-materials' href='/m/{}'></a>"
+    captured = pages(
+        spark, ("u1", show(1, link.format(1))), ("u2", show(2)), ("u3", link.format(1)), ("u4", show(1, link.format(9))),
+        (A + "/print/1", printed("one")), (A + "/m/1", table.format(1)),
+    )
+    shows = spark.createDataFrame([(f"u{i}",) for i in (1, 1, 2, 3, 4, 5)], "show_url string")
+    got = site_a.records(shows, captured).collect()
+    shown = [(r.show_url, r.show_title, r.orchestration_resources and r.orchestration_resources.Materials[0].Quantity) for r in got]
+    assert sorted(shown, key=str) == [
+        ("u1", "Show one", "1"), ("u1", "Show one", "1"), ("u2", None, None), ("u3", None, "1"), ("u4", "Show one", None),
+    ]
