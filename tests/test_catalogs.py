@@ -364,3 +364,39 @@ def test_links_of_a_show_find_their_pages(spark):
     assert sorted(shown, key=str) == [
         ("u1", "Show one", "1"), ("u1", "Show one", "1"), ("u2", None, None), ("u3", None, "1"), ("u4", "Show one", None),
     ]
+
+
+def test_a_staged_table_is_small_and_leaves_no_shuffle(spark, tmp_path):
+    import time
+
+    import pyarrow.parquet as pq
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    commits, before = Commits(spark, str(tmp_path)), shuffled()
+    rows = spark.range(0, 1000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).repartition(4, "id")
+    place = commits.stage("rows", rows, 1)
+    until = time.time() + 20
+    while not shuffled() <= before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled() <= before and commits.staged("rows", place).count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    files = list((tmp_path / "data" / "rows").rglob("*.parquet"))
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
+
+
+def test_a_detail_with_one_payload_is_not_grouped(spark, monkeypatch):
+    rows = [(1, '{"Id": 1}'), (None, '{"Id": 2}'), (2, '{"Id": 3}'), (1, '{"Id": 3, "LicensingFeeDisplay": "a: b"}'), (5, None), (6, "{")]
+    given = spark.createDataFrame(rows, "n int, payload string")
+    grouped, may_hold = [], site_c.may_hold
+
+    def counted(found, bits, on):
+        found = may_hold(found, bits, on)
+        grouped.append(found.count())
+        return found
+
+    monkeypatch.setattr(site_c, "may_hold", counted)
+    got = site_c.latest_details(given, "n").select("show_id", "minimum_license_fee").collect()
+    assert sorted(map(tuple, got)) == [(1, None), (2, None), (3, None)] and grouped == [2]
